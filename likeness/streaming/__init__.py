@@ -1,0 +1,8 @@
+"""Streaming: the reference reads only bounded files and has no streaming
+operator (no watermarks, windows or state), so none is provided here.
+
+The batch operators are plain DataFrame functions; a caller that receives
+test pairs as a stream can score them per micro-batch with
+``writeStream.foreachBatch`` and ``predict_user_cf`` / ``predict_item_cf``
+against a static training table, without any code in this package.
+"""
