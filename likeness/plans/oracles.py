@@ -176,12 +176,16 @@ CF_AGG = (
     "sum(abs(coalesce(w.weight, 0.0))) AS den FROM neigh n LEFT JOIN weights w ON w.id_1 = n.id_1 AND w.id_2 = n.id_2 "
     "GROUP BY n.user_id, n.item_id, n.m_base)"
 )
-CASCADE = (
-    f"SELECT b.user_id, b.item_id, round(CASE WHEN b.m_user IS NOT NULL AND b.m_item IS NOT NULL THEN "
-    "(CASE WHEN c.den = 0 THEN c.m_base ELSE c.m_base + c.num / c.den END) "
-    "WHEN b.m_user IS NOT NULL THEN b.m_user WHEN b.m_item IS NOT NULL THEN b.m_item ELSE 0.0 END, "
-    f"{D}) AS prediction FROM base b LEFT JOIN cfp c ON c.user_id = b.user_id AND c.item_id = b.item_id"
-)
+def _cascade(base_col: str, digits: int | None = D) -> str:
+    expr = (
+        "CASE WHEN b.m_user IS NOT NULL AND b.m_item IS NOT NULL THEN "
+        f"(CASE WHEN c.den IS NULL OR c.den = 0 THEN b.{base_col} ELSE c.m_base + c.num / c.den END) "
+        "WHEN b.m_user IS NOT NULL THEN b.m_user WHEN b.m_item IS NOT NULL THEN b.m_item ELSE 0.0 END"
+    )
+    if digits is not None:
+        expr = f"round({expr}, {digits})"
+    return (f"SELECT b.user_id, b.item_id, {expr} AS prediction "
+            "FROM base b LEFT JOIN cfp c ON c.user_id = b.user_id AND c.item_id = b.item_id")
 
 
 def _user_cf_ctes() -> list[str]:
@@ -204,7 +208,7 @@ def _item_cf_ctes(candidates: bool) -> list[str]:
 
 
 def _user_cf_sql() -> str:
-    return _with(*_user_cf_ctes()) + CASCADE
+    return _with(*_user_cf_ctes()) + _cascade("m_user")
 
 
 ORACLES: dict[str, str] = {
@@ -259,14 +263,14 @@ ORACLES: dict[str, str] = {
     "item_pearson": _with(*_item_cf_ctes(False)[:-1])
     + f"SELECT id_1, id_2, round(weight, {D}) AS weight FROM weights",
     "user_cf": _user_cf_sql(),
-    "item_cf": _with(*_item_cf_ctes(False)) + CASCADE,
-    "item_cf_lsh": _with(*_item_cf_ctes(True)) + CASCADE,
+    "item_cf": _with(*_item_cf_ctes(False)) + _cascade("m_item"),
+    "item_cf_lsh": _with(*_item_cf_ctes(True)) + _cascade("m_item"),
     "cold_start": _with(*SPLIT, *MEANS) + (
         "SELECT user_id, item_id, round(CASE WHEN m_user IS NOT NULL THEN m_user WHEN m_item IS NOT NULL "
         f"THEN m_item ELSE 0.0 END, {D}) AS prediction FROM base WHERE m_user IS NULL OR m_item IS NULL"
     ),
     "rating_error": (
-        f"WITH {','.join(_user_cf_ctes())}, pred AS ({CASCADE.replace(f'round(', '(', 1).replace(f', {D}) AS prediction', ') AS prediction', 1)}), "
+        f"WITH {','.join(_user_cf_ctes())}, pred AS ({_cascade('m_user', None)}), "
         "e AS (SELECT p.prediction - t.rating AS e FROM test t JOIN pred p ON p.user_id = t.user_id AND p.item_id = t.item_id) "
         f"SELECT count(*) AS n, round(avg(e * e), {D}) AS mse, round(sqrt(avg(e * e)), {D}) AS rmse, "
         f"round(avg(abs(e)), {D}) AS mae FROM e"
