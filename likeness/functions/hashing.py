@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,7 +44,11 @@ def canonical_pair(a: Column | str, b: Column | str) -> tuple[Column, Column]:
 
 @dataclass(frozen=True)
 class HashFamily:
-    """``n`` linear hashes ``(a_i*x + b_i) % P`` fixed by ``seed``."""
+    """``n`` linear hashes ``(a_i*x + b_i) % P`` fixed by ``seed``.
+
+    Parameter arrays are emitted as one SQL literal expression each, so the
+    driver builds a plan with a single parse instead of one JVM call per value.
+    """
 
     n: int
     seed: int = 42
@@ -51,31 +56,34 @@ class HashFamily:
 
     @property
     def params(self) -> list[tuple[int, int]]:
-        rng = random.Random(self.seed)
-        return [(rng.randint(1, self.prime - 1), rng.randint(1, self.prime - 1)) for _ in range(self.n)]
-
-    def hash_expr(self, x: Column, i: int) -> Column:
-        a, b = self.params[i]
-        return F.pmod(x * F.lit(a) + F.lit(b), F.lit(self.prime))
+        return _params(self.n, self.seed, self.prime)
 
-    def sign_expr(self, x: Column, i: int) -> Column:
-        """+1 / -1 from the parity of hash ``i``."""
-        return F.pmod(self.hash_expr(x, i), F.lit(2)) * 2 - 1
+    def params_sql(self) -> str:
+        """``array(named_struct('i', 0, 'a', ..L, 'b', ..L), ...)``: one struct per hash."""
+        items = ", ".join(f"named_struct('i', {i}, 'a', {a}L, 'b', {b}L)" for i, (a, b) in enumerate(self.params))
+        return f"array({items})"
 
-    def banded_params(self, bands: int, rows: int) -> Column:
-        """array<struct<band:int, a0:long, b0:long, ...>> literal, one struct per band."""
+    def banded_params_sql(self, bands: int, rows: int) -> str:
+        """``array(named_struct('band', k, 'a0', .., 'b0', .., ...), ...)``: hash
+        ``band*rows + r`` supplies ``a{r}, b{r}``."""
         if bands * rows > self.n:
             raise ValueError(f"{bands} bands x {rows} rows needs {bands * rows} hashes, family has {self.n}")
         ps = self.params
         structs = []
         for band in range(bands):
-            fields = [F.lit(band).alias("band")]
+            fields = [f"'band', {band}"]
             for r in range(rows):
                 a, b = ps[band * rows + r]
-                fields += [F.lit(a).cast("long").alias(f"a{r}"), F.lit(b).cast("long").alias(f"b{r}")]
-            structs.append(F.struct(*fields))
-        return F.array(*structs)
+                fields.append(f"'a{r}', {a}L, 'b{r}', {b}L")
+            structs.append(f"named_struct({', '.join(fields)})")
+        return f"array({', '.join(structs)})"
 
     def values_sql(self) -> str:
-        """``VALUES (i, a, b), ...`` for SQL oracles."""
+        """``VALUES (i, a, b), ...`` rows for SQL oracles."""
         return ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(self.params))
+
+
+@lru_cache(maxsize=64)
+def _params(n: int, seed: int, prime: int) -> list[tuple[int, int]]:
+    rng = random.Random(seed)
+    return [(rng.randint(1, prime - 1), rng.randint(1, prime - 1)) for _ in range(n)]

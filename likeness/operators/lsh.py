@@ -19,13 +19,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from likeness.functions.encoding import with_codes
 from likeness.functions.hashing import PRIME, HashFamily, element_key
 from likeness.operators.pairs import DEFAULT_BLOCK, group_pairs
 from likeness.operators.verify import cosine_of, jaccard_of
+from likeness.session import materialize as _materialize
 
 
-def _hash(x, a, b):
-    return F.pmod(x * a + b, F.lit(PRIME))
+def _h(r: str = "") -> str:
+    """SQL for hash ``r`` of the exploded parameter struct ``_p`` applied to ``_x``."""
+    return f"pmod(_x * _p.a{r} + _p.b{r}, {PRIME})"
+
+
+def _sign(r: str = "") -> str:
+    return f"(pmod({_h(r)}, 2) * 2 - 1)"
 
 
 def minhash_signatures(
@@ -33,15 +40,11 @@ def minhash_signatures(
 ) -> DataFrame:
     """Long-form MinHash signature: (id, hash_idx, value) (SIM1, AGG5, SNK4)."""
     fam = HashFamily(num_hashes, seed)
-    params = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
-        for i, (a, b) in enumerate(fam.params)
-    ])
     x = sets.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"))
     return (
-        x.select("id", "_x", F.explode(params).alias("_p"))
+        x.select("id", "_x", F.explode(F.expr(fam.params_sql())).alias("_p"))
         .groupBy("id", F.col("_p.i").alias("hash_idx"))
-        .agg(F.min(_hash(F.col("_x"), F.col("_p.a"), F.col("_p.b"))).alias("value"))
+        .agg(F.expr(f"min({_h()})").alias("value"))
     )
 
 
@@ -54,10 +57,8 @@ def minhash_bands(
     """
     fam = HashFamily(bands * rows, seed)
     x = sets.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"))
-    exploded = x.select("id", "_x", F.explode(fam.banded_params(bands, rows)).alias("_p"))
-    aggs = [
-        F.min(_hash(F.col("_x"), F.col(f"_p.a{r}"), F.col(f"_p.b{r}"))).alias(f"k{r}") for r in range(rows)
-    ]
+    exploded = x.select("id", "_x", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
+    aggs = [F.expr(f"min({_h(str(r))})").alias(f"k{r}") for r in range(rows)]
     return exploded.groupBy("id", F.col("_p.band").alias("band")).agg(*aggs)
 
 
@@ -68,17 +69,12 @@ def hyperplane_signatures(
     """Long-form sign sketch: (id, plane, sign) with sign = +1 if
     sum(value * s_plane(element)) >= 0 else -1 (SIM4, AGG6, FN10)."""
     fam = HashFamily(num_planes, seed)
-    params = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
-        for i, (a, b) in enumerate(fam.params)
-    ])
     x = vectors.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"), F.col(value_col).alias("_v"))
-    s = F.pmod(_hash(F.col("_x"), F.col("_p.a"), F.col("_p.b")), F.lit(2)) * 2 - 1
     return (
-        x.select("id", "_x", "_v", F.explode(params).alias("_p"))
+        x.select("id", "_x", "_v", F.explode(F.expr(fam.params_sql())).alias("_p"))
         .groupBy("id", F.col("_p.i").alias("plane"))
-        .agg(F.sum(F.col("_v") * s).alias("_d"))
-        .select("id", "plane", F.when(F.col("_d") >= 0, 1).otherwise(-1).alias("sign"))
+        .agg(F.expr(f"sum(_v * {_sign()})").alias("_d"))
+        .select("id", "plane", F.expr("IF(_d >= 0, 1, -1)").alias("sign"))
     )
 
 
@@ -92,15 +88,11 @@ def hyperplane_bands(
         raise ValueError("rows must be <= 62 to pack a band into a bigint")
     fam = HashFamily(bands * rows, seed)
     x = vectors.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"), F.col(value_col).alias("_v"))
-    exploded = x.select("id", "_x", "_v", F.explode(fam.banded_params(bands, rows)).alias("_p"))
-    sums = [
-        F.sum(F.col("_v") * (F.pmod(_hash(F.col("_x"), F.col(f"_p.a{r}"), F.col(f"_p.b{r}")), F.lit(2)) * 2 - 1)).alias(f"_d{r}")
-        for r in range(rows)
-    ]
+    exploded = x.select("id", "_x", "_v", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
+    sums = [F.expr(f"sum(_v * {_sign(str(r))})").alias(f"_d{r}") for r in range(rows)]
     g = exploded.groupBy("id", F.col("_p.band").alias("band")).agg(*sums)
-    key = sum((F.when(F.col(f"_d{r}") >= 0, F.lit(1 << r)).otherwise(F.lit(0)).cast("long") for r in range(rows)),
-              F.lit(0).cast("long"))
-    return g.select("id", "band", key.alias("k0"))
+    key = " + ".join(f"IF(_d{r} >= 0, {1 << r}L, 0L)" for r in range(rows))
+    return g.select("id", "band", F.expr(key).alias("k0"))
 
 
 def _key_cols(banded: DataFrame) -> list[str]:
@@ -122,21 +114,38 @@ def band_candidates(banded: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
 
 def lsh_jaccard_join(
     sets: DataFrame, threshold: float = 0.5, bands: int = 50, rows: int = 2, seed: int = 42,
-    id_col: str = "id", element_col: str = "element", block: int = DEFAULT_BLOCK,
+    id_col: str = "id", element_col: str = "element", block: int = DEFAULT_BLOCK, materialize: bool = True,
 ) -> DataFrame:
     """(id_1, id_2, similarity) for MinHash candidates with exact Jaccard >= threshold (SIM8)."""
     sets = sets.select(F.col(id_col).alias("id"), F.col(element_col).alias("element")).distinct()
-    cand = band_candidates(minhash_bands(sets, bands, rows, seed), block)
-    return jaccard_of(cand, sets).where(F.col("similarity") >= threshold)
+    if materialize:
+        sets = _materialize(sets)
+    # MinHash hashes the element itself; verification compares exact integer codes
+    coded = with_codes(sets, "element", "_code")
+    if materialize:
+        coded = _materialize(coded)
+    cand = band_candidates(minhash_bands(coded.select("id", "element"), bands, rows, seed), block)
+    if materialize:
+        cand = _materialize(cand)
+    return jaccard_of(cand, coded.select("id", F.col("_code").alias("element")), min_similarity=threshold)
 
 
 def lsh_cosine_join(
     vectors: DataFrame, threshold: float = 0.5, bands: int = 20, rows: int = 20, seed: int = 42,
     id_col: str = "id", element_col: str = "element", value_col: str = "value", block: int = DEFAULT_BLOCK,
+    materialize: bool = True,
 ) -> DataFrame:
     """(id_1, id_2, similarity) for hyperplane candidates with exact cosine >= threshold (SIM9)."""
     vectors = vectors.select(
         F.col(id_col).alias("id"), F.col(element_col).alias("element"), F.col(value_col).alias("value")
     )
-    cand = band_candidates(hyperplane_bands(vectors, bands, rows, seed), block)
-    return cosine_of(cand, vectors).where(F.col("similarity") >= threshold)
+    if materialize:
+        vectors = _materialize(vectors)
+    coded = with_codes(vectors, "element", "_code")
+    if materialize:
+        coded = _materialize(coded)
+    cand = band_candidates(hyperplane_bands(coded.select("id", "element", "value"), bands, rows, seed), block)
+    if materialize:
+        cand = _materialize(cand)
+    coded = coded.select("id", F.col("_code").alias("element"), "value")
+    return cosine_of(cand, coded).where(F.col("similarity") >= threshold)

@@ -27,33 +27,65 @@ def set_sizes(sets: DataFrame, id_col: str = "id") -> DataFrame:
     return sets.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+ARRAY_MAX = 4096
+
+
+def _with_sizes(pairs: DataFrame, sizes: DataFrame, id_col: str) -> DataFrame:
+    n1 = sizes.select(F.col(id_col).alias("id_1"), F.col("n").alias("_n1"))
+    n2 = sizes.select(F.col(id_col).alias("id_2"), F.col("n").alias("_n2"))
+    return pairs.select("id_1", "id_2").join(n1, "id_1").join(n2, "id_2")
+
+
 def jaccard_of(
     pairs: DataFrame, sets: DataFrame, id_col: str = "id", element_col: str = "element",
-    sizes: DataFrame | None = None,
+    sizes: DataFrame | None = None, min_similarity: float | None = None, array_max: int = ARRAY_MAX,
 ) -> DataFrame:
     """(id_1, id_2, similarity) = |A∩B| / |A∪B| for each given pair.
 
     ``sets`` must be distinct on (id, element).  Pairs without a common
-    element get similarity 0.
+    element get similarity 0.  With ``min_similarity`` only pairs reaching it
+    are returned, and the size bound J <= min(n1,n2)/max(n1,n2) drops hopeless
+    pairs before any element is compared.
+
+    Two exact paths: pairs whose sets both have at most ``array_max``
+    elements compare sorted-free element arrays (``array_intersect``), which
+    moves one array per pair side instead of one row per element; pairs with a
+    larger set use the long-form join, so no unbounded set is ever gathered
+    into a single row.
     """
     if sizes is None:
         sizes = set_sizes(sets, id_col)
-    inter = _common(pairs, sets, id_col, element_col, []).groupBy("id_1", "id_2").agg(
-        F.count(F.lit(1)).alias("_c")
+    sized = _with_sizes(pairs, sizes, id_col)
+    if min_similarity is not None:
+        sized = sized.where(
+            F.least("_n1", "_n2") >= F.greatest("_n1", "_n2") * F.lit(min_similarity) - F.lit(1e-9)
+        )
+    small = (F.col("_n1") <= array_max) & (F.col("_n2") <= array_max)
+
+    arrays = (
+        sets.join(sizes.where(F.col("n") <= array_max).select(id_col), id_col)
+        .groupBy(id_col).agg(F.collect_list(element_col).alias("_a"))
     )
-    n1 = sizes.select(F.col(id_col).alias("id_1"), F.col("n").alias("_n1"))
-    n2 = sizes.select(F.col(id_col).alias("id_2"), F.col("n").alias("_n2"))
-    out = (
-        pairs.select("id_1", "id_2")
-        .join(inter, ["id_1", "id_2"], "left")
-        .join(n1, "id_1")
-        .join(n2, "id_2")
-        .withColumn("_c", F.coalesce("_c", F.lit(0)))
+    a1 = arrays.select(F.col(id_col).alias("id_1"), F.col("_a").alias("_a1"))
+    a2 = arrays.select(F.col(id_col).alias("id_2"), F.col("_a").alias("_a2"))
+    via_arrays = (
+        sized.where(small).join(a1, "id_1").join(a2, "id_2")
+        .select("id_1", "id_2", "_n1", "_n2", F.size(F.array_intersect("_a1", "_a2")).alias("_c"))
     )
-    return out.select(
+
+    big = sized.where(~small)
+    inter = _common(big, sets, id_col, element_col, []).groupBy("id_1", "id_2").agg(
+        F.count(F.lit(1)).alias("_c")
+    )
+    via_rows = big.join(inter, ["id_1", "id_2"], "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
+
+    out = via_arrays.unionByName(via_rows.select("id_1", "id_2", "_n1", "_n2", "_c")).select(
         "id_1", "id_2",
         (F.col("_c") / (F.col("_n1") + F.col("_n2") - F.col("_c"))).alias("similarity"),
     )
+    if min_similarity is not None:
+        out = out.where(F.col("similarity") >= min_similarity)
+    return out
 
 
 def vector_norms(vectors: DataFrame, id_col: str = "id", value_col: str = "value") -> DataFrame:

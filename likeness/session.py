@@ -4,8 +4,9 @@ for tests, the bench script and the checkpoint directory lookup."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -43,3 +44,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Used where one intermediate (a long-form set table, a candidate list) feeds
+    several branches of a plan: without it every branch re-runs the scan and
+    shuffles, and the analysed plan grows with each copy.  The written table
+    survives executor loss (unlike a local checkpoint), costs one job (a
+    reliable RDD checkpoint recomputes its last stage to write it), and gives
+    the optimizer real sizes for its broadcast and partitioning decisions.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/likeness-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
