@@ -12,15 +12,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _common(pairs: DataFrame, long_df: DataFrame, id_col: str, element_col: str, cols: list[str]) -> DataFrame:
-    """(id_1, id_2, element, <cols>_1, <cols>_2) for every element both ids hold."""
-    l = long_df.select(
-        F.col(id_col).alias("id_1"), F.col(element_col).alias("_e"), *[F.col(c).alias(f"{c}_1") for c in cols]
+def co_occurrences(
+    pairs: DataFrame, long_df: DataFrame, id_col: str, element_col: str, value_cols: list[str],
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """(id_1, id_2, _e, <v>_a, <v>_b) for every element both ids of a pair hold.
+
+    The id with fewer rows drives: the pair is expanded by that id's elements
+    and each is probed against (other id, element).  The work is therefore
+    Σ min(n1, n2) over the pairs, so a hot id holding a third of all rows
+    costs only its partners' sizes.  ``_a`` / ``_b`` are the driving / probed
+    sides -- callers aggregate symmetric expressions of them.
+    """
+    if sizes is None:
+        sizes = long_df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    n1 = sizes.select(F.col(id_col).alias("id_1"), F.col("n").alias("_s1"))
+    n2 = sizes.select(F.col(id_col).alias("id_2"), F.col("n").alias("_s2"))
+    first_drives = F.col("_s1") <= F.col("_s2")
+    oriented = pairs.select("id_1", "id_2").join(n1, "id_1").join(n2, "id_2").select(
+        "id_1", "id_2",
+        F.when(first_drives, F.col("id_1")).otherwise(F.col("id_2")).alias("_drive"),
+        F.when(first_drives, F.col("id_2")).otherwise(F.col("id_1")).alias("_probe"),
+    )
+    a = long_df.select(
+        F.col(id_col).alias("_drive"), F.col(element_col).alias("_e"), *[F.col(c).alias(f"{c}_a") for c in value_cols]
     )
-    r = long_df.select(
-        F.col(id_col).alias("id_2"), F.col(element_col).alias("_e"), *[F.col(c).alias(f"{c}_2") for c in cols]
+    b = long_df.select(
+        F.col(id_col).alias("_probe"), F.col(element_col).alias("_e"), *[F.col(c).alias(f"{c}_b") for c in value_cols]
     )
-    return pairs.select("id_1", "id_2").join(l, "id_1").join(r, ["id_2", "_e"])
+    return oriented.join(a, "_drive").join(b, ["_probe", "_e"]).drop("_drive", "_probe")
 
 
 def set_sizes(sets: DataFrame, id_col: str = "id") -> DataFrame:
@@ -74,7 +94,7 @@ def jaccard_of(
     )
 
     big = sized.where(~small)
-    inter = _common(big, sets, id_col, element_col, []).groupBy("id_1", "id_2").agg(
+    inter = co_occurrences(big, sets, id_col, element_col, [], sizes).groupBy("id_1", "id_2").agg(
         F.count(F.lit(1)).alias("_c")
     )
     via_rows = big.join(inter, ["id_1", "id_2"], "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
@@ -102,8 +122,8 @@ def cosine_of(
     ``vectors`` must hold one value per (id, element)."""
     if norms is None:
         norms = vector_norms(vectors, id_col, value_col)
-    dot = _common(pairs, vectors, id_col, element_col, [value_col]).groupBy("id_1", "id_2").agg(
-        F.sum(F.col(f"{value_col}_1") * F.col(f"{value_col}_2")).alias("_dot")
+    dot = co_occurrences(pairs, vectors, id_col, element_col, [value_col]).groupBy("id_1", "id_2").agg(
+        F.sum(F.col(f"{value_col}_a") * F.col(f"{value_col}_b")).alias("_dot")
     )
     n1 = norms.select(F.col(id_col).alias("id_1"), F.col("nsq").alias("_n1"))
     n2 = norms.select(F.col(id_col).alias("id_2"), F.col("nsq").alias("_n2"))

@@ -22,6 +22,7 @@ from likeness.operators.lsh import (
     band_candidates, bucket_members, hyperplane_bands, hyperplane_signatures, lsh_cosine_join,
     lsh_jaccard_join, minhash_bands, minhash_signatures,
 )
+from likeness.session import materialize
 from likeness.sources import tables as T
 
 
@@ -191,7 +192,8 @@ def item_candidates(train: DataFrame) -> DataFrame:
 
 def q_item_cf_lsh(spark: SparkSession, sf: str) -> DataFrame:
     train, test = T.cf_split(spark, sf)
-    pred = cfops.predict_item_cf(train, test, candidates=item_candidates(train))
+    train = materialize(train)
+    pred = cfops.predict_item_cf(train, test, candidates=materialize(item_candidates(train)))
     return pred.select("user_id", "item_id", _r("prediction"))
 
 
