@@ -88,9 +88,13 @@ def jaccard_of(
     )
     a1 = arrays.select(F.col(id_col).alias("id_1"), F.col("_a").alias("_a1"))
     a2 = arrays.select(F.col(id_col).alias("id_2"), F.col("_a").alias("_a2"))
+    # The intersection is produced by a one-row generator: a predicate on its
+    # output cannot be pushed below it, so the threshold filter does not copy
+    # the (costly) intersection into the join condition several times.
     via_arrays = (
         sized.where(small).join(a1, "id_1").join(a2, "id_2")
-        .select("id_1", "id_2", "_n1", "_n2", F.size(F.array_intersect("_a1", "_a2")).alias("_c"))
+        .select("id_1", "id_2", "_n1", "_n2",
+                F.inline(F.array(F.struct(F.size(F.array_intersect("_a1", "_a2")).alias("_c")))))
     )
 
     big = sized.where(~small)

@@ -11,10 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "likeness") -> SparkSession:
-    """A local session tuned like the cluster one: AQE with skew join on, UI off."""
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "likeness", min_partition_size: str | None = None
+) -> SparkSession:
+    """A local session tuned like the cluster one: AQE with skew join on, UI off.
+
+    ``min_partition_size`` lowers AQE's coalescing floor: the pair joins here
+    expand their inputs many times over, so partitions sized by shuffle input
+    alone can leave cores idle on small data.
+    """
+    b = SparkSession.builder
+    if min_partition_size:
+        b = b.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", min_partition_size)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        b.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
