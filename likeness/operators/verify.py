@@ -12,6 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(pairs: DataFrame) -> DataFrame:
+    """Hash the pair list over ``spark.sql.shuffle.partitions`` partitions.
+
+    Verification does far more work per pair than moving the pair costs, and
+    when the joins that follow are broadcasts (small sides) nothing else
+    would redistribute it: a pair list read back as one file stays one task.
+    An explicit partition count keeps AQE from coalescing the tiny pair rows
+    back into a few partitions.
+    """
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(n, "id_1", "id_2")
+
+
 def co_occurrences(
     pairs: DataFrame, long_df: DataFrame, id_col: str, element_col: str, value_cols: list[str],
     sizes: DataFrame | None = None,
@@ -29,7 +42,7 @@ def co_occurrences(
     n1 = sizes.select(F.col(id_col).alias("id_1"), F.col("n").alias("_s1"))
     n2 = sizes.select(F.col(id_col).alias("id_2"), F.col("n").alias("_s2"))
     first_drives = F.col("_s1") <= F.col("_s2")
-    oriented = pairs.select("id_1", "id_2").join(n1, "id_1").join(n2, "id_2").select(
+    oriented = spread(pairs.select("id_1", "id_2")).join(n1, "id_1").join(n2, "id_2").select(
         "id_1", "id_2",
         F.when(first_drives, F.col("id_1")).otherwise(F.col("id_2")).alias("_drive"),
         F.when(first_drives, F.col("id_2")).otherwise(F.col("id_1")).alias("_probe"),
@@ -75,7 +88,7 @@ def jaccard_of(
     """
     if sizes is None:
         sizes = set_sizes(sets, id_col)
-    sized = _with_sizes(pairs, sizes, id_col)
+    sized = _with_sizes(spread(pairs.select("id_1", "id_2")), sizes, id_col)
     if min_similarity is not None:
         sized = sized.where(
             F.least("_n1", "_n2") >= F.greatest("_n1", "_n2") * F.lit(min_similarity) - F.lit(1e-9)
