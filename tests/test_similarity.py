@@ -169,3 +169,16 @@ def test_hyperplane_bits_match_signs(spark):
 def test_bad_threshold(spark, micro):
     with pytest.raises(ValueError):
         exact_jaccard_join(_item_sets(micro), 0.0)
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_prefix_blocks_split_across_many_blocks(spark, monkeypatch, bits):
+    """Tiny order blocks force ranks and tail sums to cross block boundaries."""
+    import likeness.operators.exact as ex
+    monkeypatch.setattr(ex, "ORDER_BLOCK_BITS", bits)
+    sets = T.word_sets(spark, SF0001)
+    rows = [(r[0], r[1]) for r in sets.collect()]
+    assert _d(ex.exact_jaccard_join(sets, 0.4, materialize=False)) == pytest.approx(brute_jaccard(rows, 0.4))
+    vecs = T.event_vectors(spark, SF0001)
+    vrows = [(r[0], r[1], r[2]) for r in vecs.collect()]
+    assert _d(ex.exact_cosine_join(vecs, 0.6, materialize=False)) == pytest.approx(brute_cosine(vrows, 0.6))
