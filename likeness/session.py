@@ -39,18 +39,25 @@ def local_session(
     )
 
 
+_FALLBACK_DIR: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we make one of our own.
-    The directory is also registered with the SparkContext so that
-    ``DataFrame.checkpoint()`` and ALS's periodic checkpoints use it.
+    Only when the setting is absent (local tests) do we make one of our own,
+    once per application.  The directory is also registered with the
+    SparkContext so that ``DataFrame.checkpoint()`` and ALS's periodic
+    checkpoints use it.  (The setting is a core config, so it is read, never
+    set, at runtime.)
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="likeness-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
     sc = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    if not path:
+        app = sc.applicationId
+        if app not in _FALLBACK_DIR:
+            _FALLBACK_DIR[app] = tempfile.mkdtemp(prefix="likeness-ckpt-")
+        path = _FALLBACK_DIR[app]
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
