@@ -182,3 +182,40 @@ def test_prefix_blocks_split_across_many_blocks(spark, monkeypatch, bits):
     vecs = T.event_vectors(spark, SF0001)
     vrows = [(r[0], r[1], r[2]) for r in vecs.collect()]
     assert _d(ex.exact_cosine_join(vecs, 0.6, materialize=False)) == pytest.approx(brute_cosine(vrows, 0.6))
+
+
+def _skewed_sets(spark):
+    """One element in every set, one id holding most rows, many identical sets."""
+    rows = []
+    for i in range(40):
+        rows.append((i, "hot"))
+        rows += [(i, f"e{(i * 7 + k) % 23}") for k in range(3)]
+    rows += [(100, f"e{k}") for k in range(23)] + [(100, "hot")] + [(100, f"big{k}") for k in range(300)]
+    rows += [(200 + j, e) for j in range(30) for e in ("hot", "e1", "e2")]  # 30 identical sets
+    return spark.createDataFrame(rows, "id long, element string"), rows
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_skewed_sets_exact_and_lsh(spark, block):
+    sets, rows = _skewed_sets(spark)
+    want = brute_jaccard(rows, 0.5)
+    assert _d(exact_jaccard_join(sets, 0.5, block=block, materialize=False)) == pytest.approx(want)
+    lsh = _d(lsh_jaccard_join(sets, 0.5, block=block, materialize=False))
+    assert set(lsh) <= set(want) and lsh == pytest.approx({k: want[k] for k in lsh})
+    assert len([k for k in want if want[k] == 1.0]) == sum(1 for k in lsh if lsh[k] == 1.0)
+
+
+def test_hot_user_cf_matches_unskewed_formula(spark):
+    # one user rates every item; predictions must equal the micro-fixture formula regardless of orientation
+    from likeness.operators.cf import pearson_weights
+    r = [("hot", f"i{k}", float(1 + k % 5)) for k in range(50)] + [("a", "i1", 2.0), ("a", "i2", 5.0), ("a", "i3", 1.0)]
+    ratings = spark.createDataFrame(r, "user_id string, item_id string, rating double")
+    pairs = spark.createDataFrame([("a", "hot")], "id_1 string, id_2 string")
+    got = pearson_weights(pairs, ratings, "user_id", "item_id").first()["weight"]
+    mh = sum(1 + k % 5 for k in range(50)) / 50
+    ma = 8 / 3
+    hot = {1: 2.0, 2: 3.0, 3: 4.0}
+    a = {1: 2.0, 2: 5.0, 3: 1.0}
+    num = sum((a[k] - ma) * (hot[k] - mh) for k in a)
+    den = sum((a[k] - ma) ** 2 for k in a) ** 0.5 * sum((hot[k] - mh) ** 2 for k in a) ** 0.5
+    assert got == pytest.approx(num / den)
