@@ -76,4 +76,26 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/likeness-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def release_materialized(spark: SparkSession) -> int:
+    """Delete the tables ``materialize`` wrote for this application.
+
+    Call it once the results that read them have been computed or saved --
+    the lazy DataFrames returned by the operators read these tables.  Uses the
+    Hadoop FileSystem of each path, so it works on any shared store.
+    Returns the number of folders removed.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        removed += bool(hp.getFileSystem(conf).delete(hp, True))
+    return removed

@@ -103,3 +103,14 @@ def test_als_rows_finite_and_cold_start(spark, micro, micro_test, tmp_path):
     fit.save(str(tmp_path / "als"))
     from likeness.operators.als import load_als_model
     assert load_als_model(str(tmp_path / "als")).rank == 2
+
+
+def test_release_materialized(spark):
+    from likeness.session import materialize, release_materialized, _WRITTEN
+    release_materialized(spark)  # forget tables of earlier tests
+    df = materialize(spark.range(10))
+    assert df.count() == 10
+    path = _WRITTEN[spark.sparkContext.applicationId][-1]
+    assert os.path.exists(path.replace("file:", ""))
+    assert release_materialized(spark) == 1
+    assert not os.path.exists(path.replace("file:", ""))
