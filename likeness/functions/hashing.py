@@ -23,11 +23,18 @@ from pyspark.sql import functions as F
 PRIME = 2147483647
 
 
-def element_key(col: Column | str) -> Column:
-    """First 32 bits of md5(cast(col as string)) as a bigint, reduced mod P."""
+def check_modulus(modulus: int) -> int:
+    """Moduli up to 2^31 - 1 keep ``a*x + b`` (all three below the modulus) inside a bigint."""
+    if not 2 <= modulus <= PRIME:
+        raise ValueError(f"modulus must be in [2, {PRIME}], got {modulus}")
+    return modulus
+
+
+def element_key(col: Column | str, modulus: int = PRIME) -> Column:
+    """First 32 bits of md5(cast(col as string)) as a bigint, reduced mod ``modulus``."""
     c = F.col(col) if isinstance(col, str) else col
     hexed = F.substring(F.md5(c.cast("string")), 1, 8)
-    return F.pmod(F.conv(hexed, 16, 10).cast("long"), F.lit(PRIME))
+    return F.pmod(F.conv(hexed, 16, 10).cast("long"), F.lit(check_modulus(modulus)))
 
 
 def element_key_sql(expr: str) -> str:

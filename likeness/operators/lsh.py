@@ -26,39 +26,44 @@ from likeness.operators.verify import cosine_of, jaccard_of
 from likeness.session import materialize as _materialize
 
 
-def _h(r: str = "") -> str:
+def _h(r: str = "", modulus: int = PRIME) -> str:
     """SQL for hash ``r`` of the exploded parameter struct ``_p`` applied to ``_x``."""
-    return f"pmod(_x * _p.a{r} + _p.b{r}, {PRIME})"
+    return f"pmod(_x * _p.a{r} + _p.b{r}, {modulus})"
 
 
-def _sign(r: str = "") -> str:
-    return f"(pmod({_h(r)}, 2) * 2 - 1)"
+def _sign(r: str = "", modulus: int = PRIME) -> str:
+    return f"(pmod({_h(r, modulus)}, 2) * 2 - 1)"
 
 
 def minhash_signatures(
-    sets: DataFrame, num_hashes: int = 100, seed: int = 42, id_col: str = "id", element_col: str = "element"
+    sets: DataFrame, num_hashes: int = 100, seed: int = 42, id_col: str = "id", element_col: str = "element",
+    modulus: int = PRIME,
 ) -> DataFrame:
-    """Long-form MinHash signature: (id, hash_idx, value) (SIM1, AGG5, SNK4)."""
-    fam = HashFamily(num_hashes, seed)
-    x = sets.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"))
+    """Long-form MinHash signature: (id, hash_idx, value) (SIM1, AGG5, SNK4).
+
+    ``modulus`` is the hash family's modulus (a prime keeps the family
+    universal; the default is 2^31 - 1)."""
+    fam = HashFamily(num_hashes, seed, modulus)
+    x = sets.select(F.col(id_col).alias("id"), element_key(element_col, modulus).alias("_x"))
     return (
         x.select("id", "_x", F.explode(F.expr(fam.params_sql())).alias("_p"))
         .groupBy("id", F.col("_p.i").alias("hash_idx"))
-        .agg(F.expr(f"min({_h()})").alias("value"))
+        .agg(F.expr(f"min({_h('', modulus)})").alias("value"))
     )
 
 
 def minhash_bands(
-    sets: DataFrame, bands: int = 50, rows: int = 2, seed: int = 42, id_col: str = "id", element_col: str = "element"
+    sets: DataFrame, bands: int = 50, rows: int = 2, seed: int = 42, id_col: str = "id", element_col: str = "element",
+    modulus: int = PRIME,
 ) -> DataFrame:
     """(id, band, k0..k{rows-1}): the band slices of the MinHash signature (SIM2).
 
     Hash ``band*rows + r`` fills ``k{r}``, exactly as in ``minhash_signatures``.
     """
-    fam = HashFamily(bands * rows, seed)
-    x = sets.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"))
+    fam = HashFamily(bands * rows, seed, modulus)
+    x = sets.select(F.col(id_col).alias("id"), element_key(element_col, modulus).alias("_x"))
     exploded = x.select("id", "_x", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
-    aggs = [F.expr(f"min({_h(str(r))})").alias(f"k{r}") for r in range(rows)]
+    aggs = [F.expr(f"min({_h(str(r), modulus)})").alias(f"k{r}") for r in range(rows)]
     return exploded.groupBy("id", F.col("_p.band").alias("band")).agg(*aggs)
 
 
@@ -115,6 +120,7 @@ def band_candidates(banded: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
 def lsh_jaccard_join(
     sets: DataFrame, threshold: float = 0.5, bands: int = 50, rows: int = 2, seed: int = 42,
     id_col: str = "id", element_col: str = "element", block: int = DEFAULT_BLOCK, materialize: bool = True,
+    modulus: int = PRIME,
 ) -> DataFrame:
     """(id_1, id_2, similarity) for MinHash candidates with exact Jaccard >= threshold (SIM8)."""
     sets = sets.select(F.col(id_col).alias("id"), F.col(element_col).alias("element")).distinct()
@@ -124,7 +130,7 @@ def lsh_jaccard_join(
     coded = with_codes(sets, "element", "_code")
     if materialize:
         coded = _materialize(coded)
-    cand = band_candidates(minhash_bands(coded.select("id", "element"), bands, rows, seed), block)
+    cand = band_candidates(minhash_bands(coded.select("id", "element"), bands, rows, seed, modulus=modulus), block)
     if materialize:
         cand = _materialize(cand)
     return jaccard_of(cand, coded.select("id", F.col("_code").alias("element")), min_similarity=threshold)

@@ -219,3 +219,14 @@ def test_hot_user_cf_matches_unskewed_formula(spark):
     num = sum((a[k] - ma) * (hot[k] - mh) for k in a)
     den = sum((a[k] - ma) ** 2 for k in a) ** 0.5 * sum((hot[k] - mh) ** 2 for k in a) ** 0.5
     assert got == pytest.approx(num / den)
+
+
+def test_minhash_modulus_parameter(spark):
+    sets = T.word_sets(spark, SF0001)
+    small = {(r["id"], r["hash_idx"]): r["value"] for r in minhash_signatures(sets, 8, modulus=1009).collect()}
+    assert all(0 <= v < 1009 for v in small.values())
+    exact = _d(exact_jaccard_join(sets, 0.5, materialize=False))
+    lsh = _d(lsh_jaccard_join(sets, 0.5, modulus=1009, materialize=False))
+    assert set(lsh) <= set(exact)
+    with pytest.raises(ValueError):
+        minhash_signatures(sets, 4, modulus=2 ** 40)
