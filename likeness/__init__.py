@@ -15,7 +15,7 @@ from likeness.operators.lsh import (
     band_candidates, lsh_jaccard_join, lsh_cosine_join,
 )
 from likeness.operators.cf import (
-    pearson_weights, predict_user_cf, predict_item_cf, cold_start,
+    pearson_weights, predict_user_cf, predict_item_cf, cold_start, needed_pairs,
 )
 from likeness.operators.als import fit_als, predict_als
 from likeness.operators.evaluate import rating_error, join_quality
@@ -26,6 +26,6 @@ __all__ = [
     "jaccard_of", "cosine_of", "exact_jaccard_join", "exact_cosine_join",
     "minhash_signatures", "minhash_bands", "hyperplane_signatures", "hyperplane_bands",
     "band_candidates", "lsh_jaccard_join", "lsh_cosine_join",
-    "pearson_weights", "predict_user_cf", "predict_item_cf", "cold_start",
+    "pearson_weights", "predict_user_cf", "predict_item_cf", "cold_start", "needed_pairs",
     "fit_als", "predict_als", "rating_error", "join_quality",
 ]

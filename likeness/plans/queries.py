@@ -141,36 +141,17 @@ def q_join_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------- CF ----
 
-def _user_needed(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Canonical user pairs the user-based predictor asks weights for."""
-    um = entity_means(train, "user_id")
-    im = entity_means(train, "item_id")
-    warm = test.select("user_id", "item_id").distinct().join(um.select("user_id"), "user_id").join(
-        im.select("item_id"), "item_id")
-    raters = train.select("item_id", F.col("user_id").alias("_v"))
-    n = warm.join(raters, "item_id")
-    return n.select(F.least("user_id", "_v").alias("id_1"), F.greatest("user_id", "_v").alias("id_2")).distinct()
-
-
-def _item_needed(train: DataFrame, test: DataFrame) -> DataFrame:
-    um = entity_means(train, "user_id")
-    im = entity_means(train, "item_id")
-    warm = test.select("user_id", "item_id").distinct().join(um.select("user_id"), "user_id").join(
-        im.select("item_id"), "item_id")
-    rated = train.select("user_id", F.col("item_id").alias("_j"))
-    n = warm.join(rated, "user_id")
-    return n.select(F.least("item_id", "_j").alias("id_1"), F.greatest("item_id", "_j").alias("id_2")).distinct()
-
-
 def q_user_pearson(spark: SparkSession, sf: str) -> DataFrame:
     train, test = T.cf_split(spark, sf)
-    w = cfops.pearson_weights(_user_needed(train, test), train, "user_id", "item_id")
+    train = materialize(train)
+    w = cfops.pearson_weights(cfops.needed_pairs(train, test, "user"), train, "user_id", "item_id")
     return w.select("id_1", "id_2", _r("weight"))
 
 
 def q_item_pearson(spark: SparkSession, sf: str) -> DataFrame:
     train, test = T.cf_split(spark, sf)
-    w = cfops.pearson_weights(_item_needed(train, test), train, "item_id", "user_id")
+    train = materialize(train)
+    w = cfops.pearson_weights(cfops.needed_pairs(train, test, "item"), train, "item_id", "user_id")
     return w.select("id_1", "id_2", _r("weight"))
 
 
