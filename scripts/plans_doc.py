@@ -1,6 +1,14 @@
 """Regenerate PLANS.md: formatted plans of the flagship join's building blocks at sf0.01."""
-import sys, re
-import os; sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from __future__ import annotations
+
+import os
+import re
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
 from likeness.session import local_session
 from likeness.sources import tables as T
 from likeness.operators.lsh import minhash_bands, band_candidates
@@ -36,7 +44,7 @@ out.append(("Jaccard prefix (`jaccard_prefix`): block counts, window over blocks
 pairs = spark.createDataFrame([(1, 2)], "id_1 long, id_2 long")
 j = jaccard_of(pairs, ws, min_similarity=0.5)
 out.append(("Verification (`jaccard_of`): spread pairs, array path with one intersection (Generate), long path", tree(j), []))
-with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), 'PLANS.md'), 'w') as f:
+with open(os.path.join(ROOT, 'PLANS.md'), 'w') as f:
     f.write("# Physical plans (sf0.01, local[*], before AQE re-planning)\n\n")
     f.write("Generated by `explain(\"formatted\")` on the building blocks of the flagship join; the operator\n"
             "trees below are the initial adaptive plans (AQE may still switch joins to broadcast or split skewed\n"
@@ -45,4 +53,3 @@ with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
         f.write(f"## {title}\n\n```\n{t}\n```\n\n")
         if scans:
             f.write("Scan:\n\n```\n" + "\n".join(scans) + "\n```\n\n")
-
