@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def dedupe_ratings(
@@ -63,15 +62,25 @@ def baskets(sets: DataFrame, id_col: str = "id", element_col: str = "element") -
     )
 
 
-def dense_ids(df: DataFrame, col: str, idx_col: str = "idx") -> DataFrame:
+def dense_ids(df: DataFrame, col: str, idx_col: str = "idx", partitions: int | None = None) -> DataFrame:
     """Sorted distinct values of ``col`` numbered 0..n-1 (IDX1).
 
-    ``zipWithIndex`` numbers a range-partitioned sort in parallel (one small
-    job counts partition sizes); a window without PARTITION BY would pull every
-    id through one task.
+    The distinct values are range-partitioned (an explicit partition count,
+    which AQE leaves alone), numbered inside each range by a window over that
+    range only, and shifted by the sizes of the earlier ranges -- a table of
+    one row per partition, so its window and broadcast are bounded by the
+    partition count.  Range bounds come from Spark's seeded sampling, so a
+    recomputed partition gets the same numbers.  No row passes through Python.
     """
-    distinct_sorted = df.select(col).distinct().orderBy(col)
-    field = distinct_sorted.schema[col]
-    schema = T.StructType([field, T.StructField(idx_col, T.LongType(), False)])
-    rdd = distinct_sorted.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.select(col).distinct().repartitionByRange(n, col).withColumn("_p", F.spark_partition_id())
+    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select(
+        "_p",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("_off"),
+    )
+    numbered = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(col)))
+    return numbered.join(F.broadcast(offsets), "_p").select(
+        col, (F.col("_off") + F.col("_r") - 1).cast("long").alias(idx_col)
+    )

@@ -114,3 +114,10 @@ def test_release_materialized(spark):
     assert os.path.exists(path.replace("file:", ""))
     assert release_materialized(spark) == 1
     assert not os.path.exists(path.replace("file:", ""))
+
+
+def test_dense_ids_many_partitions(spark):
+    vals = [f"id{(k * 37) % 211:04d}" for k in range(500)]  # 211 distinct, repeated
+    df = spark.createDataFrame([(v,) for v in vals], "user_id string")
+    got = {r.user_id: r.idx for r in dense_ids(df, "user_id", partitions=7).collect()}
+    assert got == {v: i for i, v in enumerate(sorted(set(vals)))}
