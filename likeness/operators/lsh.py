@@ -111,10 +111,32 @@ def bucket_members(banded: DataFrame) -> DataFrame:
     return banded.join(sizes, keys).select(*keys, "id", "bucket_size")
 
 
-def band_candidates(banded: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Distinct (id_1, id_2), id_1 < id_2, sharing a bucket in any band (SIM7, JN2, DST5)."""
-    keys = ["band", *_key_cols(banded)]
-    return group_pairs(banded.select(*keys, "id"), keys, "id", block=block).select("id_1", "id_2").distinct()
+def band_candidates(banded: DataFrame, block: int = DEFAULT_BLOCK, collapse: bool = True) -> DataFrame:
+    """Distinct (id_1, id_2), id_1 < id_2, sharing a bucket in any band (SIM7, JN2, DST5).
+
+    With ``collapse`` (default) ids whose whole signatures are equal -- e.g.
+    exact copies, which meet in every band -- form one class: only one
+    representative per class is bucketed, and its pairs are expanded to the
+    members afterwards, plus all pairs inside each class.  The candidate set is
+    the same, but a pair of copies is emitted once instead of once per band.
+    The per-id signature array has one entry per band, so it is bounded.
+    """
+    kc = _key_cols(banded)
+    keys = ["band", *kc]
+    if not collapse:
+        return group_pairs(banded.select(*keys, "id"), keys, "id", block=block).select("id_1", "id_2").distinct()
+    sig = banded.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(*keys))).alias("_sig"))
+    classes = sig.groupBy("_sig").agg(F.min("id").alias("_rep"))
+    members = sig.join(classes, "_sig").select("id", "_rep")
+    reps = banded.join(members.where(F.col("id") == F.col("_rep")).select("id"), "id")
+    rep_pairs = group_pairs(reps.select(*keys, "id"), keys, "id", block=block).select("id_1", "id_2").distinct()
+    m1 = members.select(F.col("_rep").alias("id_1"), F.col("id").alias("_a"))
+    m2 = members.select(F.col("_rep").alias("id_2"), F.col("id").alias("_b"))
+    across = rep_pairs.join(m1, "id_1").join(m2, "id_2").select(
+        F.least("_a", "_b").alias("id_1"), F.greatest("_a", "_b").alias("id_2")
+    )
+    within = group_pairs(members, ["_rep"], "id", block=block).select("id_1", "id_2")
+    return across.unionByName(within)
 
 
 def lsh_jaccard_join(

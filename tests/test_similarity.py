@@ -230,3 +230,15 @@ def test_minhash_modulus_parameter(spark):
     assert set(lsh) <= set(exact)
     with pytest.raises(ValueError):
         minhash_signatures(sets, 4, modulus=2 ** 40)
+
+
+def test_collapsed_candidates_equal_plain(spark):
+    sets, _ = _skewed_sets(spark)
+    for src in (sets, T.word_sets(spark, SF0001)):
+        b = minhash_bands(src, 10, 2)
+        plain = sorted(map(tuple, band_candidates(b, collapse=False).collect()))
+        collapsed = sorted(map(tuple, band_candidates(b, collapse=True, block=2).collect()))
+        assert plain == collapsed and len(collapsed) == len(set(collapsed))
+    vb = hyperplane_bands(T.event_vectors(spark, SF0001), 10, 4)
+    assert sorted(map(tuple, band_candidates(vb, collapse=False).collect())) == \
+        sorted(map(tuple, band_candidates(vb).collect()))
