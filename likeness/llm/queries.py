@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from likeness.llm.decontaminate import contaminated
+from likeness.llm.exact_dedup import exact_dedup
 from likeness.llm.ngram_join import ngram_join
 from likeness.llm.shared import documents
+from likeness.llm.substring_dedup import substring_dedup
 
 # text without A-Z capitals; words of the two kinds
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -25,18 +28,65 @@ _SHINGLES = f"""
 
 OP1 = f"""
 WITH RECURSIVE {_SHINGLES},
-    c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b USING (g)
+    c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b USING (g)
           WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
     links AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
-              WHERE 100 * both >= 80 * (a.n + b.n - both)),
+              WHERE 100 * shared >= 80 * (a.n + b.n - shared)),
     reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
 SELECT r.x AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id
 FROM reach r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x"""
 
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir), keep_text=False)
+
+
+OP7 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w FROM documents),
+    v AS (SELECT doc_id, i, hash(array_to_string(w[i:i + 12], ' ')) AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+    lost AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS least FROM v) WHERE doc_id > least),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM lost),
+    kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n
+             FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP9 = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+    sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+OP10 = f"""
+WITH {_SHINGLES},
+    b AS (SELECT item_id, regexp_extract_all({_LOWERED}, {_SPACED}) AS w FROM benchmark),
+    t AS (SELECT DISTINCT item_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS g
+          FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+    m AS (SELECT item_id, count(*) AS n_item FROM t GROUP BY item_id)
+SELECT doc_id, item_id, any_value(n_item) AS n_item, count(*) AS n_shared, count(*) / any_value(n_item) AS containment
+FROM s JOIN t USING (g) JOIN m USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n_item)"""
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES = {
     "op1_ngram_join": OP1,
+    "op7_substring_dedup": OP7,
+    "op9_exact_dedup": OP9,
+    "op10_decontaminate": OP10,
 }

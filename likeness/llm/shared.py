@@ -108,13 +108,26 @@ def maybe_in(df: DataFrame, column: str, wanted: DataFrame, bits: int = BITMAP_B
     )
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", salt: int = 16) -> DataFrame:
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose key (the columns of ``dropped``) is not in
+    ``dropped``.  Only rows that a 1 MB bitmap cannot rule out are shuffled."""
+    keys = dropped.columns
+    if dropped.isEmpty():
+        return docs
+    marked = maybe_in(docs.withColumn("_key", F.xxhash64(*keys)), "_key", dropped.select(F.xxhash64(*keys).alias("_key")))
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    rest = marked.where("_maybe").alias("l").join(dropped.distinct().alias("r"), same, "left_anti")
+    return marked.where("not _maybe").unionByName(rest).drop("_key", "_maybe")
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str] | str, how: str = "left", salt: int = 16) -> DataFrame:
     """Equi-join in which a key with very many rows of ``big`` is spread over
     ``salt`` tasks; ``small`` has at most one row for a key."""
+    keys = [keys] if isinstance(keys, str) else keys
     salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
     return (
         big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int"))
-        .join(small.withColumn("_salt", salts), [key, "_salt"], how)
+        .join(small.withColumn("_salt", salts), [*keys, "_salt"], how)
         .drop("_salt")
     )
 
