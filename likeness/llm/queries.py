@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from likeness.llm.decontaminate import contaminated
 from likeness.llm.exact_dedup import exact_dedup
+from likeness.llm.licenses import scan_licenses
 from likeness.llm.ngram_join import ngram_join
+from likeness.llm.pii import find_pii
 from likeness.llm.shared import documents
 from likeness.llm.substring_dedup import substring_dedup
+from likeness.llm.toxicity import score_toxicity
+from likeness.llm.url_filter import filter_urls
 
 # text without A-Z capitals; words of the two kinds
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -38,6 +43,18 @@ FROM reach r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x"""
 
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir)).drop("all_spans")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir)).drop("blocks")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir), keep_text=False)
 
@@ -54,6 +71,37 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are all pages.  The tables have no dates and no lists, so both
+    come from the pages: day and action by arithmetic on page_id, and every
+    page's URL is also a list entry (domain, host or section, in turn)."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    captures = pages.withColumn("day", F.expr("(page_id * 37 + 11) % 365"))
+    host = F.regexp_extract("url", r"://([^/?#:]+)", 1)
+    section = F.regexp_extract("url", r"://([^/?#]+/[^/?#]*)", 1)
+    domain = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    turn = F.expr("page_id % 3")
+    entries = pages.select(
+        F.when(turn == 0, domain).when(turn == 1, host).otherwise(section).alias("pattern"),
+        F.expr("(page_id * 53 + 7) % 365").alias("day"), F.col("page_id").alias("seq"),
+        F.when(F.expr("(page_id * 11) % 5 < 3"), "block").otherwise("allow").alias("action"))
+    return filter_urls(captures, entries).fillna({"rule": "", "listed_on": -1})
+
+
+OP8 = r"""
+WITH p AS (SELECT page_id, (page_id * 37 + 11) % 365 AS day, regexp_extract(url, '://([^/?#:]+)', 1) AS host,
+        regexp_extract(url, '://([^/?#]+/[^/?#]*)', 1) AS section, (page_id * 53 + 7) % 365 AS listed,
+        CASE WHEN (page_id * 11) % 5 < 3 THEN 'block' ELSE 'allow' END AS action FROM pages),
+    c AS (SELECT *, regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS domain FROM p),
+    e AS (SELECT pattern, listed, arg_max(action, page_id) AS action
+          FROM (SELECT *, CASE page_id % 3 WHEN 0 THEN domain WHEN 1 THEN host ELSE section END AS pattern FROM c) GROUP BY pattern, listed),
+    m AS (SELECT c.page_id, c.day, k.pattern, k.level FROM c,
+          LATERAL (SELECT * FROM (VALUES (c.domain, 1), (c.host, 2), (c.section, 3)) v(pattern, level)) k),
+    f AS (SELECT m.page_id, m.day, m.pattern, m.level, e.action, e.listed FROM m ASOF JOIN e ON m.pattern = e.pattern AND m.day >= e.listed),
+    b AS (SELECT page_id, arg_max(action, level) AS action, arg_max(pattern, level) AS rule, arg_max(listed, level) AS listed_on FROM f GROUP BY page_id)
+SELECT c.page_id, c.day, coalesce(b.action = 'block', false) AS blocked, coalesce(b.rule, '') AS rule, coalesce(b.listed_on, -1) AS listed_on FROM c LEFT JOIN b USING (page_id)"""
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -79,7 +127,11 @@ FROM s JOIN t USING (g) JOIN m USING (item_id) GROUP BY doc_id, item_id HAVING 1
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_toxicity": op2_toxicity,
+    "op3_pii": op3_pii,
+    "op5_license_scan": op5_license_scan,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
@@ -87,6 +139,7 @@ QUERIES = {
 ORACLES = {
     "op1_ngram_join": OP1,
     "op7_substring_dedup": OP7,
+    "op8_url_filter": OP8,
     "op9_exact_dedup": OP9,
     "op10_decontaminate": OP10,
 }
