@@ -14,13 +14,9 @@ them that the pigeonhole fails (K - empty - d < 1; nearly always a tiny set)
 also gives its prefix -- the n - ceil(p n / 100) + 1 smallest hashes, of which
 two linked documents share one.  Both ways are exact, no cap on partners.
 
-Candidates pass a second, 512-bit parity sketch and the size bound, then the
-exact intersection of the shingle sets.  Links only have to connect the right
-documents: in groups of up to SMALL members all candidates are checked; in
-larger ones first every member's nearest neighbour, then -- after the
-components are known -- every candidate between different components.  Groups
-beyond BLOCK members are cut into pairs of blocks, so none meets in one task.
-Rows of a group go to the tasks, pairs only leave them if both sketches agree.
+Candidates pass a second, 512-bit parity sketch and the size bound, then one of
+their own size, then the exact intersection of the shingle sets.  See linkage
+for how groups of any size are connected without emitting their pairs.
 
 Nulls: a null or empty text, or one of white space, has an empty set and links
 with nothing.  Rows with a null id take part; a component's id is the smallest
@@ -38,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import components, discard, materialize, maybe_in, partitions, salted_join, ship
+from likeness.llm.linkage import connect
+from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship
 
-SMALL, BLOCK = 8, 1024
 SKETCH_WORDS = 8  # of 64 bits
 GROWTH = 1.6  # of the size bands
 FLUSH = 1 << 21
@@ -86,8 +82,16 @@ def _sketch(row: np.ndarray, h: np.ndarray, rows: int) -> np.ndarray:
     return np.packbits((n & 1).astype(np.uint8).reshape(rows, bits), axis=1)
 
 
+def _wide(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches of at least 4 n bits (a power of two): bytes and cuts."""
+    bits = np.where(n > 0, 1 << np.ceil(np.log2(np.maximum(4 * n, 64 * SKETCH_WORDS))).astype(np.int64), 0)
+    base = np.concatenate([[0], np.cumsum(bits)])
+    at = base[row] + (h & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=base[-1]) & 1).astype(np.uint8)), base // 8
+
+
 def profile(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, n, node, sketch) of every row; node is null for an empty set."""
+    """(id, text_hash, n, node, sketch, wide) of every row; node is null for an empty set."""
 
     def run(batches):
         for b in batches:
@@ -95,12 +99,12 @@ def profile(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
                 n = np.diff(cuts)
                 sk = _sketch(row, h, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, rows), pa.array(n), pa.array(_nodes(h, cuts).view(np.int64), mask=n == 0),
-                     W.binary_cuts(sk.reshape(-1), np.arange(rows + 1) * sk.shape[1])],
-                    names=["id", "n", "node", "sketch"])
+                    [b.column(0).slice(lo, rows), b.column(1).slice(lo, rows), pa.array(n), pa.array(_nodes(h, cuts).view(np.int64), mask=n == 0),
+                     W.binary_cuts(sk.reshape(-1), np.arange(rows + 1) * sk.shape[1]), W.binary_cuts(*_wide(row, h, n))],
+                    names=["id", "text_hash", "n", "node", "sketch", "wide"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, n long, node long, sketch binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(
+        run, "id long, text_hash long, n long, node long, sketch binary, wide binary")
 
 
 def _keys(row, h, cuts, percent: int, bands) -> tuple[np.ndarray, np.ndarray]:
@@ -227,89 +231,32 @@ def _shared_keys(docs: DataFrame, text_col: str, shingle: int, percent: int) ->
     return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, "key long, node long")
 
 
-def _compare(rows: DataFrame, keys: DataFrame, percent: int, everything: bool) -> DataFrame:
-    """Candidates (x, y, distance, large) that both sketches allow, of rows
-    (key, node, n, sketch, component) that share a key and differ in component.
+def _sift(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches of their own size allow a link."""
 
-    ``keys`` has the same keys, to be counted.  ``everything``: all candidates;
-    else the nearest neighbours in large groups.
-    """
-    spark = rows.sparkSession
-    hot = keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
-    split = (
-        rows.join(hot, "key", "left")
-        .withColumn("blocks", F.coalesce(F.ceil(F.col("m") / BLOCK), F.lit(1)).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            F.when(F.col("blocks") == 1, F.col("key"))
-            .otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).alias("cell"),
-            F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
-            .cast("byte").alias("side"),
-            (F.col("blocks") > 1).alias("large"), "node", "n", "sketch", "component")
-    )
-
-    def groups(batches):
-        """Whole groups: batches cut where the cell changes."""
-        rest = None
-        for b in batches:
-            t = pa.Table.from_batches([b] if rest is None else [rest, b]).combine_chunks()
-            cell = t.column("cell").to_numpy()
-            last = int(np.searchsorted(cell, cell[-1])) if len(cell) and (cell[1:] >= cell[:-1]).all() else 0
-            b = t.to_batches()[0] if len(t) else None
-            if b is None:
-                continue
-            if last:
-                yield b.slice(0, last)
-            rest = b.slice(last)
-        if rest is not None and len(rest):
-            yield rest
+    def fold(bits, size):
+        """A parity sketch made as short as another: halves XORed."""
+        while len(bits) > size:
+            half = len(bits) // 2
+            bits = bits[:half] ^ bits[half:]
+        return bits
 
     def run(batches):
-        for b in groups(batches):
-            col = {f: b.column(i) for i, f in enumerate(b.schema.names)}
-            cell, node = col["cell"].to_numpy(), col["node"].to_numpy()
-            n, comp, side = col["n"].to_numpy(), col["component"].to_numpy(), col["side"].to_numpy()
-            sk = W.from_binary(col["sketch"])[0].reshape(len(node), SKETCH_WORDS)
-            at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-            ends = np.append(at[1:], len(cell))
-            size = np.repeat(ends - at, ends - at)
-            large = (size > SMALL) | col["large"].to_numpy(zero_copy_only=False)
-            after = np.repeat(ends, ends - at) - np.arange(len(cell)) - 1
-            total = np.concatenate([[0], np.cumsum(after)])
-            lo, found = 0, []
-            while lo < len(cell):
-                hi = max(lo + 1, int(np.searchsorted(total, total[lo] + 200_000, "right")) - 1)
-                i = np.repeat(np.arange(lo, hi), after[lo:hi])
-                j = i + 1 + np.arange(len(i)) - np.repeat(total[lo:hi] - total[lo], after[lo:hi])
-                lo = hi
-                ok = (comp[i] != comp[j]) & (node[i] != node[j]) & ((side[i] == 0) | (side[i] != side[j]))
-                ok &= np.maximum(n[i], n[j]) * percent <= 100 * np.minimum(n[i], n[j])
-                i, j = i[ok], j[ok]
-                dist = np.bitwise_count(sk[i] ^ sk[j]).sum(1, dtype=np.int64)
-                ok = dist * (100 + percent) <= (100 - percent) * (n[i] + n[j])
-                i, j, dist = i[ok], j[ok], dist[ok]
-                if everything:
-                    found.append((node[i], node[j], dist / (n[i] + n[j]), large[i]))
-                else:
-                    big, rank = large[i], dist / (n[i] + n[j])
-                    x, y = np.concatenate([i[big], j[big]]), np.concatenate([j[big], i[big]])
-                    r2 = np.concatenate([rank[big]] * 2)
-                    o = np.lexsort((node[y], r2, node[x]))
-                    x, y, r2 = x[o], y[o], r2[o]
-                    best = np.append(True, node[x][1:] != node[x][:-1]) if len(x) else np.zeros(0, bool)
-                    found.append((np.concatenate([node[i[~big]], node[x[best]]]), np.concatenate([node[j[~big]], node[y[best]]]),
-                                  np.concatenate([rank[~big], r2[best]]), np.concatenate([big[~big], np.ones(best.sum(), bool)])))
-            if found:
-                x, y, r, g = (np.concatenate(c) for c in zip(*found, strict=True))
-                o = np.lexsort((r, y, x, g))
-                x, y, r, g = x[o], y[o], r[o], g[o]
-                once = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (g[1:] != g[:-1])) if len(x) else np.zeros(0, bool)
-                yield pa.RecordBatch.from_arrays([pa.array(c[once]) for c in (x, y, r, g)], names=["x", "y", "distance", "large"])
+        for b in batches:
+            n, m = b.column(2).to_numpy(), b.column(3).to_numpy()
+            (a, ac), (c, cc) = W.from_binary(b.column(4), np.uint8), W.from_binary(b.column(5), np.uint8)
+            keep = np.zeros(len(b), bool)
+            for i in range(len(b)):
+                s, t = a[ac[i] : ac[i + 1]], c[cc[i] : cc[i + 1]]
+                size = min(len(s), len(t))
+                d = int(np.bitwise_count(fold(s, size) ^ fold(t, size)).sum(dtype=np.int64))
+                keep[i] = d * (100 + percent) <= (100 - percent) * (n[i] + m[i])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(pa.array(keep))
 
     return (
-        split.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
-        .mapInArrow(run, "x long, y long, distance double, large boolean")
+        pairs.join(info.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("wide").alias("wx")), "x")
+        .join(info.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("wide").alias("wy")), "y")
+        .select("x", "y", "nx", "ny", "wx", "wy").mapInArrow(run, "x long, y long")
     )
 
 
@@ -335,8 +282,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _wanted_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, wanted: DataFrame) -> DataFrame:
-    """(node, items: sorted 64-bit hashes) of the sets in ``wanted`` (id, node).
-    Only their rows are shuffled, plus the few that a 1 MB bitmap lets through."""
+    """(node, items: sorted 64-bit hashes) of the sets in ``wanted`` (id,
+    text_hash, node).  Only their rows are shuffled, plus the few that a 1 MB
+    bitmap lets through."""
 
     def run(batches):
         for b in batches:
@@ -345,9 +293,11 @@ def _wanted_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, want
                 same = _nodes(h, cuts).view(np.int64) == expect[lo : lo + rows]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, rows), W.binary_cuts(h, cuts)], names=["node", "items"]).filter(pa.array(same))
 
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
-    texts = maybe_in(texts, "id", wanted.select("id")).where("_maybe").drop("_maybe")
-    return texts.join(wanted, "id").select("node", "text").mapInArrow(run, "node long, items binary").dropDuplicates(["node"])
+    own = ["id", "text_hash"]
+    texts = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    texts = maybe_in(texts, "text_hash", wanted.select("text_hash")).where("_maybe").drop("_maybe")
+    return texts.join(wanted, own).dropDuplicates(own).select("node", "text").mapInArrow(run, "node long, items binary")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -356,41 +306,24 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship(docs.sparkSession)
     prof = materialize(profile(docs, id_col, text_col, shingle))
     live = materialize(_shared_keys(docs, text_col, shingle, percent))
+    first_row = F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), "text_hash", "n", "sketch", "wide")
     one = prof.where("node is not null").groupBy("node").agg(
-        F.min(F.coalesce("id", F.lit(NO_ID))).alias("id"), F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        F.min_by(first_row, F.coalesce("id", F.lit(NO_ID))).alias("row"), F.min("id").alias("least_id")).select("node", "least_id", "row.*")
     used = live.select("node").distinct()
     info = materialize(one.join(used, "node"))
-    rows = live.join(info.select("node", "n", "sketch", F.col("node").alias("component")), "node")
-    found = materialize(_compare(rows, live, percent, everything=False))
-    pairs = (
-        found.where("not large").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        .union(found.where("large").groupBy("x").agg(F.min(F.struct("distance", "y")).alias("best"))
-               .select(F.least("x", "best.y"), F.greatest("x", "best.y")))
-        .distinct()
-    )
-    pairs = materialize(pairs)
 
     def links(pairs):
         nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-        wanted = materialize(info.select("id", "node").join(nodes, "node"))
+        wanted = materialize(info.select("id", "text_hash", "node").join(nodes, "node"))
         sets = materialize(_wanted_sets(docs, id_col, text_col, shingle, wanted))
         out = materialize(_verify(pairs, sets, percent))
         discard(sets, wanted)
         return out
 
-    first = links(pairs)
-    labels = components(first)
-    mine = live.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_keys = mine.groupBy("key").agg(
-        F.count("*").alias("m"), F.min("component").alias("a"), F.max("component").alias("b")).where((F.col("m") > SMALL) & (F.col("a") != F.col("b")))
-    rows = materialize(mine.join(open_keys.select("key"), "key").join(info.select("node", "n", "sketch"), "node"))
-    more = materialize(
-        _compare(rows, rows, percent, everything=True)
-        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().join(pairs, ["x", "y"], "left_anti"))
-    discard(rows, found)
-    if not more.isEmpty():
-        second = links(more)
-        labels = components(first.union(second))
+    def allow(n, m, d):
+        return (np.maximum(n, m) * percent <= 100 * np.minimum(n, m)) & (d * (100 + percent) <= (100 - percent) * (n + m))
+
+    labels = connect(live, info.select("node", "n", "sketch"), allow, lambda pairs: links(materialize(_sift(pairs, info, percent))))
     least = one.join(labels, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
     own = one.join(labels, "node", "left").join(least, "component", "left").select(
         "node", F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))

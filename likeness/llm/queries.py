@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from likeness.llm.decontaminate import contaminated
 from likeness.llm.exact_dedup import exact_dedup
 from likeness.llm.licenses import scan_licenses
+from likeness.llm.line_dedup import line_dedup
 from likeness.llm.ngram_join import ngram_join
+from likeness.llm.pieces import encode
 from likeness.llm.pii import find_pii
 from likeness.llm.shared import documents
 from likeness.llm.substring_dedup import substring_dedup
@@ -51,10 +53,18 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir)).drop("all_spans")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(documents(spark, sf_dir)).drop("kept_text")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).drop("blocks")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(documents(spark, sf_dir), keep_ids=False)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir), keep_text=False)
 
@@ -129,7 +139,9 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
+    "op4_line_dedup": op4_line_dedup,
     "op5_license_scan": op5_license_scan,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
