@@ -1,23 +1,52 @@
-"""The corpus pipeline: five filters and encoders over ``documents``, in order."""
+"""The corpus pipeline: four filters over ``documents``, then the encoder.
+
+Every stage reads all that the one before it kept, and its decisions take
+effect; all but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from likeness.llm.ngram_join import ngram_join
+from likeness.llm.decontaminate import decontaminate
+from likeness.llm.exact_dedup import keep_last
+from likeness.llm.ngram_join import keep_least
+from likeness.llm.pieces import encode
 from likeness.llm.shared import documents, materialize
+from likeness.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted toxic go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest id stays."""
+    return keep_last(docs)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates the document with the smallest id stays."""
+    return keep_least(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the
-    smallest id; of repeated rows, rows with a null id included, all stay."""
-    groups = ngram_join(docs)
-    return docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document left, and two sampled segmentations."""
+    return encode(docs)
 
 
 STAGES = [
-    ("ngram_join", near_duplicates),
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("ngram_join", ngram_join),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("sentencepiece", sentencepiece),
 ]
 
 #: Learned scores and sampled encodings are beyond SQL; tests/llm compares with brute force.

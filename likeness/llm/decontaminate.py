@@ -57,21 +57,24 @@ def _items(items: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
     item_text: str = "text", k: int = 5, percent: int = 80, block: int = BLOCK,
+    with_hash: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, n_item, n_shared, containment) of every document that
-    has at least ``percent`` per cent of an item's shingles."""
+    has at least ``percent`` per cent of an item's shingles; with_hash: and the
+    text_hash (xxhash64) of its text."""
     spark = docs.sparkSession
     ship(spark)
     index = materialize(_items(items, item_id, item_text, k, percent))
     total = index.agg(F.sum("n")).first()[0] or 0
     blocks = int(-(-total // block)) or 1
     place = F.pmod(F.xxhash64("item_id", "items"), F.lit(blocks))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     out = None
     for number in range(blocks):
         rows = index.where(place == number).toArrow()
-        part = _probe(docs, id_col, text_col, k, percent, spark.sparkContext.broadcast(_table(rows)))
+        part = _probe(docs, k, percent, spark.sparkContext.broadcast(_table(rows)))
         out = part if out is None else out.union(part)
-    return out
+    return out if with_hash else out.drop("text_hash")
 
 
 def _table(rows: pa.Table) -> tuple:
@@ -98,7 +101,7 @@ def _lookup(index: tuple, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, n
     return np.repeat(row, n), item[at]
 
 
-def _probe(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, table) -> DataFrame:
+def _probe(docs: DataFrame, k: int, percent: int, table) -> DataFrame:
     def run(batches):
         names, n, whole, sketch = table.value
         near = np.zeros(1 << 16, bool)
@@ -123,14 +126,14 @@ def _probe(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, ta
                 if len(r):
                     yield pa.RecordBatch.from_arrays(
                         [b.column(0).take(pa.array(r + s.lo)), pa.array([names[x] for x in i.tolist()], pa.int64()), pa.array(n[i]),
-                         pa.array(both.astype(np.int64)), pa.array(both / n[i])],
-                        names=["doc_id", "item_id", "n_item", "n_shared", "containment"])
+                         pa.array(both.astype(np.int64)), pa.array(both / n[i]), b.column(2).take(pa.array(r + s.lo))],
+                        names=["doc_id", "item_id", "n_item", "n_shared", "containment", "text_hash"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, item_id long, n_item long, n_shared long, containment double")
+    return docs.mapInArrow(run, "doc_id long, item_id long, n_item long, n_shared long, containment double, text_hash long")
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    found = materialize(contaminated(docs, items, id_col, **options))
-    return without(docs, found.select(F.col("doc_id").alias(id_col)))
+    found = materialize(contaminated(docs, items, id_col, text_col, with_hash=True, **options))
+    hashed = docs.withColumn("_hash", F.xxhash64(text_col))
+    return without(hashed, found.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias("_hash")).distinct()).drop("_hash")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from likeness.llm import words as W
 from likeness.llm.linkage import connect
-from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship
+from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship, without
 
 SKETCH_WORDS = 8  # of 64 bits
 GROWTH = 1.6  # of the size bands
@@ -301,8 +301,8 @@ def _wanted_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, want
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``, linked where
-    100 |A and B| >= percent |A or B|.  See the module for cases and method."""
+    """(doc_id, n_shingles, component_id, text_hash) of every row of ``docs``,
+    linked where 100 |A and B| >= percent |A or B|.  See the module for cases and method."""
     ship(docs.sparkSession)
     prof = materialize(profile(docs, id_col, text_col, shingle))
     live = materialize(_shared_keys(docs, text_col, shingle, percent))
@@ -327,6 +327,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = one.join(labels, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
     own = one.join(labels, "node", "left").join(least, "component", "left").select(
         "node", F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return salted_join(prof.select("id", "n", "node"), own, "node").select(
+    return salted_join(prof.select("id", "n", "node", "text_hash"), own, "node").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "text_hash")
+
+
+def keep_least(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest
+    id (rows without id, if the component has no other)."""
+    found = materialize(ngram_join(docs, id_col, text_col, **options))
+    gone = found.where("component_id is not null and not doc_id <=> component_id")
+    hashed = docs.withColumn("_hash", F.xxhash64(text_col))
+    return without(hashed, gone.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias("_hash")).distinct()).drop("_hash")

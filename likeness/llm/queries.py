@@ -23,7 +23,7 @@ _SPACED = r"'[^\x20\x09-\x0D]+'"
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(documents(spark, sf_dir))
+    return ngram_join(documents(spark, sf_dir)).drop("text_hash")
 
 
 _SHINGLES = f"""

@@ -297,3 +297,20 @@ def score_toxicity(
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 10_000, max_terms: int = 192) -> DataFrame:
+    """The rows of ``docs`` that score_toxicity predicts clean, all columns."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(learn(docs, labels, id_col, text_col, sample, max_terms))
+
+    def run(batches):
+        model, w = shared.value["model"], shared.value["weights"]
+        for b in batches:
+            clean = [x @ w[:-1] + w[-1] < 0 for _, _, x in _features(b, b.num_columns - 1, model)]
+            if clean:
+                yield b.select(range(b.num_columns - 1)).filter(pa.array(np.concatenate(clean)))
+
+    # the text once more, last, wherever it stands
+    return docs.select(*docs.columns, F.col(text_col).alias("_text")).mapInArrow(run, docs.schema)
