@@ -66,7 +66,11 @@ def exact_dedup(
     members = members.withColumn("len", F.octet_length("text")).withColumn("sha", digest(F.col("text")))
     differ = materialize(
         members.groupBy(*KEY).agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").select(*KEY))
-    kept = salted_join(index, owned, KEY, "inner")
+    # an entry whose key no other has is its own group; only the others are joined
+    several = owned.where("group_size > 1").select(*KEY, "last", "group_size")
+    kept = (
+        salted_join(index, several, KEY).withColumn("slot", F.shiftrightunsigned("h", 64 - max_depth)).join(slots, "slot")
+        .withColumn("last", F.coalesce("last", F.struct("doc_id", "row"))).withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long"))))
     if not differ.isEmpty():
         texts = docs.select(
             F.col(id_col).alias("doc_id"), hash_of(text).alias("h"), F.octet_length(text).alias("len"), digest(text).alias("sha"),

@@ -57,6 +57,8 @@ def automaton(terms: list[tuple[str, bool, float]]) -> tuple[np.ndarray, np.ndar
     Terms are (text, is_stem, weight).  State 0 is dead, 1 the start.  A state is a set
     of (trie node, edits); a stem's end loops on every byte.
     """
+    if not terms:
+        return np.zeros((2, 1), np.int32), np.zeros(256, np.int64), np.zeros(2, np.int8), np.zeros(2)
     children: list[dict[int, int]] = [{}]
     ends: list[tuple[bool, float] | None] = [None]
     fuzzy: list[bool] = [False]  # below the node is a whole word long enough to be misspelled
