@@ -1,12 +1,13 @@
 """likeness: similarity joins and collaborative filtering as Spark DataFrame plans.
 
-Every public function takes DataFrames and returns a lazy DataFrame; nothing is
-collected to the driver and no Python UDF runs in a hot path.
+Every public function takes DataFrames and returns a DataFrame; intermediates
+that several branches read are written to the shared checkpoint folder while the
+plan is built.  Nothing is collected to the driver and no Python UDF runs.
 """
 
 from likeness.functions.hashing import HashFamily
 from likeness.operators.dedupe import (
-    dedupe_ratings, distinct_users, distinct_items, entity_means, baskets, dense_ids,
+    dedupe_ratings, distinct_users, distinct_items, entity_means, baskets, basket_members, dense_ids,
 )
 from likeness.operators.verify import jaccard_of, cosine_of
 from likeness.operators.exact import exact_jaccard_join, exact_cosine_join
@@ -22,7 +23,7 @@ from likeness.operators.evaluate import rating_error, join_quality
 
 __all__ = [
     "HashFamily",
-    "dedupe_ratings", "distinct_users", "distinct_items", "entity_means", "baskets", "dense_ids",
+    "dedupe_ratings", "distinct_users", "distinct_items", "entity_means", "baskets", "basket_members", "dense_ids",
     "jaccard_of", "cosine_of", "exact_jaccard_join", "exact_cosine_join",
     "minhash_signatures", "minhash_bands", "hyperplane_signatures", "hyperplane_bands",
     "band_candidates", "lsh_jaccard_join", "lsh_cosine_join",

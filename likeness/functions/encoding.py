@@ -49,7 +49,7 @@ def element_codes(values: DataFrame, col: str, code_col: str = "code", buckets:
 
 def with_codes(df: DataFrame, col: str, code_col: str = "code", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``df`` plus a bigint ``code_col`` for ``col``: the value itself when it is
-    already integral, else its dictionary code."""
+    already integral, else its dictionary code.  Rows without a value go, whatever the type."""
     if is_integral(df, col):
-        return df.withColumn(code_col, F.col(col).cast("long"))
+        return df.where(F.col(col).isNotNull()).withColumn(code_col, F.col(col).cast("long"))
     return df.join(element_codes(df, col, code_col, buckets), col)

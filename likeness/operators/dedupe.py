@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from likeness.session import materialize
+
 
 def dedupe_ratings(
     ratings: DataFrame,
@@ -21,10 +23,9 @@ def dedupe_ratings(
     heavily repeated key costs one row per task, not one group in one task.
     """
     if order_col is None:
-        order = F.struct(F.col(rating_col))
-    else:
-        oc = F.col(order_col) if isinstance(order_col, str) else order_col
-        order = F.struct(oc, F.col(rating_col))
+        raise ValueError("order_col says which rating is the last; rows of a file have no order of their own")
+    oc = F.col(order_col) if isinstance(order_col, str) else order_col
+    order = F.struct(oc, F.col(rating_col))
     return ratings.groupBy(user_col, item_col).agg(
         F.max_by(F.col(rating_col), order).alias(rating_col)
     )
@@ -62,6 +63,11 @@ def baskets(sets: DataFrame, id_col: str = "id", element_col: str = "element") -
     )
 
 
+def basket_members(sets: DataFrame, id_col: str = "id", element_col: str = "element") -> DataFrame:
+    """The members themselves, long form: (id, element, n_rows) with repeats counted (SNK3)."""
+    return sets.groupBy(id_col, element_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def dense_ids(df: DataFrame, col: str, idx_col: str = "idx", partitions: int | None = None) -> DataFrame:
     """Sorted distinct values of ``col`` numbered 0..n-1 (IDX1).
 
@@ -69,11 +75,12 @@ def dense_ids(df: DataFrame, col: str, idx_col: str = "idx", partitions: int | N
     which AQE leaves alone), numbered inside each range by a window over that
     range only, and shifted by the sizes of the earlier ranges -- a table of
     one row per partition, so its window and broadcast are bounded by the
-    partition count.  Range bounds come from Spark's seeded sampling, so a
-    recomputed partition gets the same numbers.  No row passes through Python.
+    partition count.  Range bounds
+    are sampled anew whenever the exchange runs, so the ranged values are
+    written once and both branches read that table.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.select(col).distinct().repartitionByRange(n, col).withColumn("_p", F.spark_partition_id())
+    ranged = materialize(df.select(col).distinct().repartitionByRange(n, col).withColumn("_p", F.spark_partition_id()))
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_p",

@@ -15,7 +15,7 @@ D = PARAMS.DIGITS
 
 # ------------------------------------------------------------- fixtures ----
 WORDS = ("words AS (SELECT DISTINCT doc_id AS id, unnest(string_split(lower(text), ' ')) AS element "
-         "FROM documents WHERE n_chars < 2000)")
+         "FROM documents)")
 DAYS = "days AS (SELECT DISTINCT user_id AS id, CAST(ts AS DATE) AS element FROM events)"
 NAT = ("nat AS (SELECT DISTINCT l_partkey AS id, c_nationkey AS element FROM lineitem "
        "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)")
@@ -26,7 +26,8 @@ CF_RAW = ("cf_raw AS (SELECT o_custkey AS user_id, l_partkey AS item_id, CAST(ce
 CF = "cf AS (SELECT user_id, item_id, max(rating) AS rating FROM cf_raw GROUP BY user_id, item_id)"
 TRAIN = ("train AS (SELECT user_id, item_id, rating FROM cf WHERE (user_id * 7 + item_id * 13) % 20 <> 0 "
          "AND user_id % 50 <> 0 AND item_id % 50 <> 0)")
-TEST = "test AS (SELECT user_id, item_id, rating FROM cf WHERE (user_id * 7 + item_id * 13) % 20 = 0)"
+TEST = ("test AS (SELECT user_id, item_id, rating FROM cf WHERE (user_id * 7 + item_id * 13) % 20 = 0 "
+        "OR user_id % 50 = 0 OR item_id % 50 = 0)")
 SPLIT = [CF_RAW, CF, TRAIN, TEST]
 MEANS = [
     "um AS (SELECT user_id, avg(rating) AS mean FROM train GROUP BY user_id)",

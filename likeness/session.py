@@ -45,8 +45,9 @@ _FALLBACK_DIR: dict[str, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we make one of our own,
-    once per application.  The directory is also registered with the
+    Only for a local master (tests), where driver and executors are one
+    process, do we make one of our own, once per application; elsewhere a
+    missing setting is an error, since executors share no local folder.  The directory is also registered with the
     SparkContext so that ``DataFrame.checkpoint()`` and ALS's periodic
     checkpoints use it.  (The setting is a core config, so it is read, never
     set, at runtime.)
@@ -54,6 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         app = sc.applicationId
         if app not in _FALLBACK_DIR:
             _FALLBACK_DIR[app] = tempfile.mkdtemp(prefix="likeness-ckpt-")

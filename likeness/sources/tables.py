@@ -20,13 +20,10 @@ def day_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("user_id").alias("id"), F.to_date("ts").alias("element")).distinct()
 
 
-def word_sets(spark: SparkSession, sf_dir: str, max_chars: int = 2000) -> DataFrame:
-    """F-DOC: (id = doc_id, element = word of lower(text) split on ' '), distinct.
-
-    Every word of every selected document is used; ``max_chars`` selects the
-    short-document corpus of the fixture, it does not cut texts.
-    """
-    docs = table(spark, sf_dir, "documents").where(F.col("n_chars") < max_chars)
+def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-DOC: (id = doc_id, element = word of lower(text) split on ' '), distinct,
+    of every document and its whole text."""
+    docs = table(spark, sf_dir, "documents")
     return docs.select(
         F.col("doc_id").alias("id"), F.explode(F.split(F.lower("text"), " ")).alias("element")
     ).distinct()
@@ -87,11 +84,11 @@ def _is_cold(user: str = "user_id", item: str = "item_id"):
 def cf_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Deterministic train / test partition of F-CF.
 
-    1 in 20 (user, item) cells is held out for testing; the training side is
-    the rest minus the ratings of every 50th user and item, so that the test
-    side has cold users and cold items.
+    1 in 20 (user, item) cells is held out for testing, and all ratings of
+    every 50th user and item, so that the test side has cold users and cold
+    items.  Train and test together are all ratings.
     """
     r = cf_ratings(spark, sf_dir)
-    test = r.where(_is_test()).select("user_id", "item_id", "rating")
+    test = r.where(_is_test() | _is_cold()).select("user_id", "item_id", "rating")
     train = r.where(~_is_test() & ~_is_cold()).select("user_id", "item_id", "rating")
     return train, test

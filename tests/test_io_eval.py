@@ -88,7 +88,7 @@ def test_pair_sink_roundtrip(spark, tmp_path):
     txt = str(tmp_path / "pairs_txt")
     write_similarity_pairs(pairs, txt, exact_text=True)
     lines = [r.value for r in spark.read.text(txt).collect()]
-    assert sorted(lines) == ["a, b, 1.0", "b, c, 0.5"]
+    assert lines == ["business_id_1, business_id_2, similarity", "a, b, 1.0", "b, c, 0.5"]
 
 
 def test_prediction_sink(spark, micro, micro_test, tmp_path):
