@@ -2,9 +2,11 @@
 
 Signatures are computed in long form: each (id, element) row is expanded by
 the literal array of band parameters and reduced with ``min`` / ``sum``
-grouped by (id, band).  Both reductions aggregate partially on the map side,
-so an id holding a third of all rows costs one partial row per task and band,
-never one task holding the whole set.  Bands are compared by exact tuple
+grouped by (id, band).  The set rows, not the many times more exploded ones,
+are dealt by (id, part of the element's key) first: the rows of an id then meet
+in at most ``salts`` tasks, the partial reduction leaves one row per task and
+band there, and only those are shuffled again.  An id holding a third of all
+rows is spread over ``salts`` tasks.  Bands are compared by exact tuple
 equality; candidate pairs come from ``group_pairs`` (hot buckets are split)
 and are verified exactly.
 
@@ -16,6 +18,8 @@ selective (about 0.6 % recall at cosine 0.5); choose e.g. 50x8 for threshold
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,35 @@ from likeness.operators.verify import cosine_of, jaccard_of
 from likeness.session import materialize as _materialize
 
 
+#: Parts into which the rows of one id are dealt before its signature is reduced.
+DEFAULT_SALTS = 8
+
+
+def band_parameters(agreement: float, recall: float = 0.98, max_hashes: int = 128) -> tuple[int, int]:
+    """(bands, rows): the longest bands that find a pair with chance ``recall`` or more.
+
+    ``agreement`` is the chance that one hash agrees on a pair at the
+    threshold: the Jaccard threshold itself for MinHash, ``1 - acos(t) / pi``
+    for hyperplanes.  Longer bands let fewer unlike pairs through; more hashes
+    cost more time per signature.
+    """
+    if not 0 < agreement < 1 or not 0 < recall < 1:
+        raise ValueError("agreement and recall must lie between 0 and 1")
+    fitting = [
+        (bands, rows) for rows in range(1, max_hashes + 1) if agreement**rows > 1e-12
+        for bands in [math.ceil(math.log(1 - recall) / math.log1p(-(agreement**rows)))]
+        if bands * rows <= max_hashes
+    ]
+    if not fitting:
+        raise ValueError(f"no banding of {max_hashes} hashes reaches recall {recall} at agreement {agreement}")
+    return max(fitting, key=lambda p: p[1])
+
+
+def _dealt(rows: DataFrame, salts: int) -> DataFrame:
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, F.col("id"), F.pmod(F.col("_x"), F.lit(salts)))
+
+
 def _h(r: str = "", modulus: int = PRIME) -> str:
     """SQL for hash ``r`` of the exploded parameter struct ``_p`` applied to ``_x``."""
     return f"pmod(_x * _p.a{r} + _p.b{r}, {modulus})"
@@ -37,7 +70,7 @@ def _sign(r: str = "", modulus: int = PRIME) -> str:
 
 def minhash_signatures(
     sets: DataFrame, num_hashes: int = 100, seed: int = 42, id_col: str = "id", element_col: str = "element",
-    modulus: int = PRIME,
+    modulus: int = PRIME, salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """Long-form MinHash signature: (id, hash_idx, value) (SIM1, AGG5, SNK4).
 
@@ -46,7 +79,7 @@ def minhash_signatures(
     fam = HashFamily(num_hashes, seed, modulus)
     x = sets.select(F.col(id_col).alias("id"), element_key(element_col, modulus).alias("_x"))
     return (
-        x.select("id", "_x", F.explode(F.expr(fam.params_sql())).alias("_p"))
+        _dealt(x, salts).select("id", "_x", F.explode(F.expr(fam.params_sql())).alias("_p"))
         .groupBy("id", F.col("_p.i").alias("hash_idx"))
         .agg(F.expr(f"min({_h('', modulus)})").alias("value"))
     )
@@ -54,7 +87,7 @@ def minhash_signatures(
 
 def minhash_bands(
     sets: DataFrame, bands: int = 50, rows: int = 2, seed: int = 42, id_col: str = "id", element_col: str = "element",
-    modulus: int = PRIME,
+    modulus: int = PRIME, salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """(id, band, k0..k{rows-1}): the band slices of the MinHash signature (SIM2).
 
@@ -62,21 +95,21 @@ def minhash_bands(
     """
     fam = HashFamily(bands * rows, seed, modulus)
     x = sets.select(F.col(id_col).alias("id"), element_key(element_col, modulus).alias("_x"))
-    exploded = x.select("id", "_x", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
+    exploded = _dealt(x, salts).select("id", "_x", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
     aggs = [F.expr(f"min({_h(str(r), modulus)})").alias(f"k{r}") for r in range(rows)]
     return exploded.groupBy("id", F.col("_p.band").alias("band")).agg(*aggs)
 
 
 def hyperplane_signatures(
     vectors: DataFrame, num_planes: int = 400, seed: int = 42, id_col: str = "id",
-    element_col: str = "element", value_col: str = "value",
+    element_col: str = "element", value_col: str = "value", salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """Long-form sign sketch: (id, plane, sign) with sign = +1 if
     sum(value * s_plane(element)) >= 0 else -1 (SIM4, AGG6, FN10)."""
     fam = HashFamily(num_planes, seed)
     x = vectors.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"), F.col(value_col).alias("_v"))
     return (
-        x.select("id", "_x", "_v", F.explode(F.expr(fam.params_sql())).alias("_p"))
+        _dealt(x, salts).select("id", "_x", "_v", F.explode(F.expr(fam.params_sql())).alias("_p"))
         .groupBy("id", F.col("_p.i").alias("plane"))
         .agg(F.expr(f"sum(_v * {_sign()})").alias("_d"))
         .select("id", "plane", F.expr("IF(_d >= 0, 1, -1)").alias("sign"))
@@ -85,7 +118,7 @@ def hyperplane_signatures(
 
 def hyperplane_bands(
     vectors: DataFrame, bands: int = 20, rows: int = 20, seed: int = 42, id_col: str = "id",
-    element_col: str = "element", value_col: str = "value",
+    element_col: str = "element", value_col: str = "value", salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """(id, band, k0): the ``rows`` sign bits of each band packed into one
     bigint, bit r set when plane ``band*rows + r`` has sign +1 (SIM5)."""
@@ -93,7 +126,7 @@ def hyperplane_bands(
         raise ValueError("rows must be <= 62 to pack a band into a bigint")
     fam = HashFamily(bands * rows, seed)
     x = vectors.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"), F.col(value_col).alias("_v"))
-    exploded = x.select("id", "_x", "_v", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
+    exploded = _dealt(x, salts).select("id", "_x", "_v", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
     sums = [F.expr(f"sum(_v * {_sign(str(r))})").alias(f"_d{r}") for r in range(rows)]
     g = exploded.groupBy("id", F.col("_p.band").alias("band")).agg(*sums)
     key = " + ".join(f"IF(_d{r} >= 0, {1 << r}L, 0L)" for r in range(rows))

@@ -16,6 +16,10 @@ D = PARAMS.DIGITS
 # ------------------------------------------------------------- fixtures ----
 WORDS = ("words AS (SELECT DISTINCT doc_id AS id, unnest(string_split(lower(text), ' ')) AS element "
          "FROM documents)")
+RUNS = ("runs AS (SELECT id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) "
+        "AS element FROM (SELECT doc_id AS id, string_split(lower(text), ' ') AS w FROM documents))")
+SHG = RUNS + ",\nshg AS (SELECT DISTINCT id, element FROM runs)"
+SHV = RUNS + ",\nshv AS (SELECT id, element, CAST(count(*) AS DOUBLE) AS value FROM runs GROUP BY id, element)"
 DAYS = "days AS (SELECT DISTINCT user_id AS id, CAST(ts AS DATE) AS element FROM events)"
 NAT = ("nat AS (SELECT DISTINCT l_partkey AS id, c_nationkey AS element FROM lineitem "
        "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)")
@@ -111,9 +115,9 @@ def _cosine_of_cand(src: str) -> list[str]:
     ]
 
 
-def _lsh_jaccard_sql() -> str:
-    b, r = PARAMS.MINHASH_BANDS, PARAMS.MINHASH_ROWS
-    ctes = [WORDS, *_minhash_bands("words", b, r), _cand([f"k{i}" for i in range(r)]), *_jaccard_of_cand("words")]
+def _lsh_jaccard_sql(fixture: str = WORDS, src: str = "words", b: int = PARAMS.MINHASH_BANDS,
+                     r: int = PARAMS.MINHASH_ROWS) -> str:
+    ctes = [fixture, *_minhash_bands(src, b, r), _cand([f"k{i}" for i in range(r)]), *_jaccard_of_cand(src)]
     return _with(*ctes) + f"SELECT id_1, id_2, similarity FROM jac WHERE similarity >= {PARAMS.JACCARD_THRESHOLD}"
 
 
@@ -126,12 +130,12 @@ def _lsh_cosine_sql(bands: int, rows: int) -> str:
     return _with(*ctes) + f"SELECT id_1, id_2, similarity FROM cosv WHERE similarity >= {PARAMS.COSINE_THRESHOLD}"
 
 
-def _exact_cosine_sql() -> str:
+def _exact_cosine_sql(fixture: str = EVT, src: str = "evt") -> str:
     t = PARAMS.COSINE_THRESHOLD
     ctes = [
-        EVT,
-        "cand AS (SELECT DISTINCT a.id AS id_1, b.id AS id_2 FROM evt a JOIN evt b ON a.element = b.element AND a.id < b.id)",
-        *_cosine_of_cand("evt"),
+        fixture,
+        f"cand AS (SELECT DISTINCT a.id AS id_1, b.id AS id_2 FROM {src} a JOIN {src} b ON a.element = b.element AND a.id < b.id)",
+        *_cosine_of_cand(src),
     ]
     return _with(*ctes) + f"SELECT id_1, id_2, similarity FROM cosv WHERE similarity >= {t}"
 
@@ -212,6 +216,18 @@ def _user_cf_sql() -> str:
     return _with(*_user_cf_ctes()) + _cascade("m_user")
 
 
+def _quality_sql(found: str, true: str) -> str:
+    return (
+        f"WITH lsh AS ({found}), ex AS ({true}), "
+        "j AS (SELECT lsh.id_1 AS a, ex.id_1 AS t FROM lsh FULL OUTER JOIN ex ON lsh.id_1 = ex.id_1 AND lsh.id_2 = ex.id_2), "
+        "c AS (SELECT count(a) AS n_found, count(t) AS n_true, count(CASE WHEN a IS NOT NULL AND t IS NOT NULL THEN 1 END) AS n_hit FROM j) "
+        f"SELECT n_found, n_true, n_hit, round(CASE WHEN n_found = 0 THEN 1.0 ELSE n_hit / n_found END, {D}) AS precision, "
+        f"round(CASE WHEN n_true = 0 THEN 1.0 ELSE n_hit / n_true END, {D}) AS recall FROM c"
+    )
+
+
+TUNED = PARAMS.TUNED_BANDS, PARAMS.TUNED_ROWS
+
 ORACLES: dict[str, str] = {
     "ratings_dedupe": _with(CF_RAW) + (
         "SELECT user_id, item_id, rating FROM (SELECT user_id, item_id, rating, row_number() OVER ("
@@ -252,13 +268,17 @@ ORACLES: dict[str, str] = {
     "lsh_cosine_join": _lsh_cosine_sql(PARAMS.COSINE_BANDS, PARAMS.COSINE_ROWS),
     "lsh_cosine_join_20x20": _lsh_cosine_sql(PARAMS.PLANES_BANDS, PARAMS.PLANES_ROWS),
     "exact_cosine_join": _exact_cosine_sql(),
-    "join_quality": (
-        f"WITH lsh AS ({_lsh_jaccard_sql()}), ex AS ({_exact_jaccard_sql(WORDS, 'words', PARAMS.JACCARD_THRESHOLD)}), "
-        "j AS (SELECT lsh.id_1 AS a, ex.id_1 AS t FROM lsh FULL OUTER JOIN ex ON lsh.id_1 = ex.id_1 AND lsh.id_2 = ex.id_2), "
-        "c AS (SELECT count(a) AS n_found, count(t) AS n_true, count(CASE WHEN a IS NOT NULL AND t IS NOT NULL THEN 1 END) AS n_hit FROM j) "
-        f"SELECT n_found, n_true, n_hit, round(CASE WHEN n_found = 0 THEN 1.0 ELSE n_hit / n_found END, {D}) AS precision, "
-        f"round(CASE WHEN n_true = 0 THEN 1.0 ELSE n_hit / n_true END, {D}) AS recall FROM c"
+    "exact_cosine_shingles": _exact_cosine_sql(SHV, "shv"),
+    "lsh_candidates_tuned": _with(
+        SHG, *_minhash_bands("shg", *TUNED), _cand([f"k{i}" for i in range(PARAMS.TUNED_ROWS)])
+    ) + "SELECT id_1, id_2 FROM cand",
+    "lsh_jaccard_tuned": _lsh_jaccard_sql(SHG, "shg", *TUNED),
+    "exact_jaccard_shingles": _exact_jaccard_sql(SHG, "shg", PARAMS.JACCARD_THRESHOLD),
+    "join_quality": _quality_sql(_lsh_jaccard_sql(), _exact_jaccard_sql(WORDS, "words", PARAMS.JACCARD_THRESHOLD)),
+    "join_quality_tuned": _quality_sql(
+        _lsh_jaccard_sql(SHG, "shg", *TUNED), _exact_jaccard_sql(SHG, "shg", PARAMS.JACCARD_THRESHOLD)
     ),
+    "join_quality_cosine": _quality_sql(_lsh_cosine_sql(PARAMS.COSINE_BANDS, PARAMS.COSINE_ROWS), _exact_cosine_sql()),
     "user_pearson": _with(*SPLIT, *MEANS, USER_NEIGH, NEEDED, *_weights("user_id", "item_id", "um"))
     + f"SELECT id_1, id_2, round(weight, {D}) AS weight FROM weights",
     "item_pearson": _with(*_item_cf_ctes(False)[:-1])

@@ -19,7 +19,7 @@ from likeness.operators.dedupe import baskets, dedupe_ratings, dense_ids, distin
 from likeness.operators.evaluate import join_quality, rating_error
 from likeness.operators.exact import exact_cosine_join, exact_jaccard_join
 from likeness.operators.lsh import (
-    band_candidates, bucket_members, hyperplane_bands, hyperplane_signatures, lsh_cosine_join,
+    band_candidates, band_parameters, bucket_members, hyperplane_bands, hyperplane_signatures, lsh_cosine_join,
     lsh_jaccard_join, minhash_bands, minhash_signatures,
 )
 from likeness.session import materialize
@@ -36,6 +36,8 @@ class PARAMS:
     PLANES_BANDS, PLANES_ROWS = 20, 20
     COSINE_BANDS, COSINE_ROWS = 50, 8
     COSINE_THRESHOLD = 0.5
+    TUNED_RECALL = 0.98
+    TUNED_BANDS, TUNED_ROWS = band_parameters(JACCARD_THRESHOLD, TUNED_RECALL)
     DIGITS = 6
 
 
@@ -104,6 +106,24 @@ def q_exact_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return exact_jaccard_join(T.word_sets(spark, sf), PARAMS.JACCARD_THRESHOLD)
 
 
+def q_lsh_candidates_tuned(spark: SparkSession, sf: str) -> DataFrame:
+    return band_candidates(minhash_bands(T.shingle_sets(spark, sf), PARAMS.TUNED_BANDS, PARAMS.TUNED_ROWS, PARAMS.SEED))
+
+
+def q_lsh_jaccard_tuned(spark: SparkSession, sf: str) -> DataFrame:
+    return lsh_jaccard_join(T.shingle_sets(spark, sf), PARAMS.JACCARD_THRESHOLD,
+                            PARAMS.TUNED_BANDS, PARAMS.TUNED_ROWS, PARAMS.SEED)
+
+
+def q_exact_jaccard_shingles(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_jaccard_join(T.shingle_sets(spark, sf), PARAMS.JACCARD_THRESHOLD)
+
+
+def q_join_quality_tuned(spark: SparkSession, sf: str) -> DataFrame:
+    q = join_quality(q_lsh_jaccard_tuned(spark, sf), q_exact_jaccard_shingles(spark, sf))
+    return q.select("n_found", "n_true", "n_hit", _r("precision"), _r("recall"))
+
+
 def q_exact_jaccard_dense(spark: SparkSession, sf: str) -> DataFrame:
     return exact_jaccard_join(T.nation_sets(spark, sf), PARAMS.DENSE_THRESHOLD)
 
@@ -134,6 +154,15 @@ def q_exact_cosine_join(spark: SparkSession, sf: str) -> DataFrame:
     return exact_cosine_join(T.event_vectors(spark, sf), PARAMS.COSINE_THRESHOLD)
 
 
+def q_exact_cosine_shingles(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_cosine_join(T.shingle_vectors(spark, sf), PARAMS.COSINE_THRESHOLD)
+
+
+def q_join_quality_cosine(spark: SparkSession, sf: str) -> DataFrame:
+    q = join_quality(q_lsh_cosine_join(spark, sf), q_exact_cosine_join(spark, sf))
+    return q.select("n_found", "n_true", "n_hit", _r("precision"), _r("recall"))
+
+
 def q_join_quality(spark: SparkSession, sf: str) -> DataFrame:
     q = join_quality(q_lsh_jaccard_join(spark, sf), q_exact_jaccard_join(spark, sf))
     return q.select("n_found", "n_true", "n_hit", _r("precision"), _r("recall"))
@@ -214,6 +243,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lsh_candidates": q_lsh_candidates,
     "lsh_jaccard_join": q_lsh_jaccard_join,
     "exact_jaccard_join": q_exact_jaccard_join,
+    "lsh_candidates_tuned": q_lsh_candidates_tuned,
+    "lsh_jaccard_tuned": q_lsh_jaccard_tuned,
+    "exact_jaccard_shingles": q_exact_jaccard_shingles,
+    "join_quality_tuned": q_join_quality_tuned,
     "exact_jaccard_dense": q_exact_jaccard_dense,
     "exact_jaccard_days": q_exact_jaccard_days,
     "hyperplane_signatures": q_hyperplane_signatures,
@@ -221,6 +254,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lsh_cosine_join": q_lsh_cosine_join,
     "lsh_cosine_join_20x20": q_lsh_cosine_join_20x20,
     "exact_cosine_join": q_exact_cosine_join,
+    "exact_cosine_shingles": q_exact_cosine_shingles,
+    "join_quality_cosine": q_join_quality_cosine,
     "join_quality": q_join_quality,
     "user_pearson": q_user_pearson,
     "item_pearson": q_item_pearson,

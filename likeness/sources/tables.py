@@ -29,6 +29,26 @@ def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
+def shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id = doc_id, element = three consecutive words of lower(text) split on ' ')
+    at every place of every whole text; texts of fewer words have none."""
+    words = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.split(F.lower("text"), " ").alias("_w")
+    )
+    runs = F.expr("transform(sequence(1, size(_w) - 2), i -> concat_ws(' ', slice(_w, i, 3)))")
+    return words.where(F.size("_w") >= 3).select("id", F.explode(runs).alias("element"))
+
+
+def shingle_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-SHG: the distinct shingles of every document."""
+    return shingles(spark, sf_dir).distinct()
+
+
+def shingle_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-SHV: (id, element = shingle, value = its count), sparse vectors."""
+    return shingles(spark, sf_dir).groupBy("id", "element").agg(F.count(F.lit(1)).cast("double").alias("value"))
+
+
 def nation_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-NAT: (id = l_partkey, element = nation of a customer who ordered it), distinct."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
