@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from likeness.operators.exact import exact_cosine_join, exact_jaccard_join
 from likeness.operators.lsh import (
-    band_candidates, hyperplane_bands, lsh_cosine_join, lsh_jaccard_join, minhash_bands, minhash_signatures,
+    band_candidates, band_parameters, hyperplane_bands, lsh_cosine_join, lsh_jaccard_join, minhash_bands, minhash_signatures,
 )
 from likeness.operators.pairs import group_pairs
 from likeness.operators.verify import cosine_of, jaccard_of
@@ -102,6 +102,44 @@ def test_lsh_subset_of_exact_and_recall(spark):
     assert len(lsh) == len(exact)  # 50x2 misses a 0.5-pair with probability ~6e-7
 
 
+def test_band_parameters_reach_the_recall():
+    assert band_parameters(0.5, 0.98, 128) == (30, 3)
+    for agreement in (0.3, 0.5, 0.8, 0.95):
+        bands, rows = band_parameters(agreement, 0.95, 256)
+        assert bands * rows <= 256 and 1 - (1 - agreement ** rows) ** bands >= 0.95
+    for bad in ((0.0, 0.9), (1.0, 0.9), (0.5, 1.0), (0.01, 0.99)):
+        with pytest.raises(ValueError):
+            band_parameters(*bad)
+
+
+def test_tuned_join_of_shingles(spark):
+    sets = T.shingle_sets(spark, SF0001)
+    rows = [(r[0], r[1]) for r in sets.collect()]
+    texts = {r["doc_id"]: r["text"].lower().split(" ") for r in T.table(spark, SF0001, "documents").collect()}
+    want = {(i, " ".join(w[k:k + 3])) for i, w in texts.items() for k in range(len(w) - 2)}
+    assert set(rows) == want and len(rows) == len(want)
+    true = brute_jaccard(rows, 0.5)
+    found = _d(lsh_jaccard_join(sets, 0.5, *band_parameters(0.5)))
+    assert set(found) <= set(true) and len(found) >= 0.95 * len(true)
+
+
+@pytest.mark.parametrize("sketch", ["minhash_signatures", "minhash_bands", "hyperplane_signatures", "hyperplane_bands"])
+def test_rows_are_dealt_before_they_are_exploded(spark, sketch):
+    import likeness.operators.lsh as lsh
+    rows = spark.createDataFrame([("a", "x", 1.0), ("b", "y", 2.0)], "id string, element string, value double")
+    plan = getattr(lsh, sketch)(rows)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate explode", 1)
+    assert above.count("Exchange hashpartitioning") == 1 and above.count("HashAggregate") + above.count("ObjectHashAggregate") >= 2
+    assert "Exchange hashpartitioning(id" in below
+
+
+@pytest.mark.parametrize("salts", [1, 3, 64])
+def test_signatures_do_not_depend_on_the_salts(spark, salts):
+    sets, _ = _skewed_sets(spark)
+    got = sorted(map(tuple, minhash_signatures(sets, 6, salts=salts).collect()))
+    assert got == sorted(map(tuple, minhash_signatures(sets, 6).collect()))
+
+
 def test_lsh_cosine_subset(spark):
     vecs = T.event_vectors(spark, SF0001)
     exact = _d(exact_cosine_join(vecs, 0.5))
