@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import materialize, ship, without
+from likeness.llm.shared import materialize, ship, tidy, without
 
 BLOCK = 1 << 20
 
@@ -51,7 +51,7 @@ def _items(items: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
                     names=["item_id", "n", "size", "items"]).filter(pa.array(n > 0))
 
     return items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "item_id long, n long, size long, items binary")
+        tidy(run), "item_id long, n long, size long, items binary")
 
 
 def contaminated(
@@ -129,7 +129,7 @@ def _probe(docs: DataFrame, k: int, percent: int, table) -> DataFrame:
                          pa.array(both.astype(np.int64)), pa.array(both / n[i]), b.column(2).take(pa.array(r + s.lo))],
                         names=["doc_id", "item_id", "n_item", "n_shared", "containment", "text_hash"])
 
-    return docs.mapInArrow(run, "doc_id long, item_id long, n_item long, n_shared long, containment double, text_hash long")
+    return docs.mapInArrow(tidy(run), "doc_id long, item_id long, n_item long, n_shared long, containment double, text_hash long")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

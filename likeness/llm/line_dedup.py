@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from likeness.llm import words as W
 from likeness.llm.linkage import connect
-from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship
+from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship, tidy
 
 FLUSH = 1 << 21
 SKETCH_BITS = 256
@@ -168,8 +168,8 @@ def _shared_keys(lines: DataFrame, most: int, min_chars: int) -> DataFrame:
         if held:
             yield shared()
 
-    sent = lines.select("node", "line").mapInArrow(send, "bucket int, keys binary, nodes binary, probes binary")
-    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, "key long, node long")
+    sent = lines.select("node", "line").mapInArrow(tidy(send), "bucket int, keys binary, nodes binary, probes binary")
+    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(receive), "key long, node long")
 
 
 def edit_distance_within(a: str, b: str, most: int) -> bool:
@@ -213,7 +213,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, most: int) -> DataFrame:
     return (
         pairs.join(texts.select(F.col("node").alias("x"), F.col("line").alias("a")), "x")
         .join(texts.select(F.col("node").alias("y"), F.col("line").alias("b")), "y")
-        .select("x", "y", "a", "b").mapInArrow(run, "x long, y long")
+        .select("x", "y", "a", "b").mapInArrow(tidy(run), "x long, y long")
     )
 
 
@@ -225,7 +225,7 @@ def _profile(lines: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, n), pa.array(np.diff(cuts)), W.binary_cuts(sk, np.arange(n + 1) * (SKETCH_BITS // 8))], names=["node", "n", "sketch"])
 
-    return lines.select("node", "line").mapInArrow(run, "node long, n long, sketch binary")
+    return lines.select("node", "line").mapInArrow(tidy(run), "node long, n long, sketch binary")
 
 
 def line_classes(lines: DataFrame, most: int, min_chars: int) -> DataFrame:

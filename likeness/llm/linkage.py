@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import components, discard, materialize, partitions
+from likeness.llm.shared import components, discard, materialize, partitions, tidy
 
 SMALL, BLOCK = 8, 1024
 Allow = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -113,7 +113,7 @@ def compare(rows: DataFrame, keys: DataFrame, allow: Allow, everything: bool) ->
 
     return (
         split.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
-        .mapInArrow(run, "x long, y long, rank double, large boolean")
+        .mapInArrow(tidy(run), "x long, y long, rank double, large boolean")
     )
 
 

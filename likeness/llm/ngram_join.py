@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from likeness.llm import words as W
 from likeness.llm.linkage import connect
-from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship, without
+from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship, tidy, without
 
 SKETCH_WORDS = 8  # of 64 bits
 GROWTH = 1.6  # of the size bands
@@ -104,7 +104,7 @@ def profile(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
                     names=["id", "text_hash", "n", "node", "sketch", "wide"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, text_hash long, n long, node long, sketch binary, wide binary")
+        tidy(run), "id long, text_hash long, n long, node long, sketch binary, wide binary")
 
 
 def _keys(row, h, cuts, percent: int, bands) -> tuple[np.ndarray, np.ndarray]:
@@ -227,8 +227,8 @@ def _shared_keys(docs: DataFrame, text_col: str, shingle: int, percent: int) ->
         if held:
             yield shared()
 
-    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(send, "bucket int, keys binary, nodes binary")
-    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, "key long, node long")
+    sent = docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(send), "bucket int, keys binary, nodes binary")
+    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(receive), "key long, node long")
 
 
 def _sift(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
@@ -256,7 +256,7 @@ def _sift(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     return (
         pairs.join(info.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("wide").alias("wx")), "x")
         .join(info.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("wide").alias("wy")), "y")
-        .select("x", "y", "nx", "ny", "wx", "wy").mapInArrow(run, "x long, y long")
+        .select("x", "y", "nx", "ny", "wx", "wy").mapInArrow(tidy(run), "x long, y long")
     )
 
 
@@ -277,7 +277,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return (
         pairs.join(sets.select(F.col("node").alias("x"), F.col("items").alias("xs")), "x")
         .join(sets.select(F.col("node").alias("y"), F.col("items").alias("ys")), "y")
-        .select("x", "y", "xs", "ys").mapInArrow(run, "x long, y long")
+        .select("x", "y", "xs", "ys").mapInArrow(tidy(run), "x long, y long")
     )
 
 
@@ -297,7 +297,7 @@ def _wanted_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, want
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     texts = maybe_in(texts, "text_hash", wanted.select("text_hash")).where("_maybe").drop("_maybe")
-    return texts.join(wanted, own).dropDuplicates(own).select("node", "text").mapInArrow(run, "node long, items binary")
+    return texts.join(wanted, own).dropDuplicates(own).select("node", "text").mapInArrow(tidy(run), "node long, items binary")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -3,12 +3,14 @@ bounded membership bitmaps, salted joins and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,21 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(sc.applicationId)
 
 
+def tidy(run):
+    """``run`` of a mapInArrow that gives freed memory back to the system when
+    its task ends: Python workers serve one stage after another, and what one
+    of them freed but kept counts against the executor in the next."""
+
+    def run_and_tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):  # glibc only
+            libc.malloc_trim(0)
+
+    return run_and_tidy
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

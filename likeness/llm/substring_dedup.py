@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import materialize, maybe_in, partitions, ship
+from likeness.llm.shared import materialize, maybe_in, partitions, ship, tidy
 
 DEPTH, MOST_BITS = 2, 28
 FLUSH = 1 << 21
@@ -125,8 +125,8 @@ def _sketch(docs: DataFrame, k: int, bits: int, parts: int) -> list[np.ndarray]:
         if now is not None:
             yield done()
 
-    sent = docs.select("text").mapInArrow(send, "shard int, ones binary, twos binary")
-    merged = sent.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(merge, "shard int, bits binary")
+    sent = docs.select("text").mapInArrow(tidy(send), "shard int, ones binary, twos binary")
+    merged = sent.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(tidy(merge), "shard int, bits binary")
     out = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(DEPTH)]
     for shard, part in materialize(merged).toLocalIterator():  # of fixed size, see the module
         r, i = shard >> shard_bits, shard & ((1 << shard_bits) - 1)
@@ -211,8 +211,8 @@ def _removed(docs: DataFrame, k: int, bits: int, parts: int, seen) -> DataFrame:
         if many:
             yield beaten()
 
-    sent = docs.select("doc_id", "text").mapInArrow(send, "bucket int, keys binary, rest binary")
-    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, "doc_id long, places binary")
+    sent = docs.select("doc_id", "text").mapInArrow(tidy(send), "bucket int, keys binary, rest binary")
+    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(receive), "doc_id long, places binary")
 
 
 def _render(k: int, keep_text: bool):
@@ -271,4 +271,4 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = marked.where("not _maybe").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("places"))
     cut = marked.where("_maybe").select("doc_id", "text").join(lost, "doc_id", "left")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if keep_text else "")
-    return whole.union(cut.select("doc_id", "text", "places")).mapInArrow(_render(k, keep_text), schema)
+    return whole.union(cut.select("doc_id", "text", "places")).mapInArrow(tidy(_render(k, keep_text)), schema)

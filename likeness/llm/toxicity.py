@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import ship
+from likeness.llm.shared import ship, tidy
 
 STEMS = range(4, 8)  # lengths of word beginnings, in characters
 SPEECH = frozenset(b"said says wrote writes quote quoted called word words term sagte dit dijo".split())
@@ -204,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
                 [pa.array([x[0] for x in terms], pa.string()), pa.array([x[1] for x in terms]), pa.array([seen[1][x] for x in terms], pa.int64()),
                  pa.array([seen[0][x] for x in terms], pa.int64())], names=["term", "stem", "pos", "neg"])
 
-    counts = train.mapInArrow(count, "term string, stem boolean, pos long, neg long").groupBy("term", "stem").agg(
+    counts = train.mapInArrow(tidy(count), "term string, stem boolean, pos long, neg long").groupBy("term", "stem").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     toxic = known.agg(F.sum((F.col("toxic") > 0).cast("long"))).first()[0] or 0
     support = max(3, round(toxic**0.5 / 4))
@@ -224,7 +224,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
             [pa.array([x[0] for x, _ in seen], pa.string()), pa.array([x[1] for x, _ in seen], pa.bool_()), pa.array([y for _, y in seen], pa.string())],
             names=["term", "stem", "before"])
 
-    varied = train.where("toxic > 0").mapInArrow(around, "term string, stem boolean, before string").groupBy("term", "stem").agg(
+    varied = train.where("toxic > 0").mapInArrow(tidy(around), "term string, stem boolean, before string").groupBy("term", "stem").agg(
         F.countDistinct("before").alias("n"))
     contexts = {(r.term, r.stem): r.n for r in varied.collect()}  # of the candidates only
     rows = [r for r in rows if 2 * contexts.get((r.term, r.stem), 0) >= max(r.pos, 2 * support)]
@@ -237,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
             for lo, n, x in _features(b, 1, model):
                 yield pa.RecordBatch.from_arrays([pa.array(y[lo : lo + n]), pa.array(list(x), pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    seen = train.mapInArrow(facts, "toxic int, x array<double>").collect()  # rows of the sample only
+    seen = train.mapInArrow(tidy(facts), "toxic int, x array<double>").collect()  # rows of the sample only
     weights = _fit(np.array([r.x for r in seen]).reshape(-1, FEATURES), np.array([r.toxic > 0 for r in seen], float))
     return {"lexicon": lexicon, "model": model, "weights": weights}
 
@@ -298,7 +298,7 @@ def score_toxicity(
                     names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(tidy(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 10_000, max_terms: int = 192) -> DataFrame:
@@ -315,4 +315,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 yield b.select(range(b.num_columns - 1)).filter(pa.array(np.concatenate(clean)))
 
     # the text once more, last, wherever it stands
-    return docs.select(*docs.columns, F.col(text_col).alias("_text")).mapInArrow(run, docs.schema)
+    return docs.select(*docs.columns, F.col(text_col).alias("_text")).mapInArrow(tidy(run), docs.schema)
