@@ -2,14 +2,17 @@
 
 Base: places where the words of a license's name stand consecutively.
 
-The method: each line of a document is a block, each license notice a template;
-a block matches if it contains at least ``containment`` of the template's words
-(as sets).  Words are ordered by how many documents have them, rarest first.
-A matching block must hold one of the first |T| - o + 1 words of the template
-(o: the words that must be common; prefix filter), at least o words of the
-templates' vocabulary (length filter), and at its first common word, both lists
-must still be long enough (positional filter).  What is left is compared
-exactly, so every block over the threshold is found.
+The method: each license notice is a template, and the blocks of a document are
+all its runs of |T| / ``containment`` consecutive words (|T|: the words of the
+template with repetitions; rounded up), whatever lines they stand on.  A block
+matches if it contains at least ``containment`` of the template's words (as
+sets).  Words are ordered by how many documents have them, rarest first.  A
+document must hold o words of the template at all (o: the words that must be
+common; length filter), a matching block one of the first |T| - o + 1 of them
+(prefix filter), and around that place, as far as blocks reach, there must be o
+of them (positional filter).  Blocks there that begin with a word of the
+template are compared exactly; others hold no more than the next of these, so
+the best block of every match is found.
 
 Templates are a parameter, a few short notices, and unrolled into the plan;
 word counts are taken over all documents.  DataFrame functions only; documents
@@ -41,6 +44,7 @@ TEMPLATES = {
 }
 #: the contract's words, with capitals, so that text need not be lowered first
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+NO_BLOCKS = "cast(array() as array<struct<word:int,label:string,containment:double>>)"
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -70,48 +74,51 @@ def word_order(docs: DataFrame, templates: dict[str, str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
-def _matches(label: str, template: list[str], prefix: list[str], need: int) -> Column:
-    """The lines of a document that hold ``need`` words of the template, rarest
-    words first in all lists."""
+def _matches(label: str, template: list[str], prefix: list[str], need: int, span: int) -> Column:
+    """The runs of ``span`` words of a document that hold ``need`` words of the
+    template and begin with one of them."""
     full, first, size = _array(template), _array(prefix), len(template)
 
-    def match(b: Column, i: Column) -> Column:
-        w = F.get(F.array_intersect(first, b), 0)  # first common word; its place in both lists:
-        placed = F.least(F.lit(size + 1) - F.array_position(full, w), F.size(b) + 1 - F.array_position(b, w)) >= need
-        both = F.when((F.size(b) >= need) & w.isNotNull() & placed, F.size(F.array_intersect(full, b)))
-        return F.when(both >= need, F.struct(i.alias("line"), F.lit(label).alias("label"), (both / F.lit(float(size))).alias("containment")))
+    def held(start: Column, length: int) -> Column:
+        return F.size(F.array_intersect(full, F.slice("w", start + 1, F.lit(length))))
 
-    return F.filter(F.transform("lines", match), lambda x: x.isNotNull())
+    def near(p: Column) -> Column:  # a prefix word, and enough words within the blocks that have this place
+        return F.array_contains(first, F.get("w", p)) & (held(F.greatest(p - (span - 1), F.lit(0)), 2 * span - 1) >= need)
+
+    places = F.filter(F.sequence(F.lit(0), F.size("w") - 1), near)
+    starts = F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(F.greatest(p - (span - 1), F.lit(0)), p))))
+    starts = F.filter(starts, lambda i: F.array_contains(full, F.get("w", i)))
+    blocks = F.transform(starts, lambda i: F.struct(i.alias("word"), F.lit(label).alias("label"), (held(i, span) / F.lit(float(size))).alias("containment")))
+    blocks = F.filter(blocks, lambda x: F.round(x.containment * size) >= need)
+    return F.coalesce(F.when(F.size(F.array_intersect(full, "vocabulary")) >= need, blocks), F.expr(NO_BLOCKS))
 
 
 def scan_licenses(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] = TEMPLATES, containment: float = 0.9,
 ) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
-    score, blocks) of every row; blocks lists the matches (line, label, containment)."""
+    score, blocks) of every row; blocks lists the matches (word, label, containment)
+    by the number of their first word, overlapping ones too."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = word_order(docs, templates)
     rank = {w: i for i, w in enumerate(order)}
     sets = {label: sorted(_tokens(t), key=rank.get) for label, t in templates.items()}
     need = {label: max(1, math.ceil(containment * len(t) - 1e-9)) for label, t in sets.items()}
     prefix = {label: t[: len(t) - need[label] + 1] for label, t in sets.items()}
+    span = {label: math.ceil(len(re.findall("[a-z0-9]+", t.lower())) / containment - 1e-9) for label, t in templates.items()}
 
     lasts = sorted({p.split()[-1] for p in PHRASES})
     df = docs.withColumn("n_words", F.expr("regexp_count(text, :w)".replace(":w", "r'" + WORD + "'")).cast("long"))
-    df = df.withColumn("w", F.when(_holds(lasts), _words(F.col("text"))))
+    # words of documents that hold the last word of a phrase or a prefix word
+    df = df.withColumn("w", F.when(_holds(sorted({*lasts, *(w for p in prefix.values() for w in p)})), _words(F.col("text"))))
+    df = df.withColumn("vocabulary", F.array_intersect(_array(order), "w"))
     for i, phrase in enumerate(PHRASES):
         at = " and ".join(f"get(w, i + {j}) = '{x}'" for j, x in enumerate(phrase.split()))
-        df = df.withColumn(f"at{i}", F.when(F.size("w") > 0, F.expr(f"filter(sequence(0, size(w) - 1), i -> {at})")))
+        df = df.withColumn(f"at{i}", F.when(F.array_contains("w", phrase.split()[-1]), F.expr(f"filter(sequence(0, size(w) - 1), i -> {at})")))
         df = df.withColumn(f"at{i}", F.coalesce(f"at{i}", F.expr("cast(array() as array<int>)")))
 
-    # blocks: for lines of documents that hold a prefix word, the vocabulary's words in the global order
-    ordered = _array(order)
-    df = df.withColumn("lines", F.when(
-        _holds(sorted({w for p in prefix.values() for w in p})),
-        F.transform(F.split("text", "\n"), lambda x: F.array_intersect(ordered, _words(x)))))
-    found = [_matches(label, t, prefix[label], need[label]) for label, t in sets.items()]
-    none = F.expr("cast(array() as array<struct<line:int,label:string,containment:double>>)")
-    df = df.withColumn("blocks", F.coalesce(F.concat(*found), none))
+    found = [_matches(label, t, prefix[label], need[label], span[label]) for label, t in sets.items()]
+    df = df.withColumn("blocks", F.concat(*found))
     starts = F.concat(*[F.col(f"at{i}") for i in range(len(PHRASES))])
     base = F.array_compact(F.array(*[F.when(F.size(f"at{i}") > 0, F.lit(x)) for i, x in enumerate(PHRASES.values())]))
     best = F.array_max(F.transform("blocks", lambda x: x.containment))

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -123,6 +124,32 @@ def test_licenses_awkward(ragged, empty):
     assert scan_licenses(ragged).count() == ragged.count() and scan_licenses(empty).count() == 0
 
 
+def test_licenses_across_lines(spark):
+    """Blocks are runs of words: wrapped notices match, words spread over a long line do not."""
+    rng = random.Random(9)
+    fill = [f"{a}{b}" for a in "bcdfgk" for b in ("ar", "elt", "in")]
+    spread = " ".join(" ".join([w, *(rng.choice(fill) for _ in range(60))]) for w in ("released", "license", "under", "the", "MIT"))
+    texts = {1: spread, 2: spread.replace(" ", "\n")}
+    for i, t in enumerate(TEMPLATES.values()):
+        long = " ".join([*(rng.choice(fill) for _ in range(200)), t, *(rng.choice(fill) for _ in range(200))])
+        texts[100 + i] = "\n".join(textwrap.wrap(long, 72))
+        texts[200 + i] = "\n".join("# " + x for x in textwrap.wrap(t, 24))
+        texts[300 + i] = long
+    spans = {label: math.ceil(len(WORD.findall(t.lower())) / 0.9 - 1e-9) for label, t in TEMPLATES.items()}
+    got = scan_licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    for r in got:
+        w, want = WORD.findall(texts[r.doc_id].translate(LOWER)), {}
+        for label, t in TEMPLATES.items():
+            share = max(len(set(w[i : i + spans[label]]) & set(_tokens(t))) / len(_tokens(t)) for i in range(len(w)))
+            if share >= 0.9:
+                want[label] = share
+        best = {}
+        for x in r.blocks:
+            best[x.label] = max(best.get(x.label, 0), x.containment)
+        assert best == want and set(want) <= set(r.labels.split(",")) | {""}
+        assert bool(want) == (r.doc_id >= 100) and (r.doc_id >= 100 or not r.labels)
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
