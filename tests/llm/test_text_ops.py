@@ -297,6 +297,21 @@ def test_url_filter(spark):
     assert filter_urls(c.limit(0), e).count() == 0 and filter_urls(c, e.limit(0)).where("blocked").count() == 0
 
 
+def test_url_filter_domains(spark):
+    """An entry covers every host below it; the longest one in force decides."""
+    c = spark.createDataFrame(
+        [(1, "http://example.com/", 9), (2, "http://www.example.com/x", 9), (3, "http://a.b.c.example.com/x/y", 9), (4, "http://a.b.c.example.com/x/y", 12),
+         (5, "http://notexample.com/", 9), (6, "http://WWW.Example.com./", 9), (7, "http://10.20.30.40/", 9), (8, "http://x.co.uk/", 9), (9, "http://a.b.c.example.com/x/y", 1),
+         (10, "http://" + "w." * 3000 + "example.com/", 9)],
+        "page_id long, url string, day int")
+    e = spark.createDataFrame(
+        [("example.com", 5, 1, "block"), ("c.example.com", 11, 1, "allow"), ("30.40", 1, 1, "block"), ("uk", 1, 1, "block")],
+        "pattern string, day int, seq int, action string")
+    got = {r.page_id: (r.blocked, r.rule) for r in filter_urls(c, e).collect()}
+    below = (True, "example.com")
+    assert got == {1: below, 2: below, 3: below, 4: (False, "c.example.com"), 5: (False, None), 6: below, 7: (False, None), 8: (True, "uk"), 9: (False, None), 10: below}
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     """The documents after each stage."""
