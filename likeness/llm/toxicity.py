@@ -2,9 +2,10 @@
 
 Learning, from at most ``sample`` labelled rows (those with the smallest hash of
 their id; rows held out by crc32(id) mod 5 = 0 never): words that enough toxic
-and hardly any clean documents have make the lexicon, and word beginnings that
-stand for several of them take their place.  A term must follow many different
-words, else it is only part of a text that has been copied.  Its trie is intersected with the
+and hardly any clean documents have outside quotation make the lexicon, and word
+beginnings that stand for several of them take their place.  Copies of a text
+count once, and a term must follow several different words, else it is only part
+of a text that has been copied with changes.  Its trie is intersected with the
 automaton of edit distance 1 (whole words of five or more bytes) and made
 deterministic, so one table finds exact, misspelled and inflected terms while
 reading each word once; nearly all words leave the table after a few bytes.
@@ -18,13 +19,14 @@ its intercept.
 Scoring is one pass over the documents, no shuffle; the model is broadcast, at
 most ``max_terms`` terms.  Nulls: a null or empty text has no hits; a null id
 has the checksum of an empty text; labels without document or document id are
-ignored, repeated labels count as often as they occur.  Without any toxic label
+ignored, repeated labels count as often as they occur (in the regression).  Without any toxic label
 every score is the smoothed share.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import ship, tidy
+from likeness.llm.shared import discard, materialize, ship, tidy
 
 STEMS = range(4, 8)  # lengths of word beginnings, in characters
 SPEECH = frozenset(b"said says wrote writes quote quoted called word words term sagte dit dijo".split())
@@ -166,9 +168,26 @@ def _features(b: pa.RecordBatch, column: int, model: tuple):
 # --- learning ----------------------------------------------------------------------
 
 
-def _words_of(text: str) -> list[str]:
-    t = W.LOWER[np.frombuffer(text.encode(), np.uint8)].tobytes()
-    return t.translate(_TO_SPACE).decode().split()
+def _outside(text: str) -> list[tuple[str, str]]:
+    """(word, the word before it) of the words outside quotation, by the rule of ``_features``."""
+    data = W.lowered(np.frombuffer(text.encode(), np.uint8))
+    t = W.tokenize(data, np.array([0, len(data)]), W.ALNUM)
+    n, raw = len(t.starts), data.tobytes()
+    words = [raw[s:e] for s, e in zip(t.starts.tolist(), t.ends.tolist(), strict=True)]
+    quoted = np.zeros(n, bool)
+    for j, w in enumerate(words):
+        if w in SPEECH:
+            quoted[max(0, j - WINDOW) : j] = quoted[j + 1 : j + 1 + WINDOW] = True
+    marks = [m.span() for m in _MARK.finditer(raw)]
+    if marks and n:
+        begin, end = np.array(marks).T
+        i = np.arange(n)
+        first, last = np.maximum(i - WINDOW, 0), np.minimum(i + WINDOW + 1, n)
+        lo, hi = np.where(first > 0, t.starts[first], 0), np.where(last < n, t.ends[last - 1], len(data))
+        left = np.searchsorted(end, t.starts, "right") > np.searchsorted(begin, lo)
+        quoted |= left & (np.searchsorted(end, hi, "right") > np.searchsorted(begin, t.ends))
+    words = [w.decode() for w in words]
+    return [(w, before) for w, before, q in zip(words, ["", *words], quoted.tolist(), strict=False) if not q]
 
 
 def _forms(word: str) -> set[tuple[str, bool]]:
@@ -178,10 +197,10 @@ def _forms(word: str) -> set[tuple[str, bool]]:
 
 
 def _terms_of(text: str) -> set[tuple[str, bool]]:
-    return set().union(*map(_forms, set(_words_of(text))))
+    return set().union(*map(_forms, {w for w, _ in _outside(text)}))
 
 
-_TO_SPACE = bytes(b if W.ALNUM[b] else 0x20 for b in range(256))
+_MARK = re.compile(b"|".join(QUOTES))
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int, max_terms: int) -> dict:
@@ -191,7 +210,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
         .select(F.col(id_col).alias("_id"), F.col("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("_id"), "_id", "toxic").limit(sample)
     )  # at most ``sample`` rows, hence the broadcast
-    train = docs.join(F.broadcast(known), F.col(id_col) == F.col("_id")).select("toxic", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    train = materialize(
+        docs.join(F.broadcast(known), F.col(id_col) == F.col("_id")).select("toxic", F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    texts = materialize(train.select((F.col("toxic") > 0).cast("int").alias("toxic"), "text").distinct())
 
     def count(batches):
         seen = {0: Counter(), 1: Counter()}
@@ -204,30 +225,29 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
                 [pa.array([x[0] for x in terms], pa.string()), pa.array([x[1] for x in terms]), pa.array([seen[1][x] for x in terms], pa.int64()),
                  pa.array([seen[0][x] for x in terms], pa.int64())], names=["term", "stem", "pos", "neg"])
 
-    counts = train.mapInArrow(tidy(count), "term string, stem boolean, pos long, neg long").groupBy("term", "stem").agg(
+    counts = texts.mapInArrow(tidy(count), "term string, stem boolean, pos long, neg long").groupBy("term", "stem").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    toxic = known.agg(F.sum((F.col("toxic") > 0).cast("long"))).first()[0] or 0
+    toxic = texts.where("toxic > 0").count()
     support = max(3, round(toxic**0.5 / 4))
     rows = counts.where((F.col("pos") >= support) & (F.col("pos") >= 4 * F.col("neg"))).orderBy(
         F.desc(F.col("pos") - 4 * F.col("neg")), "term", "stem").limit(40 * max_terms).collect()
     places = {(r.term, r.stem) for r in rows}
 
     def around(batches):
-        """Candidate terms and the word before them: copies of one text agree in both."""
+        """Candidate terms and the word before them: changed copies of one text mostly agree in both."""
         seen = set()
         for b in batches:
             for text in b.column(1).to_pylist():
-                words = _words_of(text)
-                for before, w in zip(["", *words], words, strict=False):
+                for w, before in _outside(text):
                     seen |= {(x, before) for x in _forms(w) & places}
         yield pa.RecordBatch.from_arrays(
             [pa.array([x[0] for x, _ in seen], pa.string()), pa.array([x[1] for x, _ in seen], pa.bool_()), pa.array([y for _, y in seen], pa.string())],
             names=["term", "stem", "before"])
 
-    varied = train.where("toxic > 0").mapInArrow(tidy(around), "term string, stem boolean, before string").groupBy("term", "stem").agg(
+    varied = texts.where("toxic > 0").mapInArrow(tidy(around), "term string, stem boolean, before string").groupBy("term", "stem").agg(
         F.countDistinct("before").alias("n"))
     contexts = {(r.term, r.stem): r.n for r in varied.collect()}  # of the candidates only
-    rows = [r for r in rows if 2 * contexts.get((r.term, r.stem), 0) >= max(r.pos, 2 * support)]
+    rows = [r for r in rows if contexts.get((r.term, r.stem), 0) >= support]
     lexicon = _lexicon([(r.term, r.stem, r.pos, r.neg) for r in rows], support, max_terms)
     model = automaton(lexicon)
 
@@ -238,6 +258,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
                 yield pa.RecordBatch.from_arrays([pa.array(y[lo : lo + n]), pa.array(list(x), pa.list_(pa.float64()))], names=["toxic", "x"])
 
     seen = train.mapInArrow(tidy(facts), "toxic int, x array<double>").collect()  # rows of the sample only
+    discard(train, texts)
     weights = _fit(np.array([r.x for r in seen]).reshape(-1, FEATURES), np.array([r.toxic > 0 for r in seen], float))
     return {"lexicon": lexicon, "model": model, "weights": weights}
 

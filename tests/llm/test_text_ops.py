@@ -200,6 +200,23 @@ def test_toxicity(spark):
     assert seen[0, 1] <= 0.01 * (seen[0, 0] + seen[0, 1])
 
 
+def test_toxicity_copies_and_quotes(spark):
+    """Neither a group of copies nor clean documents that quote a term take it out of the lexicon."""
+    rng = random.Random(12)
+    fill = [f"{a}{b}{c}" for a in "bcdfgk" for b in ("ar", "el", "in") for c in ("mo", "ta", "su")]
+
+    def text(*middle):
+        return " ".join([*rng.choices(fill, k=20), *middle, *rng.choices(fill, k=20)])
+
+    copied = text("utter", "zzidrak", "really")
+    docs = [(copied, 1)] * 400 + [(text(rng.choice(fill[:12]), "zzidrak"), 1) for _ in range(80)]
+    docs += [(text(), 0) for _ in range(300)] + [(text("he", "said", "zzidrak"), 0) for _ in range(60)] + [(text('"so', "zzidrak", 'indeed"'), 0) for _ in range(60)]
+    rows = [(i, t, y) for i, (t, y) in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = {r.doc_id: r.predicted for r in score_toxicity(df.drop("toxic"), df.drop("text")).collect()}
+    assert all(got[i] == y for i, _, y in rows)
+
+
 def test_toxicity_awkward(spark, ragged, empty, awkward):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = spark.createDataFrame([(i, 1, i % 2) for i in range(60)] + [(None, 1, 1), (3, None, None), (10**9, 1, 1)], none.schema)
