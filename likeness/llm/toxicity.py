@@ -3,7 +3,7 @@
 Learning, from at most ``sample`` labelled rows (those with the smallest hash of
 their id; rows held out by crc32(id) mod 5 = 0 never): words that enough toxic
 and hardly any clean documents have outside quotation make the lexicon, and word
-beginnings that stand for several of them take their place.  Copies of a text
+beginnings that stand for several of them stand beside them.  Copies of a text
 count once, and a term must follow several different words, else it is only part
 of a text that has been copied with changes.  Its trie is intersected with the
 automaton of edit distance 1 (whole words of five or more bytes) and made
@@ -17,7 +17,8 @@ term, fitted on the same sample, gives the score; documents without a hit get
 its intercept.
 
 Scoring is one pass over the documents, no shuffle; the model is broadcast, at
-most ``max_terms`` terms.  Nulls: a null or empty text has no hits; a null id
+most ``max_terms`` terms and as many words that a stem covers (for their
+misspellings).  Nulls: a null or empty text has no hits; a null id
 has the checksum of an empty text; labels without document or document id are
 ignored, repeated labels count as often as they occur (in the regression).  Without any toxic label
 every score is the smoothed share.  Other columns are not read.
@@ -264,8 +265,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
 
 
 def _lexicon(rows: list[tuple[str, bool, int, int]], support: int, most: int) -> list[tuple[str, bool, float]]:
-    """Stems that stand for at least two words, then the words no stem covers:
-    (text, is_stem, weight), the strongest ``most``."""
+    """Stems that stand for at least two words and the words no stem covers:
+    (text, is_stem, weight), the strongest ``most``; beside them as many of the
+    words that a stem covers, since only whole words may be misspelled."""
     words = {t for t, stem, _, _ in rows if not stem}
     out: list[tuple[str, bool, float]] = []
 
@@ -278,8 +280,11 @@ def _lexicon(rows: list[tuple[str, bool, int, int]], support: int, most: int) ->
             if sum(w.startswith(t) for w in words) >= 2:
                 out.append((t, True, weight(pos, neg)))
     stems = [x for x, _, _ in out]
-    out += [(t, False, weight(pos, neg)) for t, stem, pos, neg in rows if not stem and not any(t.startswith(x) for x in stems)]
-    return sorted(out, key=lambda x: (-x[2], x[0]))[:most]
+    covered = []
+    for t, stem, pos, neg in rows:
+        if not stem:
+            (covered if any(t.startswith(x) for x in stems) else out).append((t, False, weight(pos, neg)))
+    return [x for part in (out, covered) for x in sorted(part, key=lambda x: (-x[2], x[0]))[:most]]
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:

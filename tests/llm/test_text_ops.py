@@ -21,7 +21,7 @@ from likeness.llm.exact_dedup import keep_last
 from likeness.llm.licenses import TEMPLATES, _tokens, scan_licenses
 from likeness.llm.ngram_join import keep_least
 from likeness.llm.pii import KINDS, find_pii
-from likeness.llm.toxicity import EXACT, FUZZY, automaton, drop_toxic, match, score_toxicity
+from likeness.llm.toxicity import EXACT, FUZZY, _lexicon, automaton, drop_toxic, match, score_toxicity
 from likeness.llm.url_filter import filter_urls
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -217,6 +217,16 @@ def test_toxicity_copies_and_quotes(spark):
     assert all(got[i] == y for i, _, y in rows)
 
 
+def test_lexicon_keeps_words_of_stems():
+    """Misspellings of a term whose plural is in the lexicon."""
+    lexicon = _lexicon([("idio", True, 90, 0), ("idiot", False, 60, 0), ("idiots", False, 50, 0), ("trash", False, 20, 0)], 5, 192)
+    words = ["idiot", "idiots", "idiotic", "idot", "idi0t", "ldiot", "idoits", "idiiots", "trsh", "island"]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    hit, kind, _ = match(data, W.tokenize(data, np.array([0, len(data)]), W.ALNUM), automaton(lexicon))
+    assert {words[i]: k for i, k in zip(hit.tolist(), kind.tolist(), strict=True)} == {
+        "idiot": EXACT, "idiots": EXACT, "idiotic": EXACT, "idot": FUZZY, "idi0t": FUZZY, "ldiot": FUZZY, "idiiots": FUZZY, "trsh": FUZZY}
+
+
 def test_toxicity_awkward(spark, ragged, empty, awkward):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = spark.createDataFrame([(i, 1, i % 2) for i in range(60)] + [(None, 1, 1), (3, None, None), (10**9, 1, 1)], none.schema)
