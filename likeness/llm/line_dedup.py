@@ -7,7 +7,8 @@ shorter one has a segment that no edit touches; it stands in the longer one,
 and by the number of edits that can lie before and after it, at one of a few
 places.  Lines are therefore indexed by (length, segment number, segment) and
 probe the indexes of the lengths up to ``most`` below their own with substrings
-at just these places.  Keys travel as hashes, 17 bytes each, by key range.
+at just these places.  Keys travel as hashes, 16 bytes each, by key range, the
+index before the probes.
 
 Candidates must agree in length (up to ``most``) and in a 256-bit parity sketch
 of their character pairs, of which an edit changes four at most, and are then
@@ -105,8 +106,61 @@ def _sketch(points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(at, minlength=rows * SKETCH_BITS) & 1).astype(np.uint8))
 
 
+def _receive(batches):
+    """The shared (key, node) of sorted blocks (bucket, probe, keys, nodes): a run
+    of one key range at a time.  Of a range it holds one node a key of the index,
+    so a key of many lines takes no memory."""
+    now, keys, nodes, held = (-1, 0), [], [], 0
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    kept = none  # key, one of its nodes, whether that has been passed on
+
+    def shared(probe):
+        """Pass on what is shared so far; keep one node a key."""
+        nonlocal kept
+        key, node = np.concatenate(keys), np.concatenate(nodes)
+        if probe:  # only keys of the index matter, and it is complete
+            at = np.searchsorted(kept[0], key)
+            known = at < len(kept[0])
+            known[known] = kept[0][at[known]] == key[known]
+            key, node = key[known], node[known]
+        key, node = np.concatenate([kept[0], key]), np.concatenate([kept[1], node])
+        told = np.concatenate([kept[2], np.zeros(len(key) - len(kept[2]), bool)])
+        o = np.lexsort((~told, node, key))
+        key, node, told = key[o], node[o], told[o]
+        once = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))[: len(key)]
+        key, node, told = key[once], node[once], told[once]
+        at = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        size = np.diff(np.append(at, len(key)))
+        many = size > 1
+        any_told = np.logical_or.reduceat(told, at) if len(at) else told
+        out = np.repeat(many, size) & ~told
+        kept = key[at], node[at], many | any_told
+        return pa.RecordBatch.from_arrays([W.longs(key[out]), pa.array(node[out])], names=["key", "node"])
+
+    for b in batches:
+        ks, kc = W.from_binary(b.column(2))
+        ns, nc = W.from_binary(b.column(3), np.int64)
+        for i, kind in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+            if kind != now:
+                if held:
+                    yield shared(now[1])
+                kept = kept if kind[0] == now[0] else none
+                now, keys, nodes, held = kind, [], [], 0
+            keys.append(ks[kc[i] : kc[i + 1]].copy())
+            nodes.append(ns[nc[i] : nc[i + 1]].copy())
+            held += len(keys[-1])
+            if held >= 2 * FLUSH:
+                yield shared(now[1])
+                keys, nodes, held = [], [], 0
+    if held:
+        yield shared(now[1])
+
+
 def _shared_keys(lines: DataFrame, most: int, min_chars: int) -> DataFrame:
-    """(key, node) of keys that index one line and that another one probes."""
+    """(key, node) of keys that index one line and that another one probes.
+
+    The index entries of a key range reach the receiving side before the probes.
+    """
     spark = lines.sparkSession
     parts = partitions(spark)
     bits = max(1, (8 * parts - 1).bit_length())
@@ -116,13 +170,14 @@ def _shared_keys(lines: DataFrame, most: int, min_chars: int) -> DataFrame:
 
         def cut():
             key, node, probe = (np.concatenate(c) for c in zip(*held, strict=True))
-            o = np.argsort(key)
+            o = np.lexsort((key, probe))
             key, node, probe = key[o], node[o], probe[o]
             bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
-            at = np.flatnonzero(np.diff(bucket, prepend=-1))
+            at = np.flatnonzero((np.diff(bucket, prepend=-1) != 0) | (np.diff(probe, prepend=probe[:1]) != 0))
             cuts = np.append(at, len(key))
             return pa.RecordBatch.from_arrays(
-                [pa.array(bucket[at].astype(np.int32)), *(W.binary_cuts(c, cuts) for c in (key, node, probe))], names=["bucket", "keys", "nodes", "probes"])
+                [pa.array(bucket[at].astype(np.int32)), pa.array(probe[at].astype(np.int32)), *(W.binary_cuts(c, cuts) for c in (key, node))],
+                names=["bucket", "probe", "keys", "nodes"])
 
         for b in batches:
             nodes = b.column(0).to_numpy()
@@ -142,34 +197,8 @@ def _shared_keys(lines: DataFrame, most: int, min_chars: int) -> DataFrame:
         if many:
             yield cut()
 
-    def receive(batches):
-        """One key range at a time."""
-        now, held = None, []
-
-        def shared():
-            key, node, probe = (np.concatenate(c) for c in zip(*held, strict=True))
-            o = np.lexsort((probe, node, key))
-            key, node, probe = key[o], node[o], probe[o]
-            at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            size = np.diff(np.append(at, len(key)))
-            once = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-            good = (np.add.reduceat(once.astype(np.int64), at) > 1) & (np.minimum.reduceat(probe, at) == 0)
-            out = np.repeat(good, size) & once
-            return pa.RecordBatch.from_arrays([W.longs(key[out]), pa.array(node[out])], names=["key", "node"])
-
-        for b in batches:
-            columns = [W.from_binary(b.column(1)), W.from_binary(b.column(2), np.int64), W.from_binary(b.column(3), np.uint8)]
-            for i, bucket in enumerate(b.column(0).to_pylist()):
-                if bucket != now:
-                    if held:
-                        yield shared()
-                    now, held = bucket, []
-                held.append(tuple(v[c[i] : c[i + 1]].copy() for v, c in columns))
-        if held:
-            yield shared()
-
-    sent = lines.select("node", "line").mapInArrow(tidy(send), "bucket int, keys binary, nodes binary, probes binary")
-    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(receive), "key long, node long")
+    sent = lines.select("node", "line").mapInArrow(tidy(send), "bucket int, probe int, keys binary, nodes binary")
+    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "probe").mapInArrow(tidy(_receive), "key long, node long")
 
 
 def edit_distance_within(a: str, b: str, most: int) -> bool:

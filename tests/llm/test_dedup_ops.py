@@ -5,10 +5,14 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from likeness.llm import line_dedup as line_module
 from likeness.llm import linkage
+from likeness.llm import words as W
 from likeness.llm.decontaminate import contaminated, decontaminate
 from likeness.llm.exact_dedup import exact_dedup, keep_last
 from likeness.llm.line_dedup import edit_distance_within, line_dedup
@@ -249,6 +253,48 @@ def test_line_dedup(spark):
     assert len(links) > 20 and got == expected
 
 
+def test_line_dedup_hot_key(monkeypatch):
+    """A key of many lines is passed on in runs, whatever the order of its lines."""
+    monkeypatch.setattr(line_module, "FLUSH", 50)
+    rng = random.Random(3)
+    entries = [(0, 7, n) for n in range(1000)] + [(1, 7, n) for n in range(500, 2000)]  # (probe, key, node)
+    entries += [(rng.randrange(2), 100 + rng.randrange(300), rng.randrange(40)) for _ in range(3000)]
+    entries = sorted(entries, key=lambda x: (x[0], rng.random()))
+    read, early = 0, 0
+
+    def batches():
+        nonlocal read
+        for bucket in range(2):
+            for probe in range(2):
+                mine = [e for e in entries if e[0] == probe and e[1] % 2 == bucket]
+                for at in range(0, len(mine), 20):
+                    part = sorted(mine[at : at + 20], key=lambda e: e[1])
+                    read += len(part)
+                    keys, nodes = np.array([e[1] for e in part], np.uint64), np.array([e[2] for e in part], np.int64)
+                    cuts = np.array([0, len(part)])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket], pa.int32()), pa.array([probe], pa.int32()), W.binary_cuts(keys, cuts), W.binary_cuts(nodes, cuts)],
+                        names=["bucket", "probe", "keys", "nodes"])
+
+    got = set()
+    for b in line_module._receive(batches()):
+        early += len(b) if read < len(entries) else 0
+        assert len(b) <= 4 * 50 + 600
+        got |= set(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    nodes, index = defaultdict(set), {k for p, k, _ in entries if p == 0}
+    for _, k, n in entries:
+        nodes[k].add(n)
+    assert got == {(k, n) for k, x in nodes.items() if k in index and len(x) > 1 for n in x}
+    assert early > 2000
+
+
+def test_line_dedup_in_runs(awkward, monkeypatch):
+    """Many small runs give the same rows as one."""
+    whole = sorted((r.doc_id, r.kept_sha256) for r in line_dedup(awkward, min_chars=8).collect())
+    monkeypatch.setattr(line_module, "FLUSH", 100)
+    assert sorted((r.doc_id, r.kept_sha256) for r in line_dedup(awkward, min_chars=8).collect()) == whole
+
+
 def test_line_dedup_awkward(ragged, empty):
     assert line_dedup(ragged).count() == ragged.count()
     assert line_dedup(empty).count() == 0
