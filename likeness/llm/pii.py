@@ -11,11 +11,12 @@ scores are then refined in turn on the graph of all documents:
 * an instance's score: its seed score or that of its best pattern.
 
 Patterns of at least ``min_score`` and ``min_seeds`` distinct seed instances
-discover further tokens, reported as kind_like.  At most ``max_patterns`` (the
-best) are kept as the model, which is therefore of bounded size; the graph
-itself stays in Spark and covers every document.
+discover further tokens, reported as kind_like.  The patterns are a written
+table of any size, with which the tokens that overlap no seed are joined.
 
-DataFrame functions only; documents are never shuffled.  Nulls: a null text is
+DataFrame functions only; texts are read once and never shuffled, only their
+spans and tokens, which are written, and of these only the rows that may have a
+discovered token.  Nulls: a null text is
 empty; rows with a null id and repeated rows get their own result.
 """
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from likeness.llm.shared import materialize, salted_join
+from likeness.llm.shared import materialize, maybe_in, salted_join
 
 KINDS = ["email", "ip", "card", "phone"]
 # The contract's patterns for Java: possessive where nothing can be given back,
@@ -87,8 +88,8 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def learn_patterns(
-    found: DataFrame, rounds: int = 3, min_score: float = 0.7, min_seeds: int = 3, max_patterns: int = 512,
-) -> list[tuple[str, int]]:
+    found: DataFrame, rounds: int = 3, min_score: float = 0.7, min_seeds: int = 3,
+) -> DataFrame:
     """(pattern, kind) of the patterns that the pattern-instance graph trusts."""
     edges = materialize(
         found.select(F.explode("tokens").alias("x")).groupBy(F.col("x.pattern").alias("pattern"), F.col("x.t").alias("t"))
@@ -111,9 +112,8 @@ def learn_patterns(
     good = (
         kinds.join(seeded, ["pattern", "kind"]).where((F.col("score") >= min_score) & (F.col("seeds") >= min_seeds))
         .groupBy("pattern").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("b"))
-        .orderBy(F.col("b.score").desc(), "pattern").limit(max_patterns)
     )
-    return [(r.pattern, -r.b.k) for r in good.collect()]
+    return materialize(good.select("pattern", (-F.col("b.k")).cast("int").alias("kind")))
 
 
 def _wide(instances: DataFrame) -> DataFrame:
@@ -131,16 +131,16 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, all_spans) of
     every row; spans is "kind:start:end,..." by start, then kind, in code points,
     and all_spans the same as structs."""
-    found = base_spans(docs, id_col, text_col)
-    patterns = learn_patterns(found, **options)
-    known = F.create_map(*[x for p, k in patterns for x in (F.lit(p), F.lit(k + len(KINDS)))]) if patterns else None
-    extra = (
-        F.expr("cast(array() as array<struct<s:int,k:int,e:int>>)") if known is None
-        else F.transform(
-            F.filter("tokens", lambda x: x.seed.isNull() & F.array_contains(F.array(*[F.lit(p) for p, _ in patterns]), x.pattern)),
-            lambda x: F.struct(x.s.alias("s"), F.try_element_at(known, x.pattern).alias("k"), x.e.alias("e")))
-    )
-    out = found.withColumn("all", F.when(F.size("tokens") > 0, F.sort_array(F.concat("base", extra))).otherwise(F.col("base")))
+    found = materialize(base_spans(docs, id_col, text_col).drop("text").withColumn("_row", F.monotonically_increasing_id()))
+    good = learn_patterns(found, **options)
+    free = found.select("_row", F.explode(F.filter("tokens", lambda x: x.seed.isNull())).alias("x")).select("_row", "x.s", "x.e", "x.pattern")
+    free = maybe_in(free, "pattern", good.select("pattern")).where("_maybe").drop("_maybe")
+    spans = F.struct("s", (F.col("kind") + len(KINDS)).alias("k"), "e")
+    extra = materialize(salted_join(free, good, "pattern", "inner").groupBy("_row").agg(F.collect_list(spans).alias("extra")))
+    marked = maybe_in(found.select("_row", "doc_id", "base"), "_row", extra.select("_row"))
+    more = marked.where("_maybe").join(extra, "_row", "left").select(
+        "doc_id", "base", F.when(F.col("extra").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "extra"))).alias("all"))
+    out = marked.where("not _maybe").select("doc_id", "base", F.col("base").alias("all")).union(more)
     return out.select(
         "doc_id", *[F.expr(f"cast(size(filter(base, x -> x.k = {k})) as long)").alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
         F.sha2(_written(F.col("base")), 256).alias("base_sha256"), _written(F.col("all")).alias("spans"), F.col("all").alias("all_spans"))

@@ -77,6 +77,26 @@ def test_pii_discovers(spark):
     assert found and all("card_like" in r.spans for r in found)
 
 
+def card(rng, valid=True):
+    """A card number of 16 digits, right or with a wrong check digit."""
+    digits = f"4{rng.randrange(10**14):014d}"
+    right = next(x for x in "0123456789" if luhn(digits + x))
+    return digits + (right if valid else str((int(right) + 1) % 10))
+
+
+def test_pii_discovers_with_every_pattern(spark):
+    """At the production thresholds, with many more trusted patterns than one task could be given."""
+    rng = random.Random(7)
+    names = ["".join(x) for x in itertools.product("bcdfghklmn", "aeiou", "prstvwxz", "ae")]
+    rows = [(i, " ; ".join(f"{name} {card(rng, n != 5)}" for n in range(6))) for i, name in enumerate(names)]
+    rows.append((len(names), f"{names[0]} {names[1]} {card(rng, False)} and {names[2]}: {card(rng, False)}"))
+    got = {r.doc_id: (r.n_card, r.spans) for r in find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == 801 and len(names) == 800
+    for i in range(len(names)):
+        assert got[i][0] == 5 and got[i][1].count("card_like:") == 1
+    assert got[800][0] == 0 and got[800][1].count("card_like:") == 1
+
+
 def test_pii_awkward(ragged, empty):
     assert find_pii(ragged).count() == ragged.count() and find_pii(empty).count() == 0
 
