@@ -1,7 +1,7 @@
 """Operator 3: personal data by bootstrapped contextual extraction.
 
 Four base patterns (email, ip, card, phone) give the seed entities.  Tokens
-with a digit are the instances; the word to the left of a token and the token's
+with a digit or an @, as every base match has, are the instances; the word to the left of a token and the token's
 shape (runs of digits, small and capital letters) make a lexical pattern.
 Instances that overlap a seed start with score 1, and pattern and instance
 scores are then refined in turn on the graph of all documents:
@@ -37,7 +37,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*"
+TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*"
 _DIGITS = r"regexp_replace(x.t, '[^0-9]', '')"
 _LUHN = f"""aggregate(sequence(1, length({_DIGITS})), 0, (a, i) -> a + cast(case when i % 2 = 1
     then cast(substring({_DIGITS}, -i, 1) as int) else (cast(substring({_DIGITS}, -i, 1) as int) * 2) % 10

@@ -97,6 +97,21 @@ def test_pii_discovers_with_every_pattern(spark):
     assert got[800][0] == 0 and got[800][1].count("card_like:") == 1
 
 
+def test_pii_discovers_emails_without_digits(spark):
+    rng = random.Random(8)
+
+    def name():
+        return ".".join(rng.choice(["ann", "bob", "kim", "lee", "max"]) for _ in range(12))
+
+    texts = [f"the mail {name()}@{rng.choice(['site', 'home'])}.org end" for _ in range(40)] + [f"the mail {name()}@local end" for _ in range(5)] + ["a name@local"]
+    got = {r.doc_id: r for r in find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(got[i].n_email == 1 and "like" not in got[i].spans for i in range(40))
+    for i in range(40, 45):
+        start = texts[i].index(" ", 5) + 1
+        assert got[i].n_email == 0 and got[i].spans == f"email_like:{start}:{len(texts[i]) - 4}"
+    assert got[45].spans == ""
+
+
 def test_pii_awkward(ragged, empty):
     assert find_pii(ragged).count() == ragged.count() and find_pii(empty).count() == 0
 
