@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from likeness.llm.decontaminate import contaminated
 from likeness.llm.exact_dedup import exact_dedup
+from likeness.llm.lexical_search import rank_documents
 from likeness.llm.licenses import scan_licenses
 from likeness.llm.line_dedup import line_dedup
+from likeness.llm.neighbours import nearest
 from likeness.llm.ngram_join import ngram_join
 from likeness.llm.pieces import encode
 from likeness.llm.pii import find_pii
 from likeness.llm.shared import documents
+from likeness.llm.spelling import group_variants
 from likeness.llm.substring_dedup import substring_dedup
 from likeness.llm.toxicity import score_toxicity
 from likeness.llm.url_filter import filter_urls
@@ -135,6 +138,34 @@ WITH {_SHINGLES},
 SELECT doc_id, item_id, any_value(n_item) AS n_item, count(*) AS n_shared, count(*) / any_value(n_item) AS containment
 FROM s JOIN t USING (g) JOIN m USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n_item)"""
 
+
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+_TERMS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+OP11 = f"""
+WITH d AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, {_TERMS})) AS term FROM documents) GROUP BY ALL),
+    q AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, {_TERMS})) AS term FROM benchmark) GROUP BY ALL),
+    n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM d GROUP BY doc_id),
+    a AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM n),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM d, a GROUP BY term, n_docs),
+    m AS (SELECT doc_id, 100 - 25 + ((25 * n * n_docs) // n_all) AS m FROM n, a),
+    s AS (SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+          FROM q JOIN d USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER k AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW k AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER k <= 20"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(documents(spark, sf_dir))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_toxicity": op2_toxicity,
@@ -146,6 +177,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLES = {
@@ -154,4 +188,5 @@ ORACLES = {
     "op8_url_filter": OP8,
     "op9_exact_dedup": OP9,
     "op10_decontaminate": OP10,
+    "op11_lexical_search": OP11,
 }
