@@ -50,22 +50,33 @@ VALID = {
 }
 
 
-def _spans(found: str, pieces: str) -> str:
-    """SQL for the places (s, e, t, left) of matches, from them and the pieces between."""
-    return f"""aggregate(sequence(0, size({found}) - 1),
-        named_struct('at', 0, 'out', cast(array() as array<struct<s:int,e:int,t:string,left:string>>)),
-        (a, i) -> named_struct('at', a.at + length({pieces}[i]) + length({found}[i]),
-            'out', concat(a.out, array(named_struct('s', a.at + length({pieces}[i]), 'e', a.at + length({pieces}[i]) + length({found}[i]),
-                't', {found}[i], 'left', right({pieces}[i], 64))))),
+CHUNK = 64  # matches gathered at a time: appending to a list copies it, so none grows with the text
+
+
+def _spans(found: str, pieces: str) -> tuple[str, str, str]:
+    """SQL for the lengths of matches (with the piece before), where chunks of them
+    begin (columns _n and _s), and their places (s, e, t, left) in chunks."""
+    sizes = f"transform({found}, (x, i) -> length({pieces}[i]) + length(x))"
+    starts = f"""aggregate(sequence(0, size({found}) - 1, {CHUNK}), named_struct('at', 0, 'out', cast(array() as array<struct<i:int,at:int>>)),
+        (a, c) -> named_struct('at', a.at + aggregate(slice(_n, c + 1, {CHUNK}), 0, (x, y) -> x + y),
+            'out', concat(a.out, array(named_struct('i', c, 'at', a.at)))), a -> a.out)"""
+    chunk = f"""aggregate(sequence(c.i, least(c.i + {CHUNK}, size({found})) - 1),
+        named_struct('at', c.at, 'out', cast(array() as array<struct<s:int,e:int,t:string,left:string>>)),
+        (a, i) -> named_struct('at', a.at + _n[i], 'out', concat(a.out, array(named_struct(
+            's', a.at + length({pieces}[i]), 'e', a.at + _n[i], 't', {found}[i], 'left', right({pieces}[i], 64))))),
         a -> a.out)"""
+    return sizes, starts, f"transform(_s, c -> {chunk})"
 
 
 def _find(df: DataFrame, name: str, pattern: str) -> DataFrame:
-    """With a column of the places of ``pattern`` in text."""
+    """With a column of the places of ``pattern`` in text, in chunks."""
+    some = F.size("_m") > 0
+    sizes, starts, chunks = _spans("_m", "_p")
     df = df.withColumn("_m", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
-    df = df.withColumn("_p", F.when(F.size("_m") > 0, F.split("text", pattern, -1)))
-    none = F.expr("cast(array() as array<struct<s:int,e:int,t:string,left:string>>)")
-    return df.withColumn(name, F.when(F.size("_m") > 0, F.expr(_spans("_m", "_p"))).otherwise(none)).drop("_m", "_p")
+    df = df.withColumn("_p", F.when(some, F.split("text", pattern, -1)))
+    df = df.withColumn("_n", F.when(some, F.expr(sizes))).withColumn("_s", F.when(some, F.expr(starts)))
+    none = F.expr("cast(array() as array<array<struct<s:int,e:int,t:string,left:string>>>)")
+    return df.withColumn(name, F.when(some, F.expr(chunks)).otherwise(none)).drop("_m", "_p", "_n", "_s")
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,15 +86,22 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         df = _find(df, kind, PATTERNS[kind])
     df = _find(df, "tokens", TOKEN)
     each = [
-        F.expr(f"transform(filter({kind}, x -> {VALID[kind]}), x -> named_struct('s', x.s, 'k', {k}, 'e', x.e))")
+        F.expr(f"transform(filter(flatten({kind}), x -> {VALID[kind]}), x -> named_struct('s', x.s, 'k', {k}, 'e', x.e))")
         for k, kind in enumerate(KINDS)
     ]
-    free = F.expr(
-        """transform(tokens, x -> named_struct('s', x.s, 'e', x.e, 't', x.t,
+    # a run of chunks meets only the base spans within it, and each chunk only its own of these
+    within = "filter({spans}, b -> b.s < {to} and {since} < b.e)"
+    free = f"""flatten(transform(c, x -> named_struct('s', x.s, 'e', x.e, 't', x.t,
             'pattern', concat_ws(' ', coalesce(nullif(lower(regexp_replace(regexp_extract(x.left, '(\\\\S+)\\\\s+$', 1), '[0-9]+', '9')), ''), '#'),
                 left(regexp_replace(regexp_replace(regexp_replace(x.t, '[0-9]+', '9'), '[a-z]+', 'a'), '[A-Z]+', 'A'), 24)),
-            'seed', get(filter(base, b -> b.s < x.e and x.s < b.e), 0).k))"""
-    )
+            'seed', get(filter(near, b -> b.s < x.e and x.s < b.e), 0).k)))"""
+    each_chunk = f"""flatten(transform(g, c -> flatten(transform(
+        array({within.format(spans="some", to="element_at(c, -1).e", since="c[0].s")}), near -> {free[8:-1]}))))"""
+    runs = f"""flatten(transform(sequence(0, size(tokens) - 1, {CHUNK}), i -> flatten(transform(array(slice(tokens, i + 1, {CHUNK})), g ->
+        flatten(transform(array({within.format(spans="base", to="element_at(element_at(g, -1), -1).e", since="g[0][0].s")}), some ->
+            {each_chunk}))))))"""
+    none = F.expr("cast(array() as array<struct<s:int,e:int,t:string,pattern:string,seed:int>>)")
+    free = F.when(F.size("tokens") > 0, F.expr(runs)).otherwise(none)
     return df.withColumn("base", F.sort_array(F.concat(*each))).withColumn("tokens", free).select("doc_id", "text", "base", "tokens")
 
 
