@@ -32,11 +32,18 @@ IPV4 = r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+\.?$"
 
 def url_patterns(url: Column) -> dict[str, Column]:
     """The host of a URL, and the host with the first path segment."""
-    host = F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
+    host = F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+?)\.?(?:[/?#:]|$)", 1)), F.lit(""))
     path = F.regexp_extract(url, r"^[^:]+://[^/?#]+(/[^/?#]*)", 1)
     return {"host": host, "section": F.concat(host, path)}
 
 
+def entry_pattern(pattern: Column) -> Column:
+    """An entry as hosts and sections are written: host in lower case, without
+    port and final dot; the path as it is."""
+    host = F.lower(F.regexp_extract(pattern, r"^([^/:]*?)\.?(?::[0-9]*)?(?:/|$)", 1))
+    return F.concat(host, F.regexp_extract(pattern, r"(/.*)$", 1))
+
+
 def domains(host: Column, most: Column) -> Column:
     """The host and the domains it lies in, of at most ``most`` labels."""
     labels = F.split(F.regexp_replace(host, r"\.$", ""), r"\.")
@@ -53,13 +60,15 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", day_col: str = "day") -> DataFrame:
-    """(page_id, day, blocked, rule, listed_on) of every capture."""
+    """(page_id, day, blocked, rule, listed_on) of every capture; rule is the
+    entry's pattern as ``entry_pattern`` writes it."""
     names = url_patterns(F.col("url"))
     rows = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(day_col).alias("day")).select(
         "page_id", "day", *[x.alias(k) for k, x in names.items()])
+    entries = entries.withColumn("pattern", entry_pattern(F.col("pattern")))
     deepest = entries.where("pattern is not null and day is not null and not contains(pattern, '/')").agg(
         F.coalesce(F.max(F.size(F.split("pattern", r"\."))), F.lit(0)).alias("most"))  # one row
-    hosts = rows.where("host is not null and day is not null").select("host", "day").distinct().crossJoin(F.broadcast(deepest))
+    hosts = rows.where("host is not null and day is not null").select("host", "day").distinct().withColumn("most", deepest.scalar())
     probes = hosts.select("host", "day", F.explode(domains(F.col("host"), F.col("most"))).alias("pattern"))
     sections = rows.where("section is not null and day is not null").select(F.col("section").alias("pattern"), "day")
     asked = probes.select("pattern", "day").union(sections).distinct()
