@@ -27,20 +27,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import materialize, ship, tidy, without
+from likeness.llm.shared import fresh, materialize, ship, tidy, without
 
 BLOCK = 1 << 20
 
 
 def _items(items: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """(item_id, n, band, sketch, items) of every item with words."""
+    """(item_id, n, size of the sketch, items) of every item with words."""
 
     def run(batches):
         for b in batches:
             for s in W.slices(b.column(1)):
                 data = W.lowered(s.data)
                 t = W.tokenize(data, s.offsets, W.NOT_SPACE)
-                row, h = W.distinct(*W.shingles(W.hash_words(data, t, W.NOT_SPACE), t, k))
+                row, h = W.distinct(*W.shingles(W.hash_words(data, t), t, k))
                 cuts = np.searchsorted(row, np.arange(s.hi - s.lo + 1))
                 n = np.diff(cuts)
                 band = np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)
@@ -110,7 +110,7 @@ def _probe(docs: DataFrame, k: int, percent: int, table) -> DataFrame:
             for s in W.slices(b.column(1)):
                 data = W.lowered(s.data)
                 t = W.tokenize(data, s.offsets, W.NOT_SPACE)
-                row, h = W.shingles(W.hash_words(data, t, W.NOT_SPACE), t, k)
+                row, h = W.shingles(W.hash_words(data, t), t, k)
                 some = near[(h & np.uint64(0xFFFF)).astype(np.int64)]
                 row, h = W.distinct(row[some], h[some])
                 r, i = _lookup(sketch, row, h)
@@ -135,5 +135,6 @@ def _probe(docs: DataFrame, k: int, percent: int, table) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that contain an item."""
     found = materialize(contaminated(docs, items, id_col, text_col, with_hash=True, **options))
-    hashed = docs.withColumn("_hash", F.xxhash64(text_col))
-    return without(hashed, found.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias("_hash")).distinct()).drop("_hash")
+    name = fresh("_hash", docs)
+    hashed = docs.withColumn(name, F.xxhash64(text_col))
+    return without(hashed, found.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias(name)).distinct()).drop(name)

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from likeness.llm.shared import materialize, maybe_in, partitions, salted_join, without
+from likeness.llm.shared import fresh, materialize, maybe_in, partitions, salted_join, without
 
 KEY = ["h", "len", "sha"]
 
@@ -87,11 +87,12 @@ def exact_dedup(
 def keep_last(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that exact_dedup drops."""
     found = materialize(exact_dedup(docs, id_col, text_col))
-    marked = docs.withColumn("_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    keys = [F.col("doc_id").alias(id_col), F.col("text_sha256").alias("_sha")]
+    sha, key, flag = (fresh(x, docs) for x in ("_sha", "_key", "_maybe"))
+    marked = docs.withColumn(sha, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    keys = [F.col("doc_id").alias(id_col), F.col("text_sha256").alias(sha)]
     tied = found.where("not kept and doc_id <=> keep_id").select(*keys)
     out = without(marked, found.where("not kept and not doc_id <=> keep_id").select(*keys))
     if not tied.isEmpty():  # the same row more than once
-        ties = maybe_in(out.withColumn("_key", F.xxhash64(id_col, "_sha")), "_key", tied.select(F.xxhash64(id_col, "_sha").alias("_key")))
-        out = ties.where("not _maybe").unionByName(ties.where("_maybe").dropDuplicates([id_col, "_sha"])).drop("_key", "_maybe")
-    return out.drop("_sha")
+        ties = maybe_in(out.withColumn(key, F.xxhash64(id_col, sha)), key, tied.select(F.xxhash64(id_col, sha).alias(key)), flag=flag)
+        out = ties.where(~F.col(flag)).unionByName(ties.where(F.col(flag)).dropDuplicates([id_col, sha])).drop(key, flag)
+    return out.drop(sha)

@@ -36,15 +36,16 @@ from likeness.llm.shared import discard, materialize, maybe_in, partitions, salt
 FLUSH = 1 << 21
 SKETCH_BITS = 256
 NO_ID = -(1 << 63)
+_SOMETHING = r"[^\x20\x09-\x0D]"  # a line without is blank
 _BASE = 0x9FB21C651E98DF25
 _UNDO = np.uint64(pow(_BASE, -1, 1 << 64))
 
 
 def split_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, at, line, node) of the lines that are not blank."""
+    """(doc_id, text_hash, at, line, node) of the lines that are not blank."""
     return (
-        docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("at", "line"))
-        .where(F.trim("line") != "").withColumn("node", F.xxhash64("line"))
+        docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(text_col, "\n")).alias("at", "line"))
+        .where(F.col("line").rlike(_SOMETHING)).withColumn("node", F.xxhash64("line"))
     )
 
 
@@ -262,7 +263,7 @@ def line_classes(lines: DataFrame, most: int, min_chars: int) -> DataFrame:
     live = materialize(_shared_keys(lines, most, min_chars))
     used = live.select("node").distinct()
     # the texts of lines that share a key, each once
-    texts = materialize(maybe_in(lines.select("node", "line"), "node", used).where("_maybe").drop("_maybe").join(used, "node").dropDuplicates(["node"]))
+    texts = materialize(maybe_in(lines.select("node", "line"), "node", used).where("_maybe").drop("_maybe").dropDuplicates(["node"]).join(used, "node"))
     facts = materialize(_profile(texts))
 
     def allow(n, m, d):
@@ -277,23 +278,25 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship(docs.sparkSession)
     lines = split_lines(docs, id_col, text_col)
     labels = line_classes(lines, most, min_chars)
-    places = materialize(lines.select("doc_id", "at", "node", F.xxhash64("at", "line").alias("mark")))
+    own = ["doc_id", "text_hash"]  # rows without an id by their text, so that no two share a list
+    places = materialize(lines.select(*own, "at", "node", F.xxhash64("at", "line").alias("mark")))
     classed = salted_join(places, labels, "node").withColumn("class", F.coalesce("component", "node"))
     first = classed.groupBy("class").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     lost = materialize(
         salted_join(classed, first, "class", "inner").where(F.struct("doc_id", "at") > F.col("first"))
-        .groupBy("doc_id").agg(F.collect_set("mark").alias("marks")))
+        .groupBy(*own).agg(F.collect_set("mark").alias("marks")))
     discard(places)
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
-    marked = maybe_in(rows, "_id", lost.select("doc_id"))
+        F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.xxhash64(text_col)).alias("_own"),
+        F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
+    lost = lost.select(F.xxhash64(*own).alias("_own"), "marks")
+    marked = maybe_in(rows, "_own", lost.select("_own"))
     whole = marked.where("not _maybe").select("doc_id", "lines", F.col("lines").alias("kept"))
-    lost = lost.withColumnRenamed("doc_id", "_id")
-    cut = marked.where("_maybe").join(lost, "_id", "left").select(
+    cut = marked.where("_maybe").join(lost, "_own", "left").select(
         "doc_id", "lines",
         F.when(F.col("marks").isNull(), F.col("lines")).otherwise(F.expr("filter(lines, (x, i) -> not array_contains(marks, xxhash64(i, x)))")).alias("kept"))
     text = F.concat_ws("\n", "kept")
-    blank = F.expr("cast(size(filter(lines, x -> trim(x) <> '')) as long)")
+    filled = F.size(F.filter("lines", lambda x: x.rlike(_SOMETHING))).cast("long")
     return whole.union(cut).select(
-        "doc_id", blank.alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
+        "doc_id", filled.alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
         F.sha2(text, 256).alias("kept_sha256"), text.alias("kept_text"))

@@ -1,12 +1,25 @@
 """Components of links among items that share keys, without all pairs of a group.
 
 Items (nodes) that share a key are candidates.  In groups of up to SMALL nodes
-all candidates are checked; in larger ones first every node's nearest and its
-best-connected neighbour, then -- once the components are known -- every
-candidate between different components.  Groups beyond BLOCK nodes are cut into
-pairs of blocks, so none meets in one task; nodes travel to the tasks, and a
-pair only leaves a task if size and sketch allow it.  Nothing is capped: two
-nodes that share a key and are linked always end in one component.
+all candidates are checked.  Larger groups go through three kinds of rounds, and
+after each one the links found are verified and contracted to components:
+
+1. *Near*, SWEEPS times: the group is dealt into blocks of about BLOCK nodes by
+   another hash each time; in its block every node keeps its nearest and its
+   best-connected partner.  Two rows a node, whatever the size of the group.
+   Members of one family meet anew in each sweep, so that families spread over
+   many blocks grow together.
+2. *Best*: of keys whose nodes still differ in component all pairs of blocks
+   meet, and every node keeps its nearest partner of each other component.
+3. *Rest*: every candidate left between different components.
+
+Nodes travel to the tasks, none holds more than two blocks, and a pair only
+leaves a task if sizes and sketches allow it; rounds 2 and 3 use the sketches of
+the nodes' own size.  Nothing is capped: two nodes that share a key and are
+linked always end in one component.  The rows made by rounds 1 grow with the
+rows of ``live``, those of round 2 with nodes times components of their group;
+only the comparisons of sketches inside the tasks of rounds 2 and 3 grow with
+the square of what is still apart.
 """
 
 from __future__ import annotations
@@ -19,35 +32,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import components, discard, materialize, partitions, tidy
+from likeness.llm.shared import components, materialize, partitions, salted_join, tidy
 
-SMALL, BLOCK = 8, 1024
+SMALL, BLOCK, SWEEPS = 8, 1024, 2
+COMPARED = 1 << 24  # bytes of sketches compared at a time
 Allow = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def compare(rows: DataFrame, keys: DataFrame, allow: Allow, everything: bool) -> DataFrame:
+def _widths(column: pa.Array) -> np.ndarray:
+    """Sketches as rows, folded to the shortest (halves XORed: parities stay)."""
+    data, cuts = W.from_binary(column, np.uint8)
+    sizes = np.diff(cuts)
+    width = int(sizes.min())
+    out = np.zeros((len(sizes), width), np.uint8)
+    for size in np.unique(sizes):
+        rows = np.flatnonzero(sizes == size)
+        part = data[cuts[rows][:, None] + np.arange(size)]
+        while part.shape[1] > width:
+            half = part.shape[1] // 2
+            part = part[:, :half] ^ part[:, half:]
+        out[rows] = part
+    return out.view(np.uint64) if width % 8 == 0 else out
+
+
+def compare(rows: DataFrame, keys: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFrame:
     """Candidates (x, y, rank, large) that size and sketch allow, of rows
     (key, node, n, sketch, component) that share a key and differ in component.
 
     ``allow`` takes two arrays of sizes and the Hamming distances of the
-    sketches.  ``keys`` has the same keys, to be counted.  ``everything``: all candidates;
-    else, in large groups, two for every member: the nearest, and the one with
-    most candidates (the text that the others were made from, if it is there).
+    sketches.  ``keys`` has the same keys, to be counted.  ``step``: near, best
+    or rest, as the module says.
     """
     spark = rows.sparkSession
     hot = materialize(keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK))
-    rows = rows.withColumn("m", F.lit(None).cast("long")) if hot.isEmpty() else rows.join(hot, "key", "left")
-    split = (
-        rows.withColumn("blocks", F.coalesce(F.ceil(F.col("m") / BLOCK), F.lit(1)).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            F.when(F.col("blocks") == 1, F.col("key"))
-            .otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).alias("cell"),
-            F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
-            .cast("byte").alias("side"),
-            (F.col("blocks") > 1).alias("large"), "node", "n", "sketch", "component")
-    )
+    rows = rows.withColumn("m", F.lit(None).cast("long")) if hot.isEmpty() else salted_join(rows, hot, "key")
+    dealt = rows.withColumn("blocks", F.coalesce(F.ceil(F.col("m") / BLOCK), F.lit(1)).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("node", F.lit(sweep)), F.col("blocks")).cast("int"))
+    others = F.array("block") if step == "near" else F.sequence(F.lit(0), F.col("blocks") - 1)
+    split = dealt.withColumn("other", F.explode(others)).select(
+        F.when(F.col("blocks") == 1, F.col("key"))
+        .otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).alias("cell"),
+        F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+        .cast("byte").alias("side"),
+        (F.col("blocks") > 1).alias("large"), "node", "n", "sketch", "component")
 
     def groups(batches):
         """Whole groups: batches cut where the cell changes."""
@@ -70,28 +97,33 @@ def compare(rows: DataFrame, keys: DataFrame, allow: Allow, everything: bool) ->
             col = {f: b.column(i) for i, f in enumerate(b.schema.names)}
             cell, node = col["cell"].to_numpy(), col["node"].to_numpy()
             n, comp, side = col["n"].to_numpy(), col["component"].to_numpy(), col["side"].to_numpy()
-            sk = W.from_binary(col["sketch"])[0].reshape(len(node), -1)
             at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
             ends = np.append(at[1:], len(cell))
             size = np.repeat(ends - at, ends - at)
             large = (size > SMALL) | col["large"].to_numpy(zero_copy_only=False)
+            sk = _widths(col["sketch"]) if step == "near" else None
             after = np.repeat(ends, ends - at) - np.arange(len(cell)) - 1
             total = np.concatenate([[0], np.cumsum(after)])
-            lo, found = 0, []
-            while lo < len(cell):
-                hi = max(lo + 1, int(np.searchsorted(total, total[lo] + 200_000, "right")) - 1)
-                i = np.repeat(np.arange(lo, hi), after[lo:hi])
-                j = i + 1 + np.arange(len(i)) - np.repeat(total[lo:hi] - total[lo], after[lo:hi])
-                lo = hi
-                ok = (comp[i] != comp[j]) & (node[i] != node[j]) & ((side[i] == 0) | (side[i] != side[j]))
-                ok &= allow(n[i], n[j], 0)
-                i, j = i[ok], j[ok]
-                dist = np.bitwise_count(sk[i] ^ sk[j]).sum(1, dtype=np.int64)
-                ok = allow(n[i], n[j], dist)
-                i, j, dist = i[ok], j[ok], dist[ok]
-                found.append((i, j, dist / (n[i] + n[j])))
+            found = []
+            for first, last in [(0, len(cell))] if step == "near" else zip(at, ends, strict=True):
+                if step != "near":  # sketches of many sizes: a cell at a time
+                    sk = _widths(col["sketch"].slice(first, last - first))
+                most, lo = max(1, COMPARED // sk[0].nbytes), int(first)
+                base = 0 if step == "near" else int(first)
+                while lo < last:
+                    hi = min(int(last), max(lo + 1, int(np.searchsorted(total, total[lo] + most, "right")) - 1))
+                    i = np.repeat(np.arange(lo, hi), after[lo:hi])
+                    j = i + 1 + np.arange(len(i)) - np.repeat(total[lo:hi] - total[lo], after[lo:hi])
+                    lo = hi
+                    ok = (comp[i] != comp[j]) & (node[i] != node[j]) & ((side[i] == 0) | (side[i] != side[j]))
+                    ok &= allow(n[i], n[j], 0)
+                    i, j = i[ok], j[ok]
+                    dist = np.bitwise_count(sk[i - base] ^ sk[j - base]).sum(1, dtype=np.int64)
+                    ok = allow(n[i], n[j], dist)
+                    i, j, dist = i[ok], j[ok], dist[ok]
+                    found.append((i, j, dist / (n[i] + n[j])))
             i, j, near = (np.concatenate(c) for c in zip(*found, strict=True))
-            if everything:
+            if step == "rest":
                 out = [(i, j, near, False)]
             else:
                 few = ~large[i]
@@ -99,9 +131,12 @@ def compare(rows: DataFrame, keys: DataFrame, allow: Allow, everything: bool) ->
                 degree = np.bincount(i, minlength=len(cell)) + np.bincount(j, minlength=len(cell))
                 x, y = np.concatenate([i[~few], j[~few]]), np.concatenate([j[~few], i[~few]])
                 near = np.concatenate([near[~few]] * 2)
-                for rank in (near, near - degree[y]):
-                    o = np.lexsort((node[y], rank, node[x]))
-                    best = o[np.append(True, node[x[o]][1:] != node[x[o]][:-1])] if len(o) else o
+                # the nearest (of each other component in round 2), and in round 1 the best-connected
+                of = np.zeros(len(x), np.int64) if step == "near" else comp[y]
+                for rank in (near, near - degree[y]) if step == "near" else (near,):
+                    o = np.lexsort((node[y], rank, of, node[x], cell[x]))
+                    new = np.append(True, (node[x[o]][1:] != node[x[o]][:-1]) | (of[o][1:] != of[o][:-1])) if len(o) else np.zeros(0, bool)
+                    best = o[new]
                     out.append((x[best], y[best], rank[best], True))
             for x, y, rank, big in out:
                 o = np.lexsort((rank, node[y], node[x]))
@@ -119,15 +154,19 @@ def compare(rows: DataFrame, keys: DataFrame, allow: Allow, everything: bool) ->
 
 def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of the nodes with links; ``live``: (key, node) of keys
-    that several nodes have, ``facts``: (node, n, sketch), ``links``: the pairs
-    (x, y) of those given that are linked indeed."""
-    rows = live.join(facts.withColumn("component", F.col("node")), "node")
-    keys, done, found = live, None, None
-    for everything in (False, True):
-        made = materialize(compare(rows, keys, allow, everything))
-        either = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
-        best = made.where("large").withColumn("hub", F.col("rank") < 0).groupBy("x", "hub").agg(F.min(F.struct("rank", "y")).alias("best"))
-        pairs = made.where("not large").select(*either).union(best.select(F.least("x", "best.y"), F.greatest("x", "best.y"))).distinct()
+    that several nodes have, ``facts``: (node, n, sketch, wide), the sketch of one
+    size and that of the node's own, ``links``: the pairs (x, y) of those given
+    that are linked indeed."""
+    wide = "wide" if "wide" in facts.columns else "sketch"
+    rows = live.join(facts.select("node", "n", "sketch").withColumn("component", F.col("node")), "node")
+    keys, done, found, step, sweep = live, None, None, "near", 0
+    either = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
+    while True:
+        made = materialize(compare(rows, keys, allow, step, sweep))
+        pairs, best = made.where("not large").select(*either), made.where("large")
+        if step == "near":  # over all its keys, two for a node
+            best = best.withColumn("hub", F.col("rank") < 0).groupBy("x", "hub").agg(F.min(F.struct("rank", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
+        pairs = pairs.union(best.select(*either)).distinct()
         if done is not None:
             pairs = pairs.join(done, ["x", "y"], "left_anti")
         pairs = materialize(pairs)
@@ -136,10 +175,18 @@ def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[Da
             new = links(pairs)
             found = new if found is None else found.union(new)
         labels = components(found if found is not None else pairs)
-        if everything or made.isEmpty():
-            break
+        if step == "rest" or made.isEmpty():
+            return labels
         mine = live.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        still = mine.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("a"), F.max("component").alias("b"))
-        open_keys = still.where((F.col("m") > SMALL) & (F.col("a") != F.col("b"))).select("key")
-        rows = keys = materialize(mine.join(open_keys, "key").join(facts, "node"))
-    return labels
+        still = materialize(
+            mine.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("a"), F.max("component").alias("b"))
+            .where((F.col("m") > SMALL) & (F.col("a") != F.col("b"))).select("key", "m"))
+        apart, sketch = still.where(F.col("m") > BLOCK), "sketch"  # groups of one block met already
+        if step == "near" and sweep + 1 < SWEEPS and not apart.isEmpty():
+            sweep += 1
+        else:
+            step, apart, sketch = "best" if step == "near" else "rest", still, wide
+            if still.isEmpty():
+                return labels
+        rows = keys = materialize(
+            salted_join(mine, apart.select("key"), "key", "inner").join(facts.select("node", "n", F.col(sketch).alias("sketch")), "node"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from likeness.llm import words as W
 from likeness.llm.linkage import connect
-from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship, tidy, without
+from likeness.llm.shared import discard, fresh, materialize, maybe_in, partitions, salted_join, ship, split_join, tidy, without
 
 SKETCH_WORDS = 8  # of 64 bits
 GROWTH = 1.6  # of the size bands
@@ -61,7 +61,7 @@ def _sets(batch: pa.RecordBatch, text: str, k: int) -> Iterator[tuple]:
     for s in W.slices(batch.column(batch.schema.get_field_index(text))):
         data = W.lowered(s.data)
         t = W.tokenize(data, s.offsets, W.NOT_SPACE)
-        row, h = W.distinct(*W.shingles(W.hash_words(data, t, W.NOT_SPACE), t, k))
+        row, h = W.distinct(*W.shingles(W.hash_words(data, t), t, k))
         yield s.lo, s.hi - s.lo, row, h, np.searchsorted(row, np.arange(s.hi - s.lo + 1))
 
 
@@ -254,8 +254,9 @@ def _sift(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(pa.array(keep))
 
     return (
-        pairs.join(info.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("wide").alias("wx")), "x")
-        .join(info.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("wide").alias("wy")), "y")
+        split_join(
+            split_join(pairs, info.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("wide").alias("wx")), "x"),
+            info.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("wide").alias("wy")), "y")
         .select("x", "y", "nx", "ny", "wx", "wy").mapInArrow(tidy(run), "x long, y long")
     )
 
@@ -275,8 +276,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(pa.array(keep))
 
     return (
-        pairs.join(sets.select(F.col("node").alias("x"), F.col("items").alias("xs")), "x")
-        .join(sets.select(F.col("node").alias("y"), F.col("items").alias("ys")), "y")
+        split_join(
+            split_join(pairs, sets.select(F.col("node").alias("x"), F.col("items").alias("xs")), "x"),
+            sets.select(F.col("node").alias("y"), F.col("items").alias("ys")), "y")
         .select("x", "y", "xs", "ys").mapInArrow(tidy(run), "x long, y long")
     )
 
@@ -323,7 +325,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def allow(n, m, d):
         return (np.maximum(n, m) * percent <= 100 * np.minimum(n, m)) & (d * (100 + percent) <= (100 - percent) * (n + m))
 
-    labels = connect(live, info.select("node", "n", "sketch"), allow, lambda pairs: links(materialize(_sift(pairs, info, percent))))
+    labels = connect(live, info.select("node", "n", "sketch", "wide"), allow, lambda pairs: links(materialize(_sift(pairs, info, percent))))
     least = one.join(labels, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
     own = one.join(labels, "node", "left").join(least, "component", "left").select(
         "node", F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -337,5 +339,6 @@ def keep_least(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id (rows without id, if the component has no other)."""
     found = materialize(ngram_join(docs, id_col, text_col, **options))
     gone = found.where("component_id is not null and not doc_id <=> component_id")
-    hashed = docs.withColumn("_hash", F.xxhash64(text_col))
-    return without(hashed, gone.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias("_hash")).distinct()).drop("_hash")
+    name = fresh("_hash", docs)
+    hashed = docs.withColumn(name, F.xxhash64(text_col))
+    return without(hashed, gone.select(F.col("doc_id").alias(id_col), F.col("text_hash").alias(name)).distinct()).drop(name)

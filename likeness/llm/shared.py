@@ -94,8 +94,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def maybe_in(df: DataFrame, column: str, wanted: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
-    """``df`` with a boolean ``_maybe``: false only where ``column`` is surely not
+def fresh(name: str, *tables: DataFrame) -> str:
+    """``name``, lengthened until none of the tables has such a column."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def maybe_in(df: DataFrame, column: str, wanted: DataFrame, bits: int = BITMAP_BITS, flag: str = "_maybe") -> DataFrame:
+    """``df`` with a boolean ``flag``: false only where ``column`` is surely not
     among the values of ``wanted`` (one column).
 
     A hashed bitmap of ``bits`` bits, so what is broadcast never exceeds
@@ -103,25 +111,26 @@ def maybe_in(df: DataFrame, column: str, wanted: DataFrame, bits: int = BITMAP_B
     merely stops ruling rows out.  Callers join exactly afterwards.
     """
     name = wanted.columns[0]
+    p, b, words = (fresh(x, df) for x in ("_p", "_b", "_bits"))
 
     def pos(c):
         return F.pmod(F.xxhash64(c), F.lit(bits))
 
     maps = (
-        wanted.select(pos(F.col(name)).alias("_p"))
-        .groupBy(F.expr(f"int(_p div {_BUCKET_BITS})").alias("_b"))
-        .agg(F.expr(f"bitmap_construct_agg(_p % {_BUCKET_BITS})").alias("_bits"))
+        wanted.select(pos(F.col(name)).alias(p))
+        .groupBy(F.expr(f"int({p} div {_BUCKET_BITS})").alias(b))
+        .agg(F.expr(f"bitmap_construct_agg({p} % {_BUCKET_BITS})").alias(words))
     )
     bit = F.expr(
-        "_bits is not null and shiftright(conv(hex(substring(_bits, int((_p % 32768) div 8) + 1, 1)), 16, 10)::int,"
-        " int(_p % 8)) & 1 = 1"
+        f"{words} is not null and shiftright(conv(hex(substring({words}, int(({p} % 32768) div 8) + 1, 1)), 16, 10)::int,"
+        f" int({p} % 8)) & 1 = 1"
     )
     return (
-        df.withColumn("_p", pos(F.col(column)))
-        .withColumn("_b", F.expr(f"int(_p div {_BUCKET_BITS})"))
-        .join(F.broadcast(maps), "_b", "left")
-        .withColumn("_maybe", bit)
-        .drop("_p", "_b", "_bits")
+        df.withColumn(p, pos(F.col(column)))
+        .withColumn(b, F.expr(f"int({p} div {_BUCKET_BITS})"))
+        .join(F.broadcast(maps), b, "left")
+        .withColumn(flag, bit)
+        .drop(p, b, words)
     )
 
 
@@ -131,24 +140,40 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     keys = dropped.columns
     if dropped.isEmpty():
         return docs
-    marked = maybe_in(docs.withColumn("_key", F.xxhash64(*keys)), "_key", dropped.select(F.xxhash64(*keys).alias("_key")))
+    key, flag = fresh("_key", docs), fresh("_maybe", docs)
+    marked = maybe_in(docs.withColumn(key, F.xxhash64(*keys)), key, dropped.select(F.xxhash64(*keys).alias(key)), flag=flag)
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    rest = marked.where("_maybe").alias("l").join(dropped.distinct().alias("r"), same, "left_anti")
-    return marked.where("not _maybe").unionByName(rest).drop("_key", "_maybe")
+    rest = marked.where(F.col(flag)).alias("l").join(dropped.distinct().alias("r"), same, "left_anti")
+    return marked.where(~F.col(flag)).unionByName(rest).drop(key, flag)
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str] | str, how: str = "left", salt: int = 16) -> DataFrame:
     """Equi-join in which a key with very many rows of ``big`` is spread over
     ``salt`` tasks; ``small`` has at most one row for a key."""
     keys = [keys] if isinstance(keys, str) else keys
+    name = fresh("_salt", big, small)
     salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
     return (
-        big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int"))
-        .join(small.withColumn("_salt", salts), [*keys, "_salt"], how)
-        .drop("_salt")
+        big.withColumn(name, F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int"))
+        .join(small.withColumn(name, salts), [*keys, name], how)
+        .drop(name)
     )
 
 
+def split_join(big: DataFrame, small: DataFrame, key: str, most: int = 4096) -> DataFrame:
+    """Inner equi-join with ``small`` (one row a key, rows of any width) in which
+    a key with more than ``most`` rows of ``big`` is spread over as many parts as
+    it takes; only the rows of ``small`` under such keys are copied."""
+    hot = big.groupBy(key).agg(F.count("*").alias("_m")).where(F.col("_m") > most).select(key, F.ceil(F.col("_m") / most).cast("int").alias("_parts"))
+    hot = materialize(hot)
+    if hot.isEmpty():
+        return big.join(small, key)
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = salted_join(big, hot, key).withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int")).drop("_parts")
+    copied = small.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copied, [key, "_part"]).drop("_part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges`` (x, y): component is the
     smallest node reachable.

@@ -36,21 +36,19 @@ from likeness.llm.shared import materialize, maybe_in, partitions, ship, tidy
 
 DEPTH, MOST_BITS = 2, 28
 FLUSH = 1 << 21
-_STEP = np.uint64(0xE7037ED1A0B428DB)
 
 
 def _windows(batch: pa.RecordBatch, column: int, k: int):
-    """(slice, bytes, tokens, window positions, 64-bit hash, word hashes)."""
+    """(slice, tokens, window positions, 64-bit hash of each window)."""
     for s in W.slices(batch.column(column)):
         t = W.tokenize(s.data, s.offsets, W.NOT_SPACE)
-        words = W.hash_words(s.data, t, W.NOT_SPACE)
         at = W.windows(t, k)
-        yield s, t, at, W.fold(words, at, k), words
+        yield s, t, at, W.fold(W.hash_words(s.data, t), at, k)
 
 
-def _check(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    """32 more bits."""
-    return (W.fold(words, at, k, _STEP) >> np.uint64(32)).astype(np.uint32)
+def _check(s: W.Slice, t: W.Tokens, at: np.ndarray, k: int) -> np.ndarray:
+    """32 more bits, of word hashes independent of the first ones."""
+    return (W.fold(W.hash_words(s.data, t, 1), at, k) >> np.uint64(32)).astype(np.uint32)
 
 
 def _cells(h: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -97,7 +95,7 @@ def _sketch(docs: DataFrame, k: int, bits: int, parts: int) -> list[np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(ones, pa.binary()), pa.array(twos, pa.binary())], names=["shard", "ones", "twos"])
 
         for b in batches:
-            for _, _, _, h, _ in _windows(b, 0, k):
+            for _, _, _, h in _windows(b, 0, k):
                 held.append(h)
                 many += len(h)
                 if many >= 2 * FLUSH:
@@ -156,13 +154,13 @@ def _removed(docs: DataFrame, k: int, bits: int, parts: int, seen) -> DataFrame:
         for b in batches:
             ids = b.column(0).fill_null(0).to_numpy()
             known = b.column(0).is_valid().to_numpy(zero_copy_only=False)
-            for s, t, at, h, words in _windows(b, 1, k):
+            for s, t, at, h in _windows(b, 1, k):
                 hit = known[s.lo : s.hi][t.row[at]]
                 for m, cells in zip(maps, _cells(h, bits), strict=True):
                     hit &= (m[cells >> np.uint32(3)] >> (7 - (cells & np.uint32(7))).astype(np.uint8)) & 1 == 1
                 at, h = at[hit], h[hit]
                 x = np.empty(len(at), kind)
-                x["check"], x["place"], x["doc"] = _check(words, at, k), at - t.first[t.row[at]], ids[s.lo : s.hi][t.row[at]]
+                x["check"], x["place"], x["doc"] = _check(s, t, at, k), at - t.first[t.row[at]], ids[s.lo : s.hi][t.row[at]]
                 keys.append(h)
                 rest.append(x)
                 many += len(at)
@@ -218,7 +216,7 @@ def _removed(docs: DataFrame, k: int, bits: int, parts: int, seen) -> DataFrame:
 def _render(k: int, keep_text: bool):
     def run(batches):
         for b in batches:
-            for s, t, at, _, words in _windows(b, 1, k):
+            for s, t, at, _ in _windows(b, 1, k):
                 n = np.diff(t.first)
                 gone = np.zeros(len(t.row) + 1, np.int64)
                 check = None
@@ -227,7 +225,7 @@ def _render(k: int, keep_text: bool):
                         continue
                     if check is None:
                         check = np.zeros(len(t.row), np.int64) - 1
-                        check[at] = _check(words, at, k)
+                        check[at] = _check(s, t, at, k)
                     x = np.frombuffer(b"".join(blocks), np.uint64)
                     place = (x >> np.uint64(32)).astype(np.int64)
                     x, place = (x & np.uint64(0xFFFFFFFF)).astype(np.int64), place + t.first[i]

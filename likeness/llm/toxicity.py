@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import discard, materialize, ship, tidy
+from likeness.llm.shared import discard, fresh, materialize, ship, tidy
 
 STEMS = range(4, 8)  # lengths of word beginnings, in characters
 SPEECH = frozenset(b"said says wrote writes quote quoted called word words term sagte dit dijo".split())
@@ -341,4 +341,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 yield b.select(range(b.num_columns - 1)).filter(pa.array(np.concatenate(clean)))
 
     # the text once more, last, wherever it stands
-    return docs.select(*docs.columns, F.col(text_col).alias("_text")).mapInArrow(tidy(run), docs.schema)
+    return docs.select(*docs.columns, F.col(text_col).alias(fresh("_text", docs))).mapInArrow(tidy(run), docs.schema)

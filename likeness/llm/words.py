@@ -27,7 +27,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 _M1, _M2, _GOLD = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
-_STEP, _STEP2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_STEP = np.uint64(0xA0761D6478BD642F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,17 +38,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
-_powers = np.ones(1, np.uint64)
-
-
-def _power(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        p = np.full(max(n, 4096), _STEP, np.uint64)
-        p[0] = 1
-        _powers = np.multiply.accumulate(p)
-    return _powers
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n of eight bytes
 
 
 class Slice(NamedTuple):
@@ -96,19 +86,26 @@ def tokenize(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> Tokens:
     return Tokens(starts, ends, first, np.repeat(np.arange(rows), np.diff(first)))
 
 
-def hash_words(data: np.ndarray, t: Tokens, word: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word."""
+def hash_words(data: np.ndarray, t: Tokens, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word: its blocks of eight bytes are
+    mixed with their place, each on its own, and only then summed.  Hashes of
+    different seeds are independent."""
     if not len(t.starts):
         return np.zeros(0, np.uint64)
-    at = int(t.starts[0])
-    gaps = np.diff(np.append(t.starts, len(data)))
-    place = np.arange(at, len(data)) - np.repeat(t.starts, gaps)
-    part = data[at:]
-    value = np.where(word[part], _BYTE[part], np.uint64(0)) * _power(int(gaps.max()) + 1)[place]
-    return mix(np.add.reduceat(value, t.starts - at) + (t.ends - t.starts).astype(np.uint64))
-
-
-def fold(hashes: np.ndarray, first: np.ndarray, k: int, step: np.uint64 = _STEP2) -> np.ndarray:
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    size = t.ends - t.starts
+    blocks = (size + 7) // 8
+    first = np.cumsum(blocks) - blocks
+    place = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    at = np.repeat(t.starts, blocks) + 8 * place
+    # eight bytes from any place on, as a number
+    number = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))[at]
+    number &= _LOW[np.minimum(np.repeat(size, blocks) - 8 * place, 8)]
+    part = mix(number ^ mix(place.astype(np.uint64) + np.uint64(seed << 32)))
+    return mix(np.add.reduceat(part, first) + size.astype(np.uint64))
+
+
+def fold(hashes: np.ndarray, first: np.ndarray, k: int, step: np.uint64 = _STEP) -> np.ndarray:
     """The hash of the k words from each position in ``first``."""
     h = np.full(len(first), k, np.uint64)
     for j in range(k):

@@ -18,8 +18,10 @@ from likeness.llm.exact_dedup import exact_dedup, keep_last
 from likeness.llm.line_dedup import edit_distance_within, line_dedup
 from likeness.llm.ngram_join import keep_least, ngram_join
 from likeness.llm.substring_dedup import gaps, substring_dedup, ungaps
+from likeness.llm.toxicity import drop_toxic
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -233,26 +235,138 @@ def lines_of(seed):
                 w[at : at + rng.randrange(2)] = rng.choice(["", "x", "yz"])
             out.append("".join(w))
     rng.shuffle(out)
-    return {i: "\n".join(rng.choice([*out, "", "  "]) for _ in range(6)) for i in range(60)} | {60: "", 61: "\n\n"}
+    return {i: "\n".join(rng.choice([*out, "", "  ", "\r", "\t \x0b"]) for _ in range(6)) for i in range(60)} | {60: "", 61: "\n\n"}
 
 
 def test_line_dedup(spark):
     texts = lines_of(2)
-    lines = sorted({x for t in texts.values() for x in t.split("\n") if x.strip(" ")})
+    lines = sorted({x for t in texts.values() for x in t.split("\n") if x.strip(BLANK)})
     links = [(a, b) for n, a in enumerate(lines) for b in lines[n + 1 :] if min(len(a), len(b)) >= 30 and levenshtein(a, b) <= 2]
     cls, seen, expected = joined(lines, links), set(), {}
     for i in sorted(texts):
         kept = []
         for x in texts[i].split("\n"):
-            if not x.strip(" ") or cls[x] not in seen:
+            if not x.strip(BLANK) or cls[x] not in seen:
                 kept.append(x)
-            seen |= {cls[x]} if x.strip(" ") else set()
-        expected[i] = (sum(bool(x.strip(" ")) for x in texts[i].split("\n")), texts[i].count("\n") + 1 - len(kept), "\n".join(kept))
+            seen |= {cls[x]} if x.strip(BLANK) else set()
+        expected[i] = (sum(bool(x.strip(BLANK)) for x in texts[i].split("\n")), texts[i].count("\n") + 1 - len(kept), "\n".join(kept))
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept_text) for r in line_dedup(df).collect()}
     assert len(links) > 20 and got == expected
 
 
+def test_line_dedup_blank_lines(spark):
+    """Lines of white space of any kind are blank, and stay; so do both texts without an id."""
+    line = "a line of more than thirty characters, twice"
+    rows = [(1, f"{line}\r\n\r\n\t\r\nend one"), (2, f"{line}\r\n\r\n\t\r\nend two"), (None, f"{line}\r"), (None, f"{line}\r\nother")]
+    got = {r.kept_text: (r.doc_id, r.n_lines, r.n_removed) for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got["\r\n\t\r\nend one"] == (1, 2, 1) and got["\r\n\t\r\nend two"] == (2, 2, 1)
+
+
+def thue_morse(n):
+    """Two words of 2^n letters in which every polynomial hash modulo 2^64 agrees."""
+    bits = [bin(i).count("1") & 1 for i in range(1 << n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [10, 12])
+def test_structured_words_differ(spark, n):
+    """Words that agree in polynomial hashes are different words to operators 1, 7 and 10."""
+    x, y = thue_morse(n)
+    data = np.frombuffer(f"{x} {y}".encode(), np.uint8)
+    for seed in (0, 1):
+        assert len(set(W.hash_words(data, W.tokenize(data, np.array([0, len(data)]), W.NOT_SPACE), seed).tolist())) == 2
+    left, right = "one two three four five six".split(), "seven eight nine ten eleven twelve".split()
+    rows = [(1, " ".join([*left, x, *right])), (2, " ".join([*left, y, *right])), (3, " ".join(right[:2] + [x] + left[:1] + [y])), (4, " ".join(right[:2] + [y] + left[:1] + [x]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    assert ngram_result(df) == ngram_brute(texts)
+    assert {r.doc_id: r.n_removed for r in substring_dedup(df).collect()} == dict.fromkeys(texts, 0)
+    got = contaminated(df, df.where("doc_id in (1, 3)").withColumnRenamed("doc_id", "item_id")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (3, 3)]
+
+
+def test_stages_keep_all_columns(spark, awkward, texts):
+    """Columns named like the helpers' own come back with their values."""
+    names = ["_sha", "_hash", "_key", "_p", "_b", "_bits", "_maybe", "_salt", "_text", "_m", "_parts"]
+    df = awkward.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id")).alias(c) for c in names]).union(
+        awkward.limit(1).select("*", *[F.lit(None).cast("string").alias(c) for c in names]))
+    bench, _ = items(spark, texts)
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    for out in (keep_last(df), keep_least(df), decontaminate(df, bench), drop_toxic(df, labels)):
+        assert out.columns == df.columns
+        rows = out.where("_sha is not null").collect()
+        assert len(rows) > 50 and all(r[c] == f"{c}:{r.doc_id}" for r in rows for c in names)
+
+
+def near_copies(n, seed):
+    """(key, node) rows and facts of n sets near one other, all under the same keys; the sets."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(1, 1 << 62, 200, dtype=np.int64)
+    sets = []
+    for _ in range(n):
+        s = base.copy()
+        s[rng.integers(0, 200, 4)] = rng.integers(1, 1 << 62, 4)
+        sets.append(np.unique(s).view(np.uint64))
+    return sets
+
+
+def linked(spark, sets, rows_made):
+    """Components of ``sets`` under two common keys by linkage.connect, adding the rows that each round made."""
+    from likeness.llm import ngram_join
+
+    facts = []
+    for i, s in enumerate(sets):
+        row, n = np.zeros(len(s), np.int64), np.array([len(s)])
+        facts.append((i, len(s), ngram_join._sketch(row, s, 1).tobytes(), ngram_join._wide(row, s, n)[0].tobytes()))
+    facts = spark.createDataFrame(facts, "node long, n long, sketch binary, wide binary")
+    live = spark.createDataFrame([(k, i) for i in range(len(sets)) for k in (1, 2)], "key long, node long")
+
+    def allow(n, m, d):
+        return (np.maximum(n, m) * 80 <= 100 * np.minimum(n, m)) & (d * 180 <= 20 * (n + m))
+
+    def links(pairs):
+        rows = pairs.collect()
+        rows_made.append(len(rows))
+        ok = [(r.x, r.y) for r in rows if 100 * len(np.intersect1d(sets[r.x], sets[r.y])) >= 80 * len(np.union1d(sets[r.x], sets[r.y]))]
+        return spark.createDataFrame(ok, "x long, y long")
+
+    made, compare = [], linkage.compare
+
+    def counted(*args):
+        out = compare(*args)
+        made.append(out.count())
+        return out
+
+    linkage.compare = counted
+    try:
+        labels = {r.node: r.component for r in linkage.connect(live, facts, allow, links).collect()}
+    finally:
+        linkage.compare = compare
+    return labels, sum(made)
+
+
+def test_linkage_makes_rows_in_proportion(spark, monkeypatch):
+    """Five times the near copies make about five times the rows, and one component."""
+    monkeypatch.setattr(linkage, "BLOCK", 64)
+    made = {}
+    for n in (300, 1500):
+        labels, made[n] = linked(spark, near_copies(n, n), [])
+        assert labels == dict.fromkeys(range(n), 0)
+    assert made[1500] <= 6 * made[300]
+
+
+def test_linkage_of_apart_families(spark, monkeypatch):
+    """Families under one key stay apart, and each is whole, however its blocks fall."""
+    monkeypatch.setattr(linkage, "BLOCK", 8)
+    families = [near_copies(n, 100 + f) for f, n in enumerate((40, 25, 1, 1, 12))]
+    sets = [s for f in families for s in f]
+    of = [f for f, x in enumerate(families) for _ in x]
+    labels, _ = linked(spark, sets, [])
+    first = {f: of.index(f) for f in set(of)}
+    assert {i: labels.get(i, i) for i in range(len(sets))} == {i: first[f] for i, f in enumerate(of)}
+
+
 def test_line_dedup_hot_key(monkeypatch):
     """A key of many lines is passed on in runs, whatever the order of its lines."""
     monkeypatch.setattr(line_module, "FLUSH", 50)
