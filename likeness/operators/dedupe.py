@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from likeness.functions.encoding import numbered
 from likeness.session import materialize
 
 
@@ -69,25 +70,6 @@ def basket_members(sets: DataFrame, id_col: str = "id", element_col: str = "elem
 
 
 def dense_ids(df: DataFrame, col: str, idx_col: str = "idx", partitions: int | None = None) -> DataFrame:
-    """Sorted distinct values of ``col`` numbered 0..n-1 (IDX1).
-
-    The distinct values are range-partitioned (an explicit partition count,
-    which AQE leaves alone), numbered inside each range by a window over that
-    range only, and shifted by the sizes of the earlier ranges -- a table of
-    one row per partition, so its window and broadcast are bounded by the
-    partition count.  Range bounds
-    are sampled anew whenever the exchange runs, so the ranged values are
-    written once and both branches read that table.
-    """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.select(col).distinct().repartitionByRange(n, col).withColumn("_p", F.spark_partition_id()))
-    sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_p",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_off"),
-    )
-    numbered = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(col)))
-    return numbered.join(F.broadcast(offsets), "_p").select(
-        col, (F.col("_off") + F.col("_r") - 1).cast("long").alias(idx_col)
-    )
+    """Sorted distinct values of ``col`` numbered 0..n-1 (IDX1), see ``encoding.numbered``."""
+    values = materialize(df.select(col).distinct())
+    return numbered(values, [F.col(col)], idx_col, partitions=partitions).select(col, idx_col)

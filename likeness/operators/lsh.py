@@ -12,8 +12,8 @@ and are verified exactly.
 
 Defaults follow the reference: MinHash 50 bands x 2 rows (100 hashes),
 hyperplanes 20 bands x 20 rows (400 planes).  The 20x20 cosine setting is very
-selective (about 0.6 % recall at cosine 0.5); choose e.g. 50x8 for threshold
-0.5 or use ``exact_cosine_join``.
+selective (about 0.6 % recall at cosine 0.5): let each id visit more buckets of a
+band (``flips``), choose shorter bands, or use ``exact_cosine_join``.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from likeness.functions.encoding import with_codes
 from likeness.functions.hashing import PRIME, HashFamily, element_key
-from likeness.operators.pairs import DEFAULT_BLOCK, group_pairs
-from likeness.operators.verify import cosine_of, jaccard_of
+from likeness.operators.pairs import DEFAULT_BLOCK, attach, grid_join, group_pairs
+from likeness.operators.verify import cosine_of, jaccard_of, only
 from likeness.session import materialize as _materialize
 
 
@@ -122,15 +122,48 @@ def hyperplane_bands(
 ) -> DataFrame:
     """(id, band, k0): the ``rows`` sign bits of each band packed into one
     bigint, bit r set when plane ``band*rows + r`` has sign +1 (SIM5)."""
+    g = _band_sums(vectors, bands, rows, seed, id_col, element_col, value_col, salts)
+    return g.select("id", "band", F.expr(_packed(rows)).alias("k0"))
+
+
+def hyperplane_probes(
+    vectors: DataFrame, bands: int = 20, rows: int = 20, flips: int = 6, seed: int = 42, id_col: str = "id",
+    element_col: str = "element", value_col: str = "value", salts: int = DEFAULT_SALTS,
+) -> DataFrame:
+    """(id, band, k0): the 2^flips buckets that an id visits in each band -- its
+    own, and those reached by flipping any of its ``flips`` signs of smallest
+    margin (the planes it lies closest to; ties by number).
+
+    Two ids meet in a band if every sign in which they differ is among the
+    flipped ones of either: long, selective bands keep their recall, since nearly
+    all signs that differ between similar vectors have a small margin.
+    """
+    if not 0 <= flips <= min(rows, 16):
+        raise ValueError(f"flips must lie between 0 and min(rows, 16), got {flips}")
+    g = _band_sums(vectors, bands, rows, seed, id_col, element_col, value_col, salts)
+    margins = ", ".join(f"struct(abs(_d{r}) as m, {r} as r)" for r in range(rows))
+    low = F.expr(f"transform(slice(sort_array(array({margins})), 1, {flips}), x -> shiftleft(1L, x.r))" if flips else "array(0L)")
+    visits = g.select("id", "band", F.expr(_packed(rows)).alias("_k"), low.alias("_low")).withColumn(
+        "_v", F.explode(F.sequence(F.lit(0), F.lit((1 << flips) - 1))))
+    flipped = " + ".join(f"if(shiftright(_v, {j}) & 1 = 1, _low[{j}], 0L)" for j in range(flips)) or "0L"
+    return visits.select("id", "band", F.expr(f"_k ^ ({flipped})").alias("k0"))
+
+
+def _packed(rows: int) -> str:
+    return " + ".join(f"IF(_d{r} >= 0, {1 << r}L, 0L)" for r in range(rows))
+
+
+def _band_sums(
+    vectors: DataFrame, bands: int, rows: int, seed: int, id_col: str, element_col: str, value_col: str, salts: int,
+) -> DataFrame:
+    """(id, band, _d0.._d{rows-1}): the signed sums whose signs are the bits of a band."""
     if rows > 62:
         raise ValueError("rows must be <= 62 to pack a band into a bigint")
     fam = HashFamily(bands * rows, seed)
     x = vectors.select(F.col(id_col).alias("id"), element_key(element_col).alias("_x"), F.col(value_col).alias("_v"))
     exploded = _dealt(x, salts).select("id", "_x", "_v", F.explode(F.expr(fam.banded_params_sql(bands, rows))).alias("_p"))
     sums = [F.expr(f"sum(_v * {_sign(str(r))})").alias(f"_d{r}") for r in range(rows)]
-    g = exploded.groupBy("id", F.col("_p.band").alias("band")).agg(*sums)
-    key = " + ".join(f"IF(_d{r} >= 0, {1 << r}L, 0L)" for r in range(rows))
-    return g.select("id", "band", F.expr(key).alias("k0"))
+    return exploded.groupBy("id", F.col("_p.band").alias("band")).agg(*sums)
 
 
 def _key_cols(banded: DataFrame) -> list[str]:
@@ -152,20 +185,26 @@ def band_candidates(banded: DataFrame, block: int = DEFAULT_BLOCK, collapse: boo
     representative per class is bucketed, and its pairs are expanded to the
     members afterwards, plus all pairs inside each class.  The candidate set is
     the same, but a pair of copies is emitted once instead of once per band.
-    The per-id signature array has one entry per band, so it is bounded.
+    Classes are told by a 128-bit hash of the signature, and expanded by blocks.
     """
-    kc = _key_cols(banded)
-    keys = ["band", *kc]
+    keys = ["band", *_key_cols(banded)]
+    banded = _materialize(banded)
     if not collapse:
         return group_pairs(banded.select(*keys, "id"), keys, "id", block=block).select("id_1", "id_2").distinct()
-    sig = banded.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(*keys))).alias("_sig"))
-    classes = sig.groupBy("_sig").agg(F.min("id").alias("_rep"))
-    members = sig.join(classes, "_sig").select("id", "_rep")
-    reps = banded.join(members.where(F.col("id") == F.col("_rep")).select("id"), "id")
-    rep_pairs = group_pairs(reps.select(*keys, "id"), keys, "id", block=block).select("id_1", "id_2").distinct()
-    m1 = members.select(F.col("_rep").alias("id_1"), F.col("id").alias("_a"))
-    m2 = members.select(F.col("_rep").alias("id_2"), F.col("id").alias("_b"))
-    across = rep_pairs.join(m1, "id_1").join(m2, "id_2").select(
+    place = F.xxhash64(*keys), F.xxhash64(F.lit(1), *keys)
+    sig = banded.groupBy("id").agg(F.bit_xor(place[0]).alias("_s1"), F.bit_xor(place[1]).alias("_s2"))
+    classes = sig.groupBy("_s1", "_s2").agg(F.min("id").alias("_rep"), F.count(F.lit(1)).alias("_m")).where("_m > 1").drop("_m")
+    members = _materialize(attach(sig, classes, ["_s1", "_s2"]).where("_rep is not null").select("id", "_rep"))
+    if members.isEmpty():
+        return group_pairs(banded.select(*keys, "id"), keys, "id", block=block).select("id_1", "id_2").distinct()
+    reps = banded.join(members.where(F.col("id") != F.col("_rep")).select("id"), "id", "left_anti")
+    rep_pairs = _materialize(group_pairs(reps.select(*keys, "id"), keys, "id", block=block).select("id_1", "id_2").distinct())
+
+    def side(rows: DataFrame, rep: str, member: str) -> DataFrame:
+        others = members.where(F.col("id") != F.col("_rep")).select(F.col("_rep").alias(rep), F.col("id").alias(member))
+        return rows.withColumn(member, F.col(rep)).unionByName(grid_join(rows, others, [rep], block))
+
+    across = side(side(rep_pairs, "id_1", "_a"), "id_2", "_b").select(
         F.least("_a", "_b").alias("id_1"), F.greatest("_a", "_b").alias("id_2")
     )
     within = group_pairs(members, ["_rep"], "id", block=block).select("id_1", "id_2")
@@ -174,39 +213,37 @@ def band_candidates(banded: DataFrame, block: int = DEFAULT_BLOCK, collapse: boo
 
 def lsh_jaccard_join(
     sets: DataFrame, threshold: float = 0.5, bands: int = 50, rows: int = 2, seed: int = 42,
-    id_col: str = "id", element_col: str = "element", block: int = DEFAULT_BLOCK, materialize: bool = True,
-    modulus: int = PRIME,
+    id_col: str = "id", element_col: str = "element", block: int = DEFAULT_BLOCK, modulus: int = PRIME,
 ) -> DataFrame:
     """(id_1, id_2, similarity) for MinHash candidates with exact Jaccard >= threshold (SIM8)."""
-    sets = sets.select(F.col(id_col).alias("id"), F.col(element_col).alias("element")).distinct()
-    if materialize:
-        sets = _materialize(sets)
-    # MinHash hashes the element itself; verification compares exact integer codes
-    coded = with_codes(sets, "element", "_code")
-    if materialize:
-        coded = _materialize(coded)
-    cand = band_candidates(minhash_bands(coded.select("id", "element"), bands, rows, seed, modulus=modulus), block)
-    if materialize:
-        cand = _materialize(cand)
-    return jaccard_of(cand, coded.select("id", F.col("_code").alias("element")), min_similarity=threshold)
+    sets = sets.select(F.col(id_col).alias("id"), F.col(element_col).alias("element"))
+    # signatures need neither distinct rows nor codes; both wait for the few sets that are in a candidate
+    cand = band_candidates(minhash_bands(sets, bands, rows, seed, modulus=modulus), block)
+    return jaccard_of(cand, sets, min_similarity=threshold)
+
+
+def cosine_candidates(
+    vectors: DataFrame, bands: int = 20, rows: int = 20, seed: int = 42, id_col: str = "id", element_col: str = "element",
+    value_col: str = "value", block: int = DEFAULT_BLOCK, flips: int = 0,
+) -> DataFrame:
+    """Distinct (id_1, id_2) that share a bucket; with ``flips`` each id visits 2^flips of a band."""
+    if flips:
+        banded = hyperplane_probes(vectors, bands, rows, flips, seed, id_col, element_col, value_col)
+    else:
+        banded = hyperplane_bands(vectors, bands, rows, seed, id_col, element_col, value_col)
+    return band_candidates(banded, block)
 
 
 def lsh_cosine_join(
     vectors: DataFrame, threshold: float = 0.5, bands: int = 20, rows: int = 20, seed: int = 42,
     id_col: str = "id", element_col: str = "element", value_col: str = "value", block: int = DEFAULT_BLOCK,
-    materialize: bool = True,
+    flips: int = 0,
 ) -> DataFrame:
     """(id_1, id_2, similarity) for hyperplane candidates with exact cosine >= threshold (SIM9)."""
-    vectors = vectors.select(
+    vectors = _materialize(vectors.select(
         F.col(id_col).alias("id"), F.col(element_col).alias("element"), F.col(value_col).alias("value")
-    )
-    if materialize:
-        vectors = _materialize(vectors)
-    coded = with_codes(vectors, "element", "_code")
-    if materialize:
-        coded = _materialize(coded)
-    cand = band_candidates(hyperplane_bands(coded.select("id", "element", "value"), bands, rows, seed), block)
-    if materialize:
-        cand = _materialize(cand)
-    coded = coded.select("id", F.col("_code").alias("element"), "value")
+    ))
+    cand = _materialize(cosine_candidates(vectors, bands, rows, seed, block=block, flips=flips))
+    # only the vectors that are in a candidate are encoded
+    coded = _materialize(with_codes(only(vectors, cand), "element", "_code").select("id", F.col("_code").alias("element"), "value"))
     return cosine_of(cand, coded).where(F.col("similarity") >= threshold)

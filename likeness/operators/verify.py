@@ -1,9 +1,10 @@
 """Exact similarity of given pairs, computed in long form (SIM3, SIM6, JN3-4).
 
-The pair list drives the work: each pair is joined to the elements of its
-first id and then probed against (second id, element), so the cost is the sum
-of the first sets' sizes over the pairs -- never the all-pairs co-occurrence
-of a popular element.  Sets are never gathered into arrays.
+The pair list drives the work: each pair is joined to the rows of its smaller
+side and probed against the other, so the cost is the sum of the smaller sizes
+over the pairs -- never the all-pairs co-occurrence of a popular element.  Sets
+are compared as bitmaps (``bitmaps``), vectors element by element; neither is
+ever gathered into an array.
 """
 
 from __future__ import annotations
@@ -11,6 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from likeness.functions.encoding import with_codes
+from likeness.operators.bitmaps import intersections, profiles, set_words, sift
+from likeness.session import materialize as _materialize
+
 
 def spread(pairs: DataFrame) -> DataFrame:
     """Hash the pair list over ``spark.sql.shuffle.partitions`` partitions.
@@ -56,73 +61,48 @@ def co_occurrences(
     return oriented.join(a, "_drive").join(b, ["_probe", "_e"]).drop("_drive", "_probe")
 
 
-def set_sizes(sets: DataFrame, id_col: str = "id") -> DataFrame:
-    return sets.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
-
-
-ARRAY_MAX = 4096
-
-
-def _with_sizes(pairs: DataFrame, sizes: DataFrame, id_col: str) -> DataFrame:
-    n1 = sizes.select(F.col(id_col).alias("id_1"), F.col("n").alias("_n1"))
-    n2 = sizes.select(F.col(id_col).alias("id_2"), F.col("n").alias("_n2"))
-    return pairs.select("id_1", "id_2").join(n1, "id_1").join(n2, "id_2")
+def only(sets: DataFrame, pairs: DataFrame, id_col: str = "id") -> DataFrame:
+    """The rows of ``sets`` whose id is in one of the pairs."""
+    ids = pairs.select(F.col("id_1").alias(id_col)).union(pairs.select("id_2")).distinct()
+    return sets.join(ids, id_col, "left_semi")
 
 
 def jaccard_of(
     pairs: DataFrame, sets: DataFrame, id_col: str = "id", element_col: str = "element",
-    sizes: DataFrame | None = None, min_similarity: float | None = None, array_max: int = ARRAY_MAX,
+    min_similarity: float | None = None,
 ) -> DataFrame:
     """(id_1, id_2, similarity) = |A∩B| / |A∪B| for each given pair.
 
-    ``sets`` must be distinct on (id, element).  Pairs without a common
-    element get similarity 0.  With ``min_similarity`` only pairs reaching it
-    are returned, and the size bound J <= min(n1,n2)/max(n1,n2) drops hopeless
-    pairs before any element is compared.
-
-    Two exact paths: pairs whose sets both have at most ``array_max``
-    elements compare sorted-free element arrays (``array_intersect``), which
-    moves one array per pair side instead of one row per element; pairs with a
-    larger set use the long-form join, so no unbounded set is ever gathered
-    into a single row.
+    ``sets`` may hold rows more than once.  Pairs without a common element get
+    similarity 0.  With ``min_similarity`` only pairs reaching it are returned,
+    and sizes and parity sketches drop hopeless pairs before any element is
+    encoded or compared.  Only the sets of ids that are in a pair are read on,
+    and only those of pairs that are left get codes and bitmaps.
     """
-    if sizes is None:
-        sizes = set_sizes(sets, id_col)
-    sized = _with_sizes(spread(pairs.select("id_1", "id_2")), sizes, id_col)
-    if min_similarity is not None:
-        sized = sized.where(
-            F.least("_n1", "_n2") >= F.greatest("_n1", "_n2") * F.lit(min_similarity) - F.lit(1e-9)
-        )
-    small = (F.col("_n1") <= array_max) & (F.col("_n2") <= array_max)
-
-    arrays = (
-        sets.join(sizes.where(F.col("n") <= array_max).select(id_col), id_col)
-        .groupBy(id_col).agg(F.collect_list(element_col).alias("_a"))
-    )
-    a1 = arrays.select(F.col(id_col).alias("id_1"), F.col("_a").alias("_a1"))
-    a2 = arrays.select(F.col(id_col).alias("id_2"), F.col("_a").alias("_a2"))
-    # The intersection is produced by a one-row generator: a predicate on its
-    # output cannot be pushed below it, so the threshold filter does not copy
-    # the (costly) intersection into the join condition several times.
-    via_arrays = (
-        sized.where(small).join(a1, "id_1").join(a2, "id_2")
-        .select("id_1", "id_2", "_n1", "_n2",
-                F.inline(F.array(F.struct(F.size(F.array_intersect("_a1", "_a2")).alias("_c")))))
-    )
-
-    big = sized.where(~small)
-    inter = co_occurrences(big, sets, id_col, element_col, [], sizes).groupBy("id_1", "id_2").agg(
-        F.count(F.lit(1)).alias("_c")
-    )
-    via_rows = big.join(inter, ["id_1", "id_2"], "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
-
-    out = via_arrays.unionByName(via_rows.select("id_1", "id_2", "_n1", "_n2", "_c")).select(
-        "id_1", "id_2",
-        (F.col("_c") / (F.col("_n1") + F.col("_n2") - F.col("_c"))).alias("similarity"),
-    )
+    pairs = _materialize(pairs.select("id_1", "id_2"))
+    rows = sets.select(id_col, element_col).where(F.col(element_col).isNotNull())
+    rows = _materialize(only(rows, pairs, id_col).distinct())
+    prof = profiles(rows, f"xxhash64({element_col})", id_col)
     if min_similarity is not None:
-        out = out.where(F.col("similarity") >= min_similarity)
-    return out
+        pairs = _materialize(sift(pairs, prof, min_similarity, id_col))
+        rows = only(rows, pairs, id_col)
+    else:
+        pairs = pairs.join(prof.select(F.col(id_col).alias("id_1"), F.col("n").alias("n_1")), "id_1").join(
+            prof.select(F.col(id_col).alias("id_2"), F.col("n").alias("n_2")), "id_2")
+    words = _materialize(set_words(with_codes(rows, element_col, "_code"), id_col, "_code"))
+    return similar(spread(pairs), words, id_col, min_similarity)
+
+
+def similar(pairs: DataFrame, words: DataFrame, id_col: str, min_similarity: float | None) -> DataFrame:
+    """Similarities of pairs (id_1, id_2, n_1, n_2) from the bitmaps of their sets."""
+    common = intersections(pairs, words, id_col)
+    n = F.col("n_1") + F.col("n_2")
+    if min_similarity is None:
+        out = pairs.join(common, ["id_1", "id_2"], "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    else:  # a threshold is above 0, so a pair without a common element goes
+        out = pairs.join(common, ["id_1", "id_2"])
+    out = out.select("id_1", "id_2", (F.col("common") / (n - F.col("common"))).alias("similarity"))
+    return out if min_similarity is None else out.where(F.col("similarity") >= min_similarity)
 
 
 def vector_norms(vectors: DataFrame, id_col: str = "id", value_col: str = "value") -> DataFrame:

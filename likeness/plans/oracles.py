@@ -8,7 +8,7 @@ hash parameters, which are literals from the same seeded generator.
 from __future__ import annotations
 
 from likeness.functions.hashing import PRIME, HashFamily, element_key_sql
-from likeness.plans.queries import PARAMS
+from likeness.plans.queries import COSINE_SETTINGS, PARAMS
 
 P = PRIME
 D = PARAMS.DIGITS
@@ -77,6 +77,20 @@ def _plane_bands(src: str, bands: int, rows: int) -> list[str]:
     ]
 
 
+def _plane_probes(src: str, bands: int, rows: int, flips: int) -> list[str]:
+    if not flips:
+        return _plane_bands(src, bands, rows)
+    own = _plane_bands(src, bands, rows)
+    return own[:-1] + [
+        own[-1].replace("bands AS", "own AS", 1),
+        f"margins AS (SELECT id, CAST(plane // {rows} AS INTEGER) AS band, plane % {rows} AS r, "
+        f"row_number() OVER (PARTITION BY id, plane // {rows} ORDER BY abs(d), plane) AS rn FROM ds)",
+        f"low AS (SELECT id, band, list(CAST(1 AS BIGINT) << r ORDER BY rn) AS m FROM margins WHERE rn <= {flips} GROUP BY id, band)",
+        "bands AS (SELECT DISTINCT id, band, xor(k0, CAST(list_sum(list_transform(m, lambda x, j: "
+        f"CASE WHEN (s >> CAST(j - 1 AS INTEGER)) & 1 = 1 THEN x ELSE 0 END)) AS BIGINT)) AS k0 FROM own JOIN low USING (id, band), range({1 << flips}) t(s))",
+    ]
+
+
 def _cand(keys: list[str]) -> str:
     on = " AND ".join(f"x.{k} = y.{k}" for k in ["band", *keys])
     return f"cand AS (SELECT DISTINCT x.id AS id_1, y.id AS id_2 FROM bands x JOIN bands y ON {on} AND x.id < y.id)"
@@ -125,8 +139,8 @@ def _exact_jaccard_sql(fixture: str, src: str, t: float) -> str:
     return _with(fixture, *_exact_jaccard(src, t)) + f"SELECT id_1, id_2, similarity FROM jx WHERE similarity >= {t}"
 
 
-def _lsh_cosine_sql(bands: int, rows: int) -> str:
-    ctes = [EVT, *_plane_bands("evt", bands, rows), _cand(["k0"]), *_cosine_of_cand("evt")]
+def _lsh_cosine_sql(bands: int, rows: int, flips: int = 0) -> str:
+    ctes = [EVT, *_plane_probes("evt", bands, rows, flips), _cand(["k0"]), *_cosine_of_cand("evt")]
     return _with(*ctes) + f"SELECT id_1, id_2, similarity FROM cosv WHERE similarity >= {PARAMS.COSINE_THRESHOLD}"
 
 
@@ -227,6 +241,34 @@ def _quality_sql(found: str, true: str) -> str:
 
 
 TUNED = PARAMS.TUNED_BANDS, PARAMS.TUNED_ROWS
+ISETS = ", ".join([*SPLIT, "isets AS (SELECT item_id AS id, user_id AS element FROM train)"])
+
+
+def _jaccard_sql(fixture: str, src: str, t: float, b: int, r: int) -> str:
+    ctes = [fixture, *_minhash_bands(src, b, r), _cand([f"k{i}" for i in range(r)]), *_jaccard_of_cand(src)]
+    return _with(*ctes) + f"SELECT id_1, id_2, similarity FROM jac WHERE similarity >= {t}"
+
+
+def _sampled_sql() -> str:
+    """Quality over the pairs that have an id divisible by 20, for every approximate join."""
+    some = "id_1 % 20 = 0 OR id_2 % 20 = 0"
+    t, i = PARAMS.JACCARD_THRESHOLD, PARAMS.ITEM_THRESHOLD
+    joins = {
+        "jaccard 50x2": (_lsh_jaccard_sql(), _exact_jaccard_sql(WORDS, "words", t)),
+        "jaccard tuned": (_lsh_jaccard_sql(SHG, "shg", *TUNED), _exact_jaccard_sql(SHG, "shg", t)),
+        "item candidates": (
+            _jaccard_sql(ISETS, "isets", i, PARAMS.MINHASH_BANDS, PARAMS.MINHASH_ROWS), _exact_jaccard_sql(ISETS, "isets", i)),
+    } | {f"cosine {name}": (_lsh_cosine_sql(*setting), _exact_cosine_sql()) for name, setting in COSINE_SETTINGS.items()}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS join, * FROM ({_quality_sql(f'SELECT * FROM ({found}) WHERE {some}', f'SELECT * FROM ({true}) WHERE {some}')})"
+        for name, (found, true) in joins.items())
+
+
+def _lookup_sql() -> str:
+    index = "{0} AS (SELECT {1}, row_number() OVER (ORDER BY {1}) - 1 AS idx FROM (SELECT DISTINCT {1} FROM train))"
+    return _with(*SPLIT, index.format("ui", "user_id"), index.format("ii", "item_id")) + (
+        "SELECT t.user_id, t.item_id, ui.idx AS user_idx, ii.idx AS item_idx, ui.user_id AS user_id_back, ii.item_id AS item_id_back "
+        "FROM test t LEFT JOIN ui ON ui.user_id = t.user_id LEFT JOIN ii ON ii.item_id = t.item_id")
 
 ORACLES: dict[str, str] = {
     "ratings_dedupe": _with(CF_RAW) + (
@@ -296,5 +338,36 @@ ORACLES: dict[str, str] = {
         f"SELECT count(*) AS n, round(avg(e * e), {D}) AS mse, round(sqrt(avg(e * e)), {D}) AS rmse, "
         f"round(avg(abs(e)), {D}) AS mae FROM e"
     ),
+    "als_check": _with(*SPLIT, *MEANS) + (
+        "SELECT (SELECT count(DISTINCT user_id) FROM train) AS n_users, (SELECT count(*) FROM train) AS n_ratings, true AS solved, "
+        "(SELECT count(*) FROM base WHERE m_user IS NULL OR m_item IS NULL) AS n_cold, true AS cold_equal, "
+        "(SELECT count(*) FROM base) AS n_predictions, true AS below_variance"
+    ),
+    "als_bundle": _with(*SPLIT) + (
+        "SELECT DISTINCT 'user-' || user_id AS user_id, 'item-' || item_id AS item_id, true AS same FROM test"
+    ),
+    "lsh_cosine_multiprobe": _lsh_cosine_sql(PARAMS.PLANES_BANDS, PARAMS.PLANES_ROWS, PARAMS.FLIPS),
+    "cosine_candidate_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS setting, count(*) AS n_candidates FROM ({_with(EVT, *_plane_probes('evt', *setting), _cand(['k0']))}SELECT * FROM cand)"
+        for name, setting in COSINE_SETTINGS.items()),
+    "sampled_recall": _sampled_sql(),
+    "test_pairs_from_file": _with(*SPLIT) + "SELECT user_id, item_id, true AS unrated FROM test",
+    "sorted_lines": (
+        f"WITH p AS ({_lsh_jaccard_sql(SHG, 'shg', *TUNED)}) SELECT 0 AS line, 'business_id_1, business_id_2, similarity' AS value UNION ALL "
+        "SELECT row_number() OVER (ORDER BY id_1, id_2) AS line, id_1 || ', ' || id_2 || ', ' || CAST(similarity AS VARCHAR) AS value FROM p"
+    ),
+    "table_counts": _with(CF_RAW, CF) + (
+        "SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM cf"
+    ),
+    "basket_members": (
+        "SELECT user_id AS id, CAST(CAST(ts AS DATE) AS VARCHAR) AS element, count(*) AS n_rows FROM events GROUP BY user_id, CAST(ts AS DATE)"
+    ),
+    "id_lookup": _lookup_sql(),
     # als_predict: iterative and seeded per engine -- no SQL oracle (rows-only check)
 }
+# files written and read again give the tables they were written from
+ORACLES |= {
+    "ratings_from_file": ORACLES["ratings_dedupe"],
+    "pairs_from_file": ORACLES["lsh_jaccard_tuned"],
+    "predictions_from_file": ORACLES["item_cf"],
+}

@@ -86,6 +86,14 @@ def materialize(df: DataFrame) -> DataFrame:
 _WRITTEN: dict[str, list[str]] = {}
 
 
+def scratch(spark: SparkSession, name: str = "files") -> str:
+    """A new folder name under the shared checkpoint folder, for files that are
+    written and read again; ``release_materialized`` deletes it with the tables."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/likeness-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def release_materialized(spark: SparkSession) -> int:
     """Delete the tables ``materialize`` wrote for this application.
 

@@ -14,10 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id = user_id, element = day), one row an event."""
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.to_date("ts").alias("element"))
+
+
 def day_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-DAY: (id = user_id, element = day of an event), distinct."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(F.col("user_id").alias("id"), F.to_date("ts").alias("element")).distinct()
+    return event_days(spark, sf_dir).distinct()
 
 
 def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
