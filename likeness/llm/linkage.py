@@ -35,7 +35,8 @@ from likeness.llm import words as W
 from likeness.llm.shared import components, materialize, partitions, salted_join, tidy
 
 SMALL, BLOCK, SWEEPS = 8, 1024, 2
-COMPARED = 1 << 24  # bytes of sketches compared at a time
+PAIRS = 1 << 20  # of the cells handled at a time, if more than one
+COMPARED = 1 << 23  # bytes of sketches compared at a time
 Allow = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -55,17 +56,15 @@ def _widths(column: pa.Array) -> np.ndarray:
     return out.view(np.uint64) if width % 8 == 0 else out
 
 
-def compare(rows: DataFrame, keys: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFrame:
+def compare(rows: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFrame:
     """Candidates (x, y, rank, large) that size and sketch allow, of rows
-    (key, node, n, sketch, component) that share a key and differ in component.
+    (key, node, n, sketch, component, m) that share a key and differ in component;
+    m is the size of the key's group, if that is over BLOCK.
 
     ``allow`` takes two arrays of sizes and the Hamming distances of the
-    sketches.  ``keys`` has the same keys, to be counted.  ``step``: near, best
-    or rest, as the module says.
+    sketches.  ``step``: near, best or rest, as the module says.
     """
     spark = rows.sparkSession
-    hot = materialize(keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK))
-    rows = rows.withColumn("m", F.lit(None).cast("long")) if hot.isEmpty() else salted_join(rows, hot, "key")
     dealt = rows.withColumn("blocks", F.coalesce(F.ceil(F.col("m") / BLOCK), F.lit(1)).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(sweep)), F.col("blocks")).cast("int"))
     others = F.array("block") if step == "near" else F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -94,57 +93,59 @@ def compare(rows: DataFrame, keys: DataFrame, allow: Allow, step: str, sweep: in
 
     def run(batches):
         for b in groups(batches):
-            col = {f: b.column(i) for i, f in enumerate(b.schema.names)}
-            cell, node = col["cell"].to_numpy(), col["node"].to_numpy()
-            n, comp, side = col["n"].to_numpy(), col["component"].to_numpy(), col["side"].to_numpy()
+            cell = b.column(0).to_numpy()
             at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-            ends = np.append(at[1:], len(cell))
-            size = np.repeat(ends - at, ends - at)
-            large = (size > SMALL) | col["large"].to_numpy(zero_copy_only=False)
-            sk = _widths(col["sketch"]) if step == "near" else None
-            after = np.repeat(ends, ends - at) - np.arange(len(cell)) - 1
-            total = np.concatenate([[0], np.cumsum(after)])
-            found = []
-            for first, last in [(0, len(cell))] if step == "near" else zip(at, ends, strict=True):
-                if step != "near":  # sketches of many sizes: a cell at a time
-                    sk = _widths(col["sketch"].slice(first, last - first))
-                most, lo = max(1, COMPARED // sk[0].nbytes), int(first)
-                base = 0 if step == "near" else int(first)
-                while lo < last:
-                    hi = min(int(last), max(lo + 1, int(np.searchsorted(total, total[lo] + most, "right")) - 1))
-                    i = np.repeat(np.arange(lo, hi), after[lo:hi])
-                    j = i + 1 + np.arange(len(i)) - np.repeat(total[lo:hi] - total[lo], after[lo:hi])
-                    lo = hi
-                    ok = (comp[i] != comp[j]) & (node[i] != node[j]) & ((side[i] == 0) | (side[i] != side[j]))
-                    ok &= allow(n[i], n[j], 0)
-                    i, j = i[ok], j[ok]
-                    dist = np.bitwise_count(sk[i - base] ^ sk[j - base]).sum(1, dtype=np.int64)
-                    ok = allow(n[i], n[j], dist)
-                    i, j, dist = i[ok], j[ok], dist[ok]
-                    found.append((i, j, dist / (n[i] + n[j])))
-            i, j, near = (np.concatenate(c) for c in zip(*found, strict=True))
-            if step == "rest":
-                out = [(i, j, near, False)]
-            else:
-                few = ~large[i]
-                out = [(i[few], j[few], near[few], False)]
-                degree = np.bincount(i, minlength=len(cell)) + np.bincount(j, minlength=len(cell))
-                x, y = np.concatenate([i[~few], j[~few]]), np.concatenate([j[~few], i[~few]])
-                near = np.concatenate([near[~few]] * 2)
-                # the nearest (of each other component in round 2), and in round 1 the best-connected
-                of = np.zeros(len(x), np.int64) if step == "near" else comp[y]
-                for rank in (near, near - degree[y]) if step == "near" else (near,):
-                    o = np.lexsort((node[y], rank, of, node[x], cell[x]))
-                    new = np.append(True, (node[x[o]][1:] != node[x[o]][:-1]) | (of[o][1:] != of[o][:-1])) if len(o) else np.zeros(0, bool)
-                    best = o[new]
-                    out.append((x[best], y[best], rank[best], True))
-            for x, y, rank, big in out:
-                o = np.lexsort((rank, node[y], node[x]))
-                x, y, rank = node[x[o]], node[y[o]], rank[o]
-                once = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if len(x) else np.zeros(0, bool)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[once]), pa.array(y[once]), pa.array(rank[once]), pa.array(np.full(once.sum(), big))],
-                    names=["x", "y", "rank", "large"])
+            size = np.diff(np.append(at, len(cell)))
+            # whole cells, as many as have PAIRS pairs (one at least)
+            pairs, lo = np.concatenate([[0], np.cumsum(size * (size - 1) // 2)]), 0
+            while lo < len(at):
+                hi = max(lo + 1, int(np.searchsorted(pairs, pairs[lo] + PAIRS, "right")) - 1)
+                yield from cells(b.slice(int(at[lo]), int(size[lo:hi].sum())), size[lo:hi])
+                lo = hi
+
+    def cells(b, sizes):
+        col = {f: b.column(i) for i, f in enumerate(b.schema.names)}
+        node, n, comp, side = (col[c].to_numpy() for c in ("node", "n", "component", "side"))
+        number = np.repeat(np.arange(len(sizes)), sizes)
+        ends = np.cumsum(sizes)
+        large = (sizes[number] > SMALL) | col["large"].to_numpy(zero_copy_only=False)
+        after = ends[number] - np.arange(len(b)) - 1
+        total = np.concatenate([[0], np.cumsum(after)])
+        sk = _widths(col["sketch"])
+        most, found, lo = max(1, COMPARED // sk[0].nbytes), [], 0
+        while lo < len(b):
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + most, "right")) - 1)
+            i = np.repeat(np.arange(lo, hi), after[lo:hi])
+            j = i + 1 + np.arange(len(i)) - np.repeat(total[lo:hi] - total[lo], after[lo:hi])
+            lo = hi
+            ok = (comp[i] != comp[j]) & (node[i] != node[j]) & ((side[i] == 0) | (side[i] != side[j]))
+            ok &= allow(n[i], n[j], 0)
+            i, j = i[ok], j[ok]
+            dist = np.bitwise_count(sk[i] ^ sk[j]).sum(1, dtype=np.int64)
+            ok = allow(n[i], n[j], dist)
+            i, j, dist = i[ok], j[ok], dist[ok]
+            found.append((i.astype(np.int32), j.astype(np.int32), (dist / (n[i] + n[j])).astype(np.float32)))
+        i, j, near = (np.concatenate(c) for c in zip(*found, strict=True))
+        few = ~large[i] | (step == "rest")
+        out = [(i[few], j[few], near[few], False)]
+        i, j, near = i[~few], j[~few], near[~few]
+        if len(i):
+            degree = np.bincount(i, minlength=len(b)) + np.bincount(j, minlength=len(b))
+            x, y, near = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([near, near])
+            # the nearest (of each other component in round 2), and in round 1 the best-connected
+            of = comp[y] if step == "best" else np.zeros(len(x), np.int8)
+            for rank in (near, near - degree[y]) if step == "near" else (near,):
+                o = np.lexsort((y, rank, of, x))
+                best = o[np.append(True, (x[o][1:] != x[o][:-1]) | (of[o][1:] != of[o][:-1]))]
+                out.append((x[best], y[best], rank[best], True))
+        for x, y, rank, big in out:
+            x, y = node[x], node[y]
+            o = np.lexsort((rank, y, x))
+            x, y, rank = x[o], y[o], rank[o].astype(np.float64)
+            once = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if len(x) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[once]), pa.array(y[once]), pa.array(rank[once]), pa.array(np.full(once.sum(), big))],
+                names=["x", "y", "rank", "large"])
 
     return (
         split.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
@@ -158,11 +159,13 @@ def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[Da
     size and that of the node's own, ``links``: the pairs (x, y) of those given
     that are linked indeed."""
     wide = "wide" if "wide" in facts.columns else "sketch"
-    rows = live.join(facts.select("node", "n", "sketch").withColumn("component", F.col("node")), "node")
-    keys, done, found, step, sweep = live, None, None, "near", 0
+    hot = materialize(live.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK))
+    sized = live.withColumn("m", F.lit(None).cast("long")) if hot.isEmpty() else salted_join(live, hot, "key")
+    rows = sized.join(facts.select("node", "n", "sketch").withColumn("component", F.col("node")), "node")
+    done, found, step, sweep = None, None, "near", 0
     either = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
     while True:
-        made = materialize(compare(rows, keys, allow, step, sweep))
+        made = materialize(compare(rows, allow, step, sweep))
         pairs, best = made.where("not large").select(*either), made.where("large")
         if step == "near":  # over all its keys, two for a node
             best = best.withColumn("hub", F.col("rank") < 0).groupBy("x", "hub").agg(F.min(F.struct("rank", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
@@ -188,5 +191,5 @@ def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[Da
             step, apart, sketch = "best" if step == "near" else "rest", still, wide
             if still.isEmpty():
                 return labels
-        rows = keys = materialize(
-            salted_join(mine, apart.select("key"), "key", "inner").join(facts.select("node", "n", F.col(sketch).alias("sketch")), "node"))
+        held = salted_join(mine, apart.select("key", F.when(F.col("m") > BLOCK, F.col("m")).alias("m")), "key", "inner")
+        rows = held.join(facts.select("node", "n", F.col(sketch).alias("sketch")), "node")

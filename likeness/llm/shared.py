@@ -149,13 +149,14 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str] | str, how: str = "left", salt: int = 16) -> DataFrame:
     """Equi-join in which a key with very many rows of ``big`` is spread over
-    ``salt`` tasks; ``small`` has at most one row for a key."""
+    ``salt`` tasks; ``small`` has at most one row for a key.  Never by broadcast:
+    the copies of ``small`` are far larger than the table they are judged by."""
     keys = [keys] if isinstance(keys, str) else keys
     name = fresh("_salt", big, small)
     salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
     return (
         big.withColumn(name, F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int"))
-        .join(small.withColumn(name, salts), [*keys, name], how)
+        .join(small.withColumn(name, salts).hint("merge"), [*keys, name], how)
         .drop(name)
     )
 
