@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from likeness.llm import words as W
 from likeness.llm.linkage import connect
-from likeness.llm.shared import discard, materialize, maybe_in, partitions, salted_join, ship, tidy
+from likeness.llm.shared import discard, hubs, materialize, maybe_in, partitions, salted_join, ship, split_join, tidy
 
 FLUSH = 1 << 21
 SKETCH_BITS = 256
@@ -240,9 +240,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, most: int) -> DataFrame:
             keep = [edit_distance_within(x, y, most) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
+    hot = hubs(pairs)
+    left = split_join(pairs, texts.select(F.col("node").alias("x"), F.col("line").alias("a")), "x", hot)
     return (
-        pairs.join(texts.select(F.col("node").alias("x"), F.col("line").alias("a")), "x")
-        .join(texts.select(F.col("node").alias("y"), F.col("line").alias("b")), "y")
+        split_join(left, texts.select(F.col("node").alias("y"), F.col("line").alias("b")), "y", hot)
         .select("x", "y", "a", "b").mapInArrow(tidy(run), "x long, y long")
     )
 

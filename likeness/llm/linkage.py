@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import components, materialize, partitions, salted_join, tidy
+from likeness.llm.shared import materialize, merge_components, partitions, salted_join, tidy
 
 SMALL, BLOCK, SWEEPS = 8, 1024, 2
 PAIRS = 1 << 20  # of the cells handled at a time, if more than one
@@ -162,7 +162,7 @@ def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[Da
     hot = materialize(live.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK))
     sized = live.withColumn("m", F.lit(None).cast("long")) if hot.isEmpty() else salted_join(live, hot, "key")
     rows = sized.join(facts.select("node", "n", "sketch").withColumn("component", F.col("node")), "node")
-    done, found, step, sweep = None, None, "near", 0
+    done, labels, step, sweep = None, None, "near", 0
     either = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
     while True:
         made = materialize(compare(rows, allow, step, sweep))
@@ -175,12 +175,11 @@ def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[Da
         pairs = materialize(pairs)
         if not pairs.isEmpty():
             done = pairs if done is None else done.union(pairs)
-            new = links(pairs)
-            found = new if found is None else found.union(new)
-        labels = components(found if found is not None else pairs)
+            labels = merge_components(labels, links(pairs))
         if step == "rest" or made.isEmpty():
-            return labels
-        mine = live.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            break
+        mine = live.withColumn("component", F.col("node")) if labels is None else live.join(labels, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
         still = materialize(
             mine.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("a"), F.max("component").alias("b"))
             .where((F.col("m") > SMALL) & (F.col("a") != F.col("b"))).select("key", "m"))
@@ -190,6 +189,7 @@ def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[Da
         else:
             step, apart, sketch = "best" if step == "near" else "rest", still, wide
             if still.isEmpty():
-                return labels
+                break
         held = salted_join(mine, apart.select("key", F.when(F.col("m") > BLOCK, F.col("m")).alias("m")), "key", "inner")
         rows = held.join(facts.select("node", "n", F.col(sketch).alias("sketch")), "node")
+    return live.sparkSession.createDataFrame([], "node long, component long") if labels is None else labels

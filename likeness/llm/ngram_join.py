@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from likeness.llm import words as W
 from likeness.llm.linkage import connect
-from likeness.llm.shared import discard, fresh, materialize, maybe_in, partitions, salted_join, ship, split_join, tidy, without
+from likeness.llm.shared import discard, fresh, hubs, materialize, maybe_in, partitions, salted_join, ship, split_join, tidy, without
 
 SKETCH_WORDS = 8  # of 64 bits
 GROWTH = 1.6  # of the size bands
@@ -231,7 +231,7 @@ def _shared_keys(docs: DataFrame, text_col: str, shingle: int, percent: int) ->
     return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(receive), "key long, node long")
 
 
-def _sift(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+def _sift(pairs: DataFrame, info: DataFrame, percent: int, hot: DataFrame | None) -> DataFrame:
     """The pairs whose sketches of their own size allow a link."""
 
     def fold(bits, size):
@@ -255,13 +255,13 @@ def _sift(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
 
     return (
         split_join(
-            split_join(pairs, info.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("wide").alias("wx")), "x"),
-            info.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("wide").alias("wy")), "y")
+            split_join(pairs, info.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("wide").alias("wx")), "x", hot),
+            info.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("wide").alias("wy")), "y", hot)
         .select("x", "y", "nx", "ny", "wx", "wy").mapInArrow(tidy(run), "x long, y long")
     )
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int, hot: DataFrame | None) -> DataFrame:
     """The pairs (x, y) whose sets have the Jaccard similarity asked for."""
 
     def run(batches):
@@ -277,8 +277,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     return (
         split_join(
-            split_join(pairs, sets.select(F.col("node").alias("x"), F.col("items").alias("xs")), "x"),
-            sets.select(F.col("node").alias("y"), F.col("items").alias("ys")), "y")
+            split_join(pairs, sets.select(F.col("node").alias("x"), F.col("items").alias("xs")), "x", hot),
+            sets.select(F.col("node").alias("y"), F.col("items").alias("ys")), "y", hot)
         .select("x", "y", "xs", "ys").mapInArrow(tidy(run), "x long, y long")
     )
 
@@ -315,17 +315,19 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     info = materialize(one.join(used, "node"))
 
     def links(pairs):
+        hot = hubs(pairs)
+        pairs = materialize(_sift(pairs, info, percent, hot))
         nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
         wanted = materialize(info.select("id", "text_hash", "node").join(nodes, "node"))
         sets = materialize(_wanted_sets(docs, id_col, text_col, shingle, wanted))
-        out = materialize(_verify(pairs, sets, percent))
+        out = materialize(_verify(pairs, sets, percent, hot))
         discard(sets, wanted)
         return out
 
     def allow(n, m, d):
         return (np.maximum(n, m) * percent <= 100 * np.minimum(n, m)) & (d * (100 + percent) <= (100 - percent) * (n + m))
 
-    labels = connect(live, info.select("node", "n", "sketch", "wide"), allow, lambda pairs: links(materialize(_sift(pairs, info, percent))))
+    labels = connect(live, info.select("node", "n", "sketch", "wide"), allow, links)
     least = one.join(labels, "node").groupBy("component").agg(F.min("least_id").alias("component_id"))
     own = one.join(labels, "node", "left").join(least, "component", "left").select(
         "node", F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id"))

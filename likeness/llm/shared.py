@@ -161,18 +161,43 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str] | str, how: st
     )
 
 
-def split_join(big: DataFrame, small: DataFrame, key: str, most: int = 4096) -> DataFrame:
-    """Inner equi-join with ``small`` (one row a key, rows of any width) in which
-    a key with more than ``most`` rows of ``big`` is spread over as many parts as
-    it takes; only the rows of ``small`` under such keys are copied."""
-    hot = big.groupBy(key).agg(F.count("*").alias("_m")).where(F.col("_m") > most).select(key, F.ceil(F.col("_m") / most).cast("int").alias("_parts"))
-    hot = materialize(hot)
-    if hot.isEmpty():
-        return big.join(small, key)
+def hubs(pairs: DataFrame, most: int = 4096) -> DataFrame | None:
+    """(node, _parts) of the nodes with more than ``most`` of the pairs (x, y) on
+    one side, and the parts to cut them into; None without any."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("x").alias("node")), F.struct(F.lit(1).alias("side"), F.col("y").alias("node")))).alias("e"))
+    many = ends.groupBy("e.side", "e.node").agg(F.count("*").alias("_m")).where(F.col("_m") > most)
+    found = materialize(many.groupBy("node").agg(F.ceil(F.max("_m") / most).cast("int").alias("_parts")))
+    return None if found.isEmpty() else found
+
+
+def split_join(pairs: DataFrame, rows: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Inner equi-join on ``key`` (x or y) with ``rows`` (one row a key, of any
+    width); the pairs of a hub are spread over its parts, and only the rows of
+    hubs are copied."""
+    if hot is None:
+        return pairs.join(rows, key)
+    hot = hot.withColumnRenamed("node", key)
     parts = F.coalesce("_parts", F.lit(1))
-    dealt = salted_join(big, hot, key).withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int")).drop("_parts")
-    copied = small.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
-    return dealt.join(copied, [key, "_part"]).drop("_part")
+    dealt = salted_join(pairs, hot, key).withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int")).drop("_parts")
+    copied = rows.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copied.hint("merge"), [key, "_part"]).drop("_part")
+
+
+def merge_components(labels: DataFrame | None, edges: DataFrame) -> DataFrame | None:
+    """``labels`` (node, component) after more ``edges`` (x, y): only what joins
+    two components is followed, between the components."""
+    if edges.isEmpty():
+        return labels
+    if labels is None:
+        return components(edges)
+    x, y = (labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "xy")
+    of = [F.coalesce(f"c{c}", c).alias(c) for c in "xy"]
+    between = materialize(edges.join(x, "x", "left").join(y, "y", "left").select(*of).where("x <> y").distinct())
+    if between.isEmpty():
+        return labels
+    up = components(between).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    lone = up.select(F.col("component").alias("node"), "component").join(labels.select("node"), "node", "left_anti")
+    return materialize(labels.union(lone).join(up, "component", "left").select("node", F.coalesce("top", "component").alias("component")))
 
 
 def components(edges: DataFrame) -> DataFrame:
