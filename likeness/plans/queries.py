@@ -92,13 +92,14 @@ def q_dense_user_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ similarity ---
+# MinHash takes rows as they stand, since a repeated element changes no minimum
 
 def q_minhash_signatures(spark: SparkSession, sf: str) -> DataFrame:
-    return minhash_signatures(T.word_sets(spark, sf), PARAMS.MINHASH_BANDS * PARAMS.MINHASH_ROWS, PARAMS.SEED)
+    return minhash_signatures(T.words(spark, sf), PARAMS.MINHASH_BANDS * PARAMS.MINHASH_ROWS, PARAMS.SEED)
 
 
 def _doc_bands(spark: SparkSession, sf: str) -> DataFrame:
-    return minhash_bands(T.word_sets(spark, sf), PARAMS.MINHASH_BANDS, PARAMS.MINHASH_ROWS, PARAMS.SEED)
+    return minhash_bands(T.words(spark, sf), PARAMS.MINHASH_BANDS, PARAMS.MINHASH_ROWS, PARAMS.SEED)
 
 
 def q_minhash_buckets(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,7 +111,7 @@ def q_lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_lsh_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
-    return lsh_jaccard_join(T.word_sets(spark, sf), PARAMS.JACCARD_THRESHOLD,
+    return lsh_jaccard_join(T.words(spark, sf), PARAMS.JACCARD_THRESHOLD,
                             PARAMS.MINHASH_BANDS, PARAMS.MINHASH_ROWS, PARAMS.SEED)
 
 
@@ -119,11 +120,11 @@ def q_exact_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_lsh_candidates_tuned(spark: SparkSession, sf: str) -> DataFrame:
-    return band_candidates(minhash_bands(T.shingle_sets(spark, sf), PARAMS.TUNED_BANDS, PARAMS.TUNED_ROWS, PARAMS.SEED))
+    return band_candidates(minhash_bands(T.shingles(spark, sf), PARAMS.TUNED_BANDS, PARAMS.TUNED_ROWS, PARAMS.SEED))
 
 
 def q_lsh_jaccard_tuned(spark: SparkSession, sf: str) -> DataFrame:
-    return lsh_jaccard_join(T.shingle_sets(spark, sf), PARAMS.JACCARD_THRESHOLD,
+    return lsh_jaccard_join(T.shingles(spark, sf), PARAMS.JACCARD_THRESHOLD,
                             PARAMS.TUNED_BANDS, PARAMS.TUNED_ROWS, PARAMS.SEED)
 
 

@@ -24,13 +24,16 @@ def day_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_days(spark, sf_dir).distinct()
 
 
-def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-DOC: (id = doc_id, element = word of lower(text) split on ' '), distinct,
-    of every document and its whole text."""
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id = doc_id, element = word of lower(text) split on ' ') at every place
+    of every whole text."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(
-        F.col("doc_id").alias("id"), F.explode(F.split(F.lower("text"), " ")).alias("element")
-    ).distinct()
+    return docs.select(F.col("doc_id").alias("id"), F.explode(F.split(F.lower("text"), " ")).alias("element"))
+
+
+def word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-DOC: the distinct words of every document."""
+    return words(spark, sf_dir).distinct()
 
 
 def shingles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from likeness.operators.als import fit_als, predict_als
+from likeness.operators.als import als_residuals, fit_als, load_als, predict_als
 from likeness.operators.dedupe import dedupe_ratings, dense_ids, entity_means
-from likeness.operators.evaluate import join_quality, rating_error
+from likeness.operators.evaluate import join_quality, rating_error, sampled_quality
 from likeness.sinks import write_predictions, write_similarity_pairs
 from likeness.sources import read_ratings, read_similarity_pairs, read_test_pairs
 
@@ -112,8 +112,109 @@ def test_als_rows_finite_and_cold_start(spark, micro, micro_test, tmp_path):
     assert len(pred) == 6 and all(math.isfinite(v) for v in pred.values())
     assert pred[("u9", "b9")] == 0.0 and pred[("u9", "b1")] == 4.0 and pred[("u1", "b9")] == 4.0
     fit.save(str(tmp_path / "als"))
-    from likeness.operators.als import load_als_model
-    assert load_als_model(str(tmp_path / "als")).rank == 2
+    again = load_als(spark, str(tmp_path / "als"))
+    assert again.model.rank == 2 and again.user_col == "user_id" and again.reg_param == 0.25
+    assert {(r.user_id, r.item_id): r.prediction for r in predict_als(again, micro_test).collect()} == pred
+    with pytest.raises(Exception, match="manifest|whole"):
+        load_als(spark, str(tmp_path / "als" / "model"))
+
+
+def test_als_residuals(spark, micro):
+    """The sum over ratings is the residual of the normal equations; a changed fit shows."""
+    import numpy as np
+    fit = fit_als(micro, rank=2, max_iter=3)
+    got = {r.user_id: (r.n, r.residual, r["size"]) for r in als_residuals(fit, micro).collect()}
+    users = {r._u: r.user_id for r in fit.user_index.collect()}
+    items = {r._i: r.item_id for r in fit.item_index.collect()}
+    p = {users[r.id]: np.array(r.features) for r in fit.model.userFactors.collect()}
+    q = {items[r.id]: np.array(r.features) for r in fit.model.itemFactors.collect()}
+    for u in p:
+        mine = [(r.item_id, r.rating) for r in micro.collect() if r.user_id == u]
+        a = sum(np.outer(q[i], q[i]) for i, _ in mine) + 0.25 * len(mine) * np.eye(2)
+        b = sum(q[i] * r for i, r in mine)
+        assert got[u][0] == len(mine) and got[u][1:] == pytest.approx((np.linalg.norm(a @ p[u] - b), np.linalg.norm(b)), abs=1e-6)
+        assert got[u][1] < 1e-4 * got[u][2]
+    changed = micro.withColumn("rating", F.col("rating") + F.when(F.col("user_id") == "u1", 1.0).otherwise(0.0))
+    other = {r.user_id: r.residual / r["size"] for r in als_residuals(fit, changed).collect()}
+    assert other["u1"] > 0.05 and other["u2"] < 1e-4
+
+
+def test_warm_pair_without_factors_is_an_error(spark, micro):
+    fit = fit_als(micro, rank=2, max_iter=2)
+    fit.user_index = fit.user_index.where("user_id <> 'u1'")
+    with pytest.raises(Exception, match="without factors"):
+        predict_als(fit, spark.createDataFrame([("u1", "b1")], "user_id string, item_id string")).collect()
+
+
+def test_last_line_wins_over_many_splits(spark, tmp_path):
+    """Positions order the lines of several files, each cut into many splits."""
+    lines, want = 0, {}
+    for f in range(3):
+        rows = []
+        for k in range(900):
+            u, b, r = f"u{(k * 7) % 31}", f"b{(k * 11) % 13}", float((k + 2 * f) % 5)
+            rows.append(f"{u},{b},{r}")
+            want[u, b] = r
+            lines += 1
+        _tmp(tmp_path, f"ratings-{f}.csv", "user_id,business_id,stars\n" + "\n".join(rows) + "\n")
+    for size in ("512", "3k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            rows = read_ratings(spark, str(tmp_path / "*.csv"), position=True)
+            assert rows.count() == lines
+            assert size != "512" or rows.select("file_position.file", "file_position.start").distinct().count() > 20
+            got = dedupe_ratings(rows, "user_id", "business_id", "stars", order_col="file_position")
+            assert {(r.user_id, r.business_id): r.stars for r in got.collect()} == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_manifest_of_sorted_pairs(spark, tmp_path):
+    path = str(tmp_path / "pairs")
+    pairs = spark.createDataFrame([(f"a{i:03d}", f"b{j}", 1 / (i + j + 1)) for i in range(200) for j in range(3)], "id_1 string, id_2 string, similarity double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_similarity_pairs(pairs.repartition(5), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    again = read_similarity_pairs(spark, path, check=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, pairs.collect()))
+    parts = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert len(parts) > 1
+    with open(os.path.join(path, parts[1])) as f:
+        rows = f.read().splitlines()
+    os.chmod(os.path.join(path, parts[1]), 0o644)
+    with open(os.path.join(path, parts[1]), "w") as f:
+        f.write("\n".join(rows[:-1]) + "\n")
+    for name in os.listdir(path):
+        if name.endswith(".crc"):
+            os.remove(os.path.join(path, name))
+    with pytest.raises(ValueError, match="not as they were written"):
+        read_similarity_pairs(spark, path, check=True)
+
+
+def test_sampled_quality(spark):
+    pairs = "id_1 long, id_2 long"
+    approx = spark.createDataFrame([(1, 20), (2, 3), (20, 30)], pairs)
+    exact = spark.createDataFrame([(1, 20), (5, 20)], pairs)
+    q = sampled_quality(approx, exact, "id % 20 = 0").first()
+    assert (q.n_found, q.n_true, q.n_hit, q.precision, q.recall) == (2, 2, 1, 0.5, 0.5)
+
+
+def test_hot_user_and_item_are_blocks(spark, monkeypatch):
+    """A user and an item with a third of the ratings: the same predictions whatever the blocks."""
+    from likeness.operators import cf, pairs
+    rows = [("hot", f"i{k}", float(1 + k % 5)) for k in range(60)] + [(f"u{k}", "pop", float(1 + k % 4)) for k in range(60)]
+    rows += [(f"u{k}", f"i{(k * 7 + j) % 60}", float(1 + (k + j) % 5)) for k in range(60) for j in range(2)]
+    train = spark.createDataFrame(rows, "user_id string, item_id string, rating double")
+    test = spark.createDataFrame([("hot", "pop"), ("u1", "pop"), ("hot", "i3"), ("u2", "i9"), ("u3", "i9")], "user_id string, item_id string")
+    want = [sorted(map(tuple, f(train, test).collect())) for f in (cf.predict_user_cf, cf.predict_item_cf)]
+    monkeypatch.setattr(cf, "grid_join", lambda left, right, keys: pairs.grid_join(left, right, keys, 4))
+    got = [sorted(map(tuple, f(train, test).collect())) for f in (cf.predict_user_cf, cf.predict_item_cf)]
+    assert [[r[:2] for r in x] for x in got] == [[r[:2] for r in x] for x in want]
+    assert [r[2] for x in got for r in x] == pytest.approx([r[2] for x in want for r in x])
 
 
 def test_release_materialized(spark):

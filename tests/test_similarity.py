@@ -10,11 +10,11 @@ from likeness.operators.exact import exact_cosine_join, exact_jaccard_join
 from likeness.operators.lsh import (
     band_candidates, band_parameters, hyperplane_bands, lsh_cosine_join, lsh_jaccard_join, minhash_bands, minhash_signatures,
 )
-from likeness.operators.pairs import group_pairs
+from likeness.operators.pairs import grid_join, group_pairs
 from likeness.operators.verify import cosine_of, jaccard_of
 from likeness.sources import tables as T
 
-from conftest import SF0001
+SF0001 = "/root/testdata/sf0.001"
 
 MICRO_JAC = {("b1", "b2"): 1.0, ("b1", "b3"): 0.5, ("b1", "b4"): 0.5,
              ("b2", "b3"): 0.5, ("b2", "b4"): 0.5, ("b3", "b4"): 0.5}
@@ -209,17 +209,162 @@ def test_bad_threshold(spark, micro):
         exact_jaccard_join(_item_sets(micro), 0.0)
 
 
-@pytest.mark.parametrize("bits", [0, 1, 3])
-def test_prefix_blocks_split_across_many_blocks(spark, monkeypatch, bits):
-    """Tiny order blocks force ranks and tail sums to cross block boundaries."""
-    import likeness.operators.exact as ex
-    monkeypatch.setattr(ex, "ORDER_BLOCK_BITS", bits)
+@pytest.mark.parametrize("buckets", [1, 3, 100])
+def test_few_and_many_buckets_of_codes(spark, buckets):
+    """However coarsely places are told, the joins are exact."""
     sets = T.word_sets(spark, SF0001)
     rows = [(r[0], r[1]) for r in sets.collect()]
-    assert _d(ex.exact_jaccard_join(sets, 0.4, materialize=False)) == pytest.approx(brute_jaccard(rows, 0.4))
+    assert _d(exact_jaccard_join(sets, 0.4, buckets=buckets)) == pytest.approx(brute_jaccard(rows, 0.4))
     vecs = T.event_vectors(spark, SF0001)
     vrows = [(r[0], r[1], r[2]) for r in vecs.collect()]
-    assert _d(ex.exact_cosine_join(vecs, 0.6, materialize=False)) == pytest.approx(brute_cosine(vrows, 0.6))
+    assert _d(exact_cosine_join(vecs, 0.6, buckets=buckets)) == pytest.approx(brute_cosine(vrows, 0.6))
+
+
+@pytest.mark.parametrize("residual", [0.05, 0.3, 0.5])
+def test_cosine_residuals(spark, residual):
+    """Any share may stay out of the index; negative values too."""
+    import random
+    rng = random.Random(1)
+    rows = [(i, f"e{k}", rng.choice([-1.0, 1.0, 2.0, 3.0])) for i in range(60) for k in rng.sample(range(25), 12)]
+    vecs = spark.createDataFrame(rows, "id long, element string, value double")
+    want = brute_cosine(rows, 0.5)
+    assert _d(exact_cosine_join(vecs, 0.5, residual=residual, block=8)) == pytest.approx(want)
+    probed = {k: v for k, v in want.items() if k[0] % 5 == 0 or k[1] % 5 == 0}
+    assert _d(exact_cosine_join(vecs, 0.5, residual=residual, probes="id % 5 = 0")) == pytest.approx(probed)
+
+
+def test_cosine_index_leaves_few_candidates(spark):
+    """On dense vectors a small residual leaves far fewer candidates than all pairs."""
+    from likeness.functions.encoding import element_codes, join_codes
+    from likeness.operators.exact import cosine_index, cosine_scores
+    from likeness.operators.verify import vector_norms
+    vecs = T.event_vectors(spark, "/root/testdata/sf0.01")
+    codes = element_codes(vecs, "element")
+    coded = join_codes(vecs, codes, "element").select("id", "code", "value")
+    norms = vector_norms(coded)
+    counts = {}
+    for residual in (0.1, 0.5):
+        index, rest = cosine_index(coded, norms, residual, codes.count())
+        counts[residual] = cosine_scores(index, rest, coded, norms, 0.5).count()
+    ids = norms.count()
+    assert counts[0.1] < 0.25 * ids * (ids - 1) / 2 < counts[0.5]
+
+
+def test_jaccard_candidates_are_few(spark):
+    """Position and sketch leave little more than the true pairs of a dense universe."""
+    from likeness.functions.encoding import element_codes, join_codes
+    from likeness.operators.bitmaps import profiles
+    from likeness.operators.exact import jaccard_candidates
+    sets = T.nation_sets(spark, "/root/testdata/sf0.01")
+    codes = element_codes(sets, "element")
+    coded = join_codes(sets, codes, "element").select("id", "code")
+    cand = jaccard_candidates(coded, profiles(coded, "code"), codes, 0.8).count()
+    assert cand <= 1.05 * 12163  # true pairs, of two million
+
+
+def test_equal_sets_are_one_class(spark):
+    """A third of all sets are one set, more are another; pairs between and within."""
+    rows = [(i, e) for i in range(40) for e in ("x", "y", "z")] + [(100 + i, e) for i in range(25) for e in ("x", "y", "z", "w")]
+    rows += [(200 + i, f"u{i % 7}{k}") for i in range(30) for k in range(4)]
+    sets = spark.createDataFrame(rows, "id long, element string")
+    for block in (4, 1024):
+        assert _d(exact_jaccard_join(sets, 0.7, block=block)) == pytest.approx(brute_jaccard(rows, 0.7))
+
+
+def test_probes_restrict_the_join(spark):
+    sets, rows = _skewed_sets(spark)
+    want = {k: v for k, v in brute_jaccard(rows, 0.5).items() if k[0] % 20 == 0 or k[1] % 20 == 0}
+    for block in (3, 1024):
+        assert _d(exact_jaccard_join(sets, 0.5, block=block, probes="id % 20 = 0")) == pytest.approx(want)
+
+
+def test_bitmaps(spark):
+    from likeness.operators.bitmaps import intersections, profiles, set_words, sift
+    import random
+    rng = random.Random(2)
+    sets = {i: {rng.randrange(-500, 3000) for _ in range(rng.choice([1, 5, 60, 800]))} for i in range(30)}
+    coded = spark.createDataFrame([(i, c) for i, s in sets.items() for c in s], "id long, code long")
+    pairs = spark.createDataFrame([(a, b, len(sets[a]), len(sets[b])) for a, b in itertools.combinations(sets, 2)], "id_1 long, id_2 long, n_1 long, n_2 long")
+    got = {(r.id_1, r.id_2): r.common for r in intersections(pairs, set_words(coded)).collect()}
+    assert got == {(a, b): len(sets[a] & sets[b]) for a, b in itertools.combinations(sets, 2) if {c >> 6 for c in sets[a]} & {c >> 6 for c in sets[b]}}
+    for cell in ("code", "xxhash64(code)"):
+        kept = {(r.id_1, r.id_2) for r in sift(pairs, profiles(coded, cell), 0.3).collect()}
+        true = {(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.3 * len(sets[a] | sets[b])}
+        assert true <= kept and len(kept) < len(sets) * (len(sets) - 1) / 2
+
+
+def test_jaccard_of_reads_any_rows(spark):
+    """Repeated rows, integral and string elements, ids without a partner, pairs without overlap."""
+    for kind, name in ((int, "long"), (str, "string")):
+        rows = [(1, kind(5)), (1, kind(5)), (1, kind(6)), (2, kind(6)), (3, kind(7)), (4, kind(1))]
+        sets = spark.createDataFrame(rows, f"id long, element {name}")
+        pairs = spark.createDataFrame([(1, 2), (1, 3)], "id_1 long, id_2 long")
+        assert _d(jaccard_of(pairs, sets)) == {(1, 2): 0.5, (1, 3): 0.0}
+        assert _d(jaccard_of(pairs, sets, min_similarity=0.5)) == {(1, 2): 0.5}
+
+
+def test_verification_has_no_arrays_and_reads_candidates_only(spark):
+    """One path: no element lists; only sets of ids in a pair go on."""
+    sets = spark.createDataFrame([(i, f"e{k}") for i in range(50) for k in range(i % 7 + 1)], "id long, element string")
+    pairs = spark.createDataFrame([(1, 2)], "id_1 long, id_2 long")
+    plan = jaccard_of(pairs, sets, min_similarity=0.1)._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "array_intersect" not in plan and "bit_count" in plan
+
+
+@pytest.mark.parametrize("bound", [1 << 20, 10])
+def test_codes_are_dense_and_by_frequency(spark, bound):
+    from likeness.functions.encoding import element_codes
+    rows = [(f"w{k}",) for k in range(300) for _ in range(1 + 300 // (k + 1))]
+    got = {r.element: (r.code, r.freq) for r in element_codes(spark.createDataFrame(rows, "element string"), "element", bound=bound).collect()}
+    order = sorted(got, key=lambda w: (-got[w][1], w))
+    assert [got[w][0] for w in order] == list(range(300)) and got["w0"] == (0, 301)
+
+
+def test_prefix_sums_in_levels(spark):
+    """Windows of two keys: the sums are right, and no window holds more than ``fan`` rows."""
+    from likeness.functions.encoding import prefix_sums
+    sizes = spark.createDataFrame([(k, k % 5 + 1) for k in range(37)], "p int, n long")
+    for fan in (2, 3, 100):
+        got = {r.p: r.offset for r in prefix_sums(sizes, "p", "n", 37, fan).collect()}
+        assert got == {k: sum(j % 5 + 1 for j in range(k)) for k in range(37)}
+
+
+@pytest.mark.parametrize("block", [2, 5, 1000])
+def test_grid_join_equals_plain_join(spark, block):
+    left = [(k, i) for k, n in (("hot", 40), ("a", 3), ("b", 1)) for i in range(n)]
+    right = [(k, j) for k, n in (("hot", 23), ("a", 9), ("c", 2)) for j in range(n)]
+    a, b = spark.createDataFrame(left, "k string, x int"), spark.createDataFrame(right, "k string, y int")
+    got = sorted(map(tuple, grid_join(a, b, ["k"], block).collect()))
+    assert got == sorted((k, x, y) for k, x in left for q, y in right if k == q)
+
+
+def test_no_rows_are_dealt_by_a_hot_group_alone(spark):
+    """With a hot group, members only travel with a salt or a block beside the group."""
+    import re
+    members = spark.createDataFrame([("hot", i) for i in range(50)] + [("x", 1), ("x", 2)], "g string, id int")
+    plan = group_pairs(members, ["g"], "id", block=8)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert dealt and all(re.search("_s#|_bi#", d) for d in dealt)
+
+
+def test_probes_of_hyperplanes(spark):
+    """An id visits its own bucket, and those that its signs of smallest margin lead to."""
+    from likeness.operators.lsh import hyperplane_probes
+    vecs = T.event_vectors(spark, SF0001)
+    own = {(r["id"], r["band"]): r["k0"] for r in hyperplane_bands(vecs, 3, 6, seed=5).collect()}
+    seen = defaultdict(set)
+    for r in hyperplane_probes(vecs, 3, 6, flips=2, seed=5).collect():
+        seen[r["id"], r["band"]].add(r["k0"])
+    assert all(len(v) == 4 and own[k] in v and max((x ^ own[k]).bit_count() for x in v) == 2 for k, v in seen.items()) and len(seen) == len(own)
+    assert {(r["id"], r["band"]): r["k0"] for r in hyperplane_probes(vecs, 3, 6, flips=0, seed=5).collect()} == own
+
+
+def test_multi_probe_recall(spark):
+    vecs = T.event_vectors(spark, "/root/testdata/sf0.01")
+    exact = _d(exact_cosine_join(vecs, 0.5, residual=0.1))
+    plain = _d(lsh_cosine_join(vecs, 0.5))
+    more = _d(lsh_cosine_join(vecs, 0.5, flips=6))
+    assert set(plain) <= set(more) <= set(exact) and len(more) >= 0.9 * len(exact) > 10 * len(plain)
 
 
 def _skewed_sets(spark):
@@ -237,8 +382,8 @@ def _skewed_sets(spark):
 def test_skewed_sets_exact_and_lsh(spark, block):
     sets, rows = _skewed_sets(spark)
     want = brute_jaccard(rows, 0.5)
-    assert _d(exact_jaccard_join(sets, 0.5, block=block, materialize=False)) == pytest.approx(want)
-    lsh = _d(lsh_jaccard_join(sets, 0.5, block=block, materialize=False))
+    assert _d(exact_jaccard_join(sets, 0.5, block=block)) == pytest.approx(want)
+    lsh = _d(lsh_jaccard_join(sets, 0.5, block=block))
     assert set(lsh) <= set(want) and lsh == pytest.approx({k: want[k] for k in lsh})
     assert len([k for k in want if want[k] == 1.0]) == sum(1 for k in lsh if lsh[k] == 1.0)
 
@@ -263,8 +408,8 @@ def test_minhash_modulus_parameter(spark):
     sets = T.word_sets(spark, SF0001)
     small = {(r["id"], r["hash_idx"]): r["value"] for r in minhash_signatures(sets, 8, modulus=1009).collect()}
     assert all(0 <= v < 1009 for v in small.values())
-    exact = _d(exact_jaccard_join(sets, 0.5, materialize=False))
-    lsh = _d(lsh_jaccard_join(sets, 0.5, modulus=1009, materialize=False))
+    exact = _d(exact_jaccard_join(sets, 0.5))
+    lsh = _d(lsh_jaccard_join(sets, 0.5, modulus=1009))
     assert set(lsh) <= set(exact)
     with pytest.raises(ValueError):
         minhash_signatures(sets, 4, modulus=2 ** 40)
