@@ -7,8 +7,12 @@ first ``max_depth`` bits; a bucket holds the slots that agree in its first
 ``capacity`` entries and bits are left.  Growing a directory by insertion ends
 in that same state, so it is computed from the slot counts directly; with at
 most 2^max_depth rows it is the only thing broadcast.  Entries of equal key are
-combined before they move (a group of copies costs one row a task), and tasks
-own ranges of (bucket, hash) in the index that is written back.
+combined before they move, to at most ``SALT`` rows a key however many copies a
+group has.  Then every entry goes to the task that owns its (bucket, hash)
+range: the owners chain the entries of a hash by length and digest, and tell
+last row and size of each chain; no other shuffle groups the index.  A bucket
+that is overfull with all bits used is several ranges of hashes, so its owners
+are several tasks.
 
 Keys that several rows have are chains: their texts are compared byte by byte
 (smallest against largest text of the key, again combined before moving), and
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from likeness.llm.shared import fresh, materialize, maybe_in, partitions, salted_join, without
 
 KEY = ["h", "len", "sha"]
+SALT = 16
 
 
 def directory(index: DataFrame, capacity: int, max_depth: int) -> DataFrame:
@@ -43,6 +48,19 @@ def directory(index: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     )
 
 
+def owned_chains(index: DataFrame, slots: DataFrame, max_depth: int, tasks: int) -> DataFrame:
+    """(bucket, depth, key, last, group_size) of every key, grouped by the owners
+    of the (bucket, hash) ranges: the last exchange is the one that deals the
+    entries to them."""
+    last = F.max(F.struct("doc_id", "row")).alias("last")
+    dealt = index.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALT)))
+    entries = dealt.groupBy(*KEY, "salt").agg(last, F.count("*").alias("n")).withColumn("slot", F.shiftrightunsigned("h", 64 - max_depth))
+    return (
+        entries.join(F.broadcast(slots), "slot").repartitionByRange(tasks, "bucket", "h")
+        .groupBy("bucket", "depth", *KEY).agg(F.max("last").alias("last"), F.sum("n").alias("group_size"))
+    )
+
+
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 100_000, max_depth: int = 12,
     hash_of: Callable[[Column], Column] = F.xxhash64, digest: Callable[[Column], Column] = lambda c: F.sha2(c, 256),
@@ -55,12 +73,8 @@ def exact_dedup(
     index = materialize(docs.select(
         F.col(id_col).alias("doc_id"), hash_of(text).alias("h"), F.octet_length(text).alias("len"), digest(text).alias("sha"),
         F.monotonically_increasing_id().alias("row"), F.sha2(text, 256).alias("text_sha256")))
-    slots = F.broadcast(directory(index, capacity, max_depth))
-    last = F.max(F.struct("doc_id", "row"))
-    groups = index.groupBy(*KEY).agg(last.alias("last"), F.count("*").alias("group_size"))
-    owned = materialize(
-        groups.withColumn("slot", F.shiftrightunsigned("h", 64 - max_depth)).join(slots, "slot")
-        .repartitionByRange(partitions(spark), "bucket", "h", "len", "sha"))
+    slots = materialize(directory(index, capacity, max_depth))
+    owned = materialize(owned_chains(index, slots, max_depth, partitions(spark)))
     chains = owned.where("group_size > 1").select(*KEY)
     members = maybe_in(docs.select(text.alias("text")).withColumn("h", hash_of(F.col("text"))), "h", chains.select("h")).where("_maybe")
     members = members.withColumn("len", F.octet_length("text")).withColumn("sha", digest(F.col("text")))
@@ -69,14 +83,14 @@ def exact_dedup(
     # an entry whose key no other has is its own group; only the others are joined
     several = owned.where("group_size > 1").select(*KEY, "last", "group_size")
     kept = (
-        salted_join(index, several, KEY).withColumn("slot", F.shiftrightunsigned("h", 64 - max_depth)).join(slots, "slot")
+        salted_join(index, several, KEY).withColumn("slot", F.shiftrightunsigned("h", 64 - max_depth)).join(F.broadcast(slots), "slot")
         .withColumn("last", F.coalesce("last", F.struct("doc_id", "row"))).withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long"))))
     if not differ.isEmpty():
         texts = docs.select(
             F.col(id_col).alias("doc_id"), hash_of(text).alias("h"), F.octet_length(text).alias("len"), digest(text).alias("sha"),
             F.monotonically_increasing_id().alias("row"), F.sha2(text, 256).alias("text_sha256"), text.alias("text"))
         split = materialize(texts.join(differ, KEY).join(owned.select(*KEY, "bucket", "depth"), KEY))
-        chain = split.groupBy("text").agg(last.alias("last"), F.count("*").alias("group_size"))
+        chain = split.groupBy("text").agg(F.max(F.struct("doc_id", "row")).alias("last"), F.count("*").alias("group_size"))
         columns = [*KEY, "doc_id", "row", "text_sha256", "last", "group_size", "bucket", "depth"]
         kept = kept.join(differ, KEY, "left_anti").select(*columns).union(salted_join(split, chain, "text", "inner").select(*columns))
     return kept.select(
