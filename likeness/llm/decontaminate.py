@@ -1,22 +1,25 @@
 """Operator 10: benchmark decontamination by size-partitioned MinHash containment.
 
-Test items are sets of k-word shingles, cut into size bands (powers of two).
+Test items are sets of k-word shingles, partitioned by size (powers of two).
 The MinHash sketch of an item is the shingles with the smallest hashes, and its
-length follows from the band: if percent of n shingles are in a document, any
-n - ceil(percent n / 100) + 1 of them contain one that is.  So a document that
-contains an item to that degree always holds a shingle of the item's sketch,
-however long the document is -- no chance of a miss, unlike bands of MinHashes
-of the whole document, whose Jaccard similarity to a short item is near zero.
-Documents probe the sketches with all their shingles; for each (document, item)
-found, the exact number of the item's shingles in the document is counted.
-
-The index of items is broadcast in blocks of at most ``block`` shingles, one
-pass over the documents a block; the documents are never shuffled.
+length follows from the partition: if percent of n shingles are in a document,
+any n - ceil(percent n / 100) + 1 of them contain one that is.  So a document
+that contains an item to that degree always holds a shingle of the item's
+sketch, however long the document is -- no chance of a miss, unlike bands of
+MinHashes of the whole document, whose Jaccard similarity to a short item is
+near zero.  Each partition has its own index of sketches, and a document probes,
+with all its shingles, those of items small enough to be in it; for each
+(document, item) found, the exact number of the item's shingles in the document
+is counted.
+
+The partitions are broadcast in passes of at most about ``block`` shingles: small
+partitions share a pass, a large one is cut by the items' hashes into several;
+one pass over the documents each; the documents are never shuffled.
 
 Nulls: null or empty texts and items match nothing.  An item of fewer than k
 words is its whole sequence and matches a document of just these words.  Rows
 with null ids take part; repeated rows give repeated results.  An item with
-more shingles than a block has a block of its own.
+more shingles than a block goes into one pass all the same.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ BLOCK = 1 << 20
 
 
 def _items(items: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """(item_id, n, size of the sketch, items) of every item with words."""
+    """(item_id, n, size of the sketch, items, band) of every item with words;
+    band is the size partition: n is over 2^(band - 1) and at most 2^band."""
 
     def run(batches):
         for b in batches:
@@ -47,11 +51,25 @@ def _items(items: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
                 top = 1 << band  # the longest sketch that a size of the band needs
                 size = np.minimum(n, top - -(-top * percent // 100) + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(s.lo, s.hi - s.lo), pa.array(n), pa.array(size), W.binary_cuts(h, cuts)],
-                    names=["item_id", "n", "size", "items"]).filter(pa.array(n > 0))
+                    [b.column(0).slice(s.lo, s.hi - s.lo), pa.array(n), pa.array(size), W.binary_cuts(h, cuts), pa.array(band)],
+                    names=["item_id", "n", "size", "items", "band"]).filter(pa.array(n > 0))
 
     return items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(
-        tidy(run), "item_id long, n long, size long, items binary")
+        tidy(run), "item_id long, n long, size long, items binary, band long")
+
+
+def passes(totals: dict[int, int], block: int) -> list[list[tuple[int, int, int]]]:
+    """(band, part, parts) of what each pass broadcasts, from the shingles of each band."""
+    out, room = [[]], block
+    for band, n in sorted(totals.items()):
+        parts = -(-n // block)
+        for part in range(parts):
+            if n // parts > room:
+                out.append([])
+                room = block
+            out[-1].append((band, part, parts))
+            room -= n // parts
+    return out
 
 
 def contaminated(
@@ -65,31 +83,40 @@ def contaminated(
     spark = docs.sparkSession
     ship(spark)
     index = materialize(_items(items, item_id, item_text, k, percent))
-    total = index.agg(F.sum("n")).first()[0] or 0
-    blocks = int(-(-total // block)) or 1
-    place = F.pmod(F.xxhash64("item_id", "items"), F.lit(blocks))
+    totals = {r.band: r.n for r in index.groupBy("band").agg(F.sum("n").alias("n")).collect()}  # at most 64 rows
+    place = F.xxhash64("item_id", "items")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     out = None
-    for number in range(blocks):
-        rows = index.where(place == number).toArrow()
-        part = _probe(docs, k, percent, spark.sparkContext.broadcast(_table(rows)))
+    for chosen in passes(totals, block):
+        some = F.lit(False)
+        for band, number, parts in chosen:
+            some |= (F.col("band") == band) & (F.pmod(place, F.lit(parts)) == number)
+        rows = index.where(some).toArrow()
+        part = _probe(docs, k, percent, spark.sparkContext.broadcast(_table(rows, percent)))
         out = part if out is None else out.union(part)
     return out if with_hash else out.drop("text_hash")
 
 
-def _table(rows: pa.Table) -> tuple:
-    """Item ids and sizes; (shingle, item) sorted by shingle, whole and of the sketches."""
+def _table(rows: pa.Table, percent: int) -> tuple:
+    """Item ids and sizes; (shingle, item) sorted by shingle of the whole items;
+    and of each size partition the shingles that a document needs at least to
+    contain one of its items, and (shingle, item) of its sketches."""
     rows = rows.combine_chunks()
     if not len(rows):
         none = np.zeros(0, np.int64)
-        return rows.column("item_id").to_pylist(), none, (none.view(np.uint64), none), (none.view(np.uint64), none)
+        return rows.column("item_id").to_pylist(), none, (none.view(np.uint64), none), []
     h, cuts = W.from_binary(rows.column("items").chunk(0))
     n = np.diff(cuts)
     item = np.repeat(np.arange(len(n)), n)
     first = np.arange(len(h)) - cuts[item] < rows.column("size").to_numpy()[item]
     o = np.argsort(h, kind="stable")
-    s = o[first[o]]
-    return rows.column("item_id").to_pylist(), n, (h[o], item[o]), (h[s], item[s])
+    band = rows.column("band").to_numpy()[item]
+    sketches = []
+    for x in np.unique(band):
+        s = o[(first & (band == x))[o]]
+        least = int(n[item[s]].min())
+        sketches.append((-(-least * percent // 100), (h[s], item[s])))
+    return rows.column("item_id").to_pylist(), n, (h[o], item[o]), sketches
 
 
 def _lookup(index: tuple, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +130,7 @@ def _lookup(index: tuple, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, n
 
 def _probe(docs: DataFrame, k: int, percent: int, table) -> DataFrame:
     def run(batches):
-        names, n, whole, sketch = table.value
+        names, n, whole, sketches = table.value
         near = np.zeros(1 << 16, bool)
         near[(whole[0] & np.uint64(0xFFFF)).astype(np.int64)] = True
         for b in batches:
@@ -111,10 +138,15 @@ def _probe(docs: DataFrame, k: int, percent: int, table) -> DataFrame:
                 data = W.lowered(s.data)
                 t = W.tokenize(data, s.offsets, W.NOT_SPACE)
                 row, h = W.shingles(W.hash_words(data, t), t, k)
+                held = np.bincount(row, minlength=s.hi - s.lo)  # no fewer than there are different ones
                 some = near[(h & np.uint64(0xFFFF)).astype(np.int64)]
                 row, h = W.distinct(row[some], h[some])
-                r, i = _lookup(sketch, row, h)
-                found = np.unique(r * len(n) + i)
+                found = [np.zeros(0, np.int64)]
+                for least, sketch in sketches:
+                    fits = held[row] >= least
+                    r, i = _lookup(sketch, row[fits], h[fits])
+                    found.append(r * len(n) + i)
+                found = np.unique(np.concatenate(found))
                 in_found = np.isin(row, found // max(len(n), 1))
                 r, i = _lookup(whole, row[in_found], h[in_found])
                 pair, both = np.unique(r * len(n) + i, return_counts=True)

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from likeness.llm import line_dedup as line_module
 from likeness.llm import linkage
 from likeness.llm import words as W
-from likeness.llm.decontaminate import contaminated, decontaminate
-from likeness.llm.exact_dedup import exact_dedup, keep_last
+from likeness.llm.decontaminate import _items, contaminated, decontaminate, passes
+from likeness.llm.exact_dedup import KEY, SALT, directory, exact_dedup, keep_last, owned_chains
 from likeness.llm.line_dedup import edit_distance_within, line_dedup
 from likeness.llm.ngram_join import keep_least, ngram_join
 from likeness.llm.substring_dedup import gaps, substring_dedup, ungaps
@@ -133,6 +133,24 @@ def test_directory_doubles(corpus):
     assert all(r["count"] <= 20 or r.depth == 12 for r in sizes)
 
 
+def test_owners_do_the_grouping(spark):
+    """After the entries are dealt to the owners of (bucket, hash) nothing is
+    shuffled again; a third of all rows in one group is a few rows there."""
+    text = F.when(F.expr("id % 3 = 0"), "copy").otherwise(F.col("id").cast("string"))
+    index = spark.range(9000).select(
+        F.col("id").alias("doc_id"), F.xxhash64(text).alias("h"), F.octet_length(text).alias("len"), F.sha2(text, 256).alias("sha"), F.col("id").alias("row"))
+    slots = directory(index, 100, 12)
+    chains = owned_chains(index, slots, 12, 8)
+    plan = chains._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    shuffles = [x for x in plan.splitlines() if "Exchange " in x and "Broadcast" not in x]
+    assert "rangepartitioning(bucket" in shuffles[0] and "h#" in shuffles[0]
+    assert re.search(r"Aggregate\(keys?=\[bucket", plan).start() < plan.index("rangepartitioning(bucket")
+    assert sum("hashpartitioning(bucket" in x for x in shuffles) <= 1  # of the directory itself
+    rows = chains.collect()
+    assert len(rows) == 6001 and sum(r.group_size for r in rows) == 9000 and max(r.group_size for r in rows) == 3000
+    assert {r.depth for r in rows} != {0} and SALT < 100 and set(KEY) <= set(chains.columns)
+
+
 def substring_brute(texts, k=13):
     words = {i: WORD.findall(t) for i, t in texts.items()}
     least = {}
@@ -196,6 +214,33 @@ def test_decontaminate(spark, awkward, texts, block):
     assert kept == texts.keys() - {r[0] for r in expected}
 
 
+def test_items_go_by_size(spark, texts):
+    """Every item is in the partition of its size, and the passes hold each part once."""
+    bench, rows = items(spark, texts)
+    sizes = {r.item_id: (r.n, r.band) for r in _items(bench, "item_id", "text", 5, 80).collect()}
+    assert all(2 ** (b - 1) < n <= 2**b for n, b in sizes.values()) and len({b for _, b in sizes.values()}) > 2
+    got = passes({0: 3, 4: 50, 6: 230}, 100)
+    assert [p for x in got for p in x] == [(0, 0, 1), (4, 0, 1), (6, 0, 3), (6, 1, 3), (6, 2, 3)]
+    assert got[0] == [(0, 0, 1), (4, 0, 1)] and len(got) == 4 and passes({}, 100) == [[]]
+
+
+def test_decontaminate_short_in_long(spark):
+    """Short items inside long documents, sizes on both sides of the partitions, and documents too short for them."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    bench = {i: " ".join(rng.choice(words) for _ in range(n)) for i, n in enumerate([5, 6, 7, 8, 9, 12, 13, 20, 21, 36, 37, 68, 69, 70])}
+    docs = {}
+    for i, t in bench.items():
+        w = t.split(" ")
+        filler = [rng.choice(words) for _ in range(3000)]
+        docs[10 * i] = " ".join(filler[:1500] + w + filler[1500:])
+        docs[10 * i + 1] = " ".join(w[: len(w) - len(w) // 8])  # some of it, too short for others
+        docs[10 * i + 2] = " ".join(w[: len(w) // 2])
+    got = contaminated(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(list(bench.items()), "item_id long, text string"), block=60)
+    got = sorted(((r.doc_id, r.item_id, r.n_item, r.n_shared) for r in got.collect()), key=str)
+    assert got == contaminated_brute(docs, list(bench.items())) and len(got) >= len(bench)
+
+
 def test_decontaminate_awkward(spark, ragged, empty, texts):
     bench, _ = items(spark, texts)
     none = spark.createDataFrame([], "item_id long, text string")
