@@ -37,13 +37,14 @@ SALT = 16
 
 
 def directory(index: DataFrame, capacity: int, max_depth: int) -> DataFrame:
-    """(slot, depth, bucket) of every slot in use; at most 2^max_depth rows."""
+    """(slot, depth, bucket) of every slot in use; at most 2^max_depth rows, and
+    twice as many buckets of all depths, which are broadcast."""
     slots = index.groupBy(F.shiftrightunsigned("h", 64 - max_depth).alias("slot")).agg(F.count("*").alias("n"))
     depths = slots.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(max_depth)))).withColumn(
         "bucket", F.expr(f"shiftright(slot, {max_depth} - depth)"))
     fits = depths.groupBy("depth", "bucket").agg(F.sum("n").alias("n")).where((F.col("n") <= capacity) | (F.col("depth") == max_depth))
     return (
-        depths.drop("n").join(fits.drop("n"), ["depth", "bucket"])
+        depths.drop("n").join(F.broadcast(fits.drop("n")), ["depth", "bucket"])
         .groupBy("slot").agg(F.min(F.struct("depth", "bucket")).alias("b")).select("slot", "b.depth", "b.bucket")
     )
 
