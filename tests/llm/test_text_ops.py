@@ -308,6 +308,35 @@ def test_best_path():
         assert got["pieces"][0] == list(max(segmentations(t), key=lambda x: x[1])[0])
 
 
+def path_score(text):
+    """The best score of a run without white space, by a plain Viterbi pass over all of it."""
+    score = {VOCABULARY["texts"][i]: x for i, x in zip(VOCABULARY["id"].tolist(), VOCABULARY["score"].tolist(), strict=True)}
+    best = [0.0] + [-math.inf] * len(text)
+    for i in range(len(text)):
+        for n in range(1, min(VOCABULARY["longest"], len(text) - i) + 1):
+            bare = VOCABULARY["byte_score"] * len(text[i].encode()) if n == 1 else -math.inf
+            best[i + n] = max(best[i + n], best[i] + score.get(text[i : i + n], bare))
+    return best[-1]
+
+
+def test_long_runs():
+    """No length of a run cuts a piece: best paths equal those over the whole run."""
+    thue, other = "a", "b"
+    for _ in range(11):
+        thue, other = thue + other, other + thue
+    runs = ["information" * 20, "x" * 60 + "unbelievable" + "information" * 9, "https://www.example.com/path/to/" + "some-article_about" * 12,
+            "日本語の文章には空白がない" * 30, "a" * 5000, "né" * 400 + "ŋ\U0010fffdz" * 50, thue, other]
+    score = dict(zip(VOCABULARY["id"].tolist(), VOCABULARY["score"].tolist(), strict=True))
+    pieces = set(VOCABULARY["texts"].values())
+    got = encode_batch(runs, 3, range(len(runs)))
+    for t, ids, exact, sampled, logp in zip(runs, got["pieces"], got["exact"], got["sampled"], got["logp"], strict=True):
+        assert exact and P.decode(ids, VOCABULARY) == t and all(P.decode(x, VOCABULARY) == t for x in sampled)
+        assert math.isclose(sum(score.get(i, VOCABULARY["byte_score"]) for i in ids), path_score(t), rel_tol=1e-9)
+        assert len({tuple(x) for x in sampled}) == len(sampled) and all(x <= 1e-9 for x in logp)
+        several = any(t[i : i + n] in pieces for i in range(len(t)) for n in range(2, VOCABULARY["longest"] + 1))
+        assert len(sampled) == (3 if several else 1)  # without pieces of two characters there is one segmentation
+
+
 def test_sampling_without_replacement():
     """First and second samples against exact probabilities; exhaustion gives all."""
     text = "rlu xqz"
