@@ -333,7 +333,7 @@ def test_long_runs():
         assert exact and P.decode(ids, VOCABULARY) == t and all(P.decode(x, VOCABULARY) == t for x in sampled)
         assert math.isclose(sum(score.get(i, VOCABULARY["byte_score"]) for i in ids), path_score(t), rel_tol=1e-9)
         assert len({tuple(x) for x in sampled}) == len(sampled) and all(x <= 1e-9 for x in logp)
-        several = any(t[i : i + n] in pieces for i in range(len(t)) for n in range(2, VOCABULARY["longest"] + 1))
+        several = any(t[i : i + n] in pieces for n in range(2, VOCABULARY["longest"] + 1) for i in range(len(t) - n + 1))
         assert len(sampled) == (3 if several else 1)  # without pieces of two characters there is one segmentation
 
 
