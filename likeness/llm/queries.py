@@ -65,7 +65,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(documents(spark, sf_dir), keep_ids=False, cache_edges=12_000_000, slice_bytes=1 << 20)
+    return encode(documents(spark, sf_dir), cache_edges=12_000_000, slice_bytes=1 << 20)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from likeness.llm.exact_dedup import keep_last
 from likeness.llm.licenses import TEMPLATES, _tokens, scan_licenses
 from likeness.llm.ngram_join import keep_least
 from likeness.llm.pii import KINDS, find_pii
+from likeness.llm.queries import op6_sentencepiece
 from likeness.llm.toxicity import EXACT, FUZZY, _lexicon, automaton, drop_toxic, match, score_toxicity
 from likeness.llm.url_filter import filter_urls
 
@@ -371,6 +372,18 @@ def test_encode(ragged, empty, corpus, corpus_texts):
     assert P.encode(empty).count() == 0
 
 
+def test_encode_query(spark, tmp_path):
+    """The query gives the pieces and the sampled segmentations themselves, of every row."""
+    texts = {0: "the cat sat  on\tthe mat", 1: "", 2: None, 3: "日本語 unbelievable information", 4: "x" * 90}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in op6_sentencepiece(spark, str(tmp_path)).collect()}
+    assert rows.keys() == texts.keys()
+    for i, r in rows.items():
+        assert P.decode(r.pieces, VOCABULARY) == (texts[i] or "") and len(r.pieces) == r.n_pieces
+        assert [len(x) for x in r.sampled] == r.n_sampled and len(r.sampled) == len(r.digest) > 0
+        assert all(P.decode(x, VOCABULARY) == (texts[i] or "") for x in r.sampled)
+
+
 def test_url_filter(spark):
     captures = [
         (1, "http://a.b.example.com/x/1", 5), (2, "https://A.b.example.com/x/1", 10), (3, "http://c.b.example.com/y", 10), (4, None, 10),
