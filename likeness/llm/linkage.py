@@ -13,6 +13,11 @@ after each one the links found are verified and contracted to components:
    meet, and every node keeps its nearest partner of each other component.
 3. *Rest*: every candidate left between different components.
 
+Of keys that the same nodes have one is kept.  The keys of a group of one block
+go where its least node sends them, so that those of a family, which share most
+of their nodes, meet in one task; what a task has found is combined before it
+leaves: a pair once, of a node the best partners only.
+
 Nodes travel to the tasks, none holds more than two blocks, and a pair only
 leaves a task if sizes and sketches allow it; rounds 2 and 3 use the sketches of
 the nodes' own size.  Nothing is capped: two nodes that share a key and are
@@ -32,11 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from likeness.llm import words as W
-from likeness.llm.shared import materialize, merge_components, partitions, salted_join, tidy
+from likeness.llm.shared import materialize, merge_components, partitions, salted_join, split_join, tidy
 
 SMALL, BLOCK, SWEEPS = 8, 1024, 2
 PAIRS = 1 << 20  # of the cells handled at a time, if more than one
 COMPARED = 1 << 23  # bytes of sketches compared at a time
+HELD = 1 << 19  # found rows that a task holds to combine
+HOT = 4096  # rows of a key that a task joins
 Allow = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -56,10 +63,59 @@ def _widths(column: pa.Array) -> np.ndarray:
     return out.view(np.uint64) if width % 8 == 0 else out
 
 
+class _Found:
+    """Rows (x, y, rank, large, of) that a task has found, combined: a pair once;
+    of a node the smallest rank by ``of`` (None: a pair of a small group or of round 3)."""
+
+    def __init__(self):
+        self.few, self.best, self.held = [], [], 0
+
+    def add(self, x, y, rank, of=None):
+        (self.few if of is None else self.best).append((x, y, rank) if of is None else (x, y, rank, of))
+        self.held += len(x)
+        if self.held >= 2 * HELD:
+            self._combine()
+
+    def _combine(self):
+        if self.few:
+            x, y, rank = (np.concatenate(c) for c in zip(*self.few, strict=True))
+            o = np.lexsort((rank, y, x))
+            first = o[_rank_first(x[o], y[o])]
+            self.few = [(x[first], y[first], rank[first])]
+        if self.best:
+            x, y, rank, of = (np.concatenate(c) for c in zip(*self.best, strict=True))
+            o = np.lexsort((y, rank, of, x))
+            first = o[_rank_first(x[o], of[o])]
+            self.best = [(x[first], y[first], rank[first], of[first])]
+        self.held = sum(len(c[0]) for c in (*self.few, *self.best))
+
+    def batches(self, least: int):
+        """What is held, if that is at least so many rows."""
+        if not self.held or self.held < least:
+            return
+        self._combine()
+        if self.held < least:
+            return
+        for large, (x, y, rank, *_) in [*((False, c) for c in self.few), *((True, c) for c in self.best)]:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x), pa.array(y), pa.array(rank.astype(np.float64)), pa.array(np.full(len(x), large))],
+                names=["x", "y", "rank", "large"])
+        self.__init__()
+
+
+def _rank_first(*columns: np.ndarray) -> np.ndarray:
+    """Where a new combination of values begins in sorted columns."""
+    new = np.append(True, np.zeros(len(columns[0]) - 1, bool)) if len(columns[0]) else np.zeros(0, bool)
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 def compare(rows: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFrame:
     """Candidates (x, y, rank, large) that size and sketch allow, of rows
-    (key, node, n, sketch, component, m) that share a key and differ in component;
-    m is the size of the key's group, if that is over BLOCK.
+    (key, home, node, n, sketch, component, m) that share a key and differ in
+    component; m is the size of the key's group, if that is over BLOCK, home a
+    value that keys of like groups share.
 
     ``allow`` takes two arrays of sizes and the Hamming distances of the
     sketches.  ``step``: near, best or rest, as the module says.
@@ -73,7 +129,8 @@ def compare(rows: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFra
         .otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).alias("cell"),
         F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
         .cast("byte").alias("side"),
-        (F.col("blocks") > 1).alias("large"), "node", "n", "sketch", "component")
+        (F.col("blocks") > 1).alias("large"), "node", "n", "sketch", "component",
+        F.when(F.col("blocks") == 1, F.col("home")).alias("home")).withColumn("home", F.coalesce("home", "cell"))
 
     def groups(batches):
         """Whole groups: batches cut where the cell changes."""
@@ -81,7 +138,8 @@ def compare(rows: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFra
         for b in batches:
             t = pa.Table.from_batches([b] if rest is None else [rest, b]).combine_chunks()
             cell = t.column("cell").to_numpy()
-            last = int(np.searchsorted(cell, cell[-1])) if len(cell) and (cell[1:] >= cell[:-1]).all() else 0
+            changes = np.flatnonzero(cell[1:] != cell[:-1])
+            last = int(changes[-1]) + 1 if len(changes) else 0
             b = t.to_batches()[0] if len(t) else None
             if b is None:
                 continue
@@ -92,6 +150,7 @@ def compare(rows: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFra
             yield rest
 
     def run(batches):
+        found = _Found()
         for b in groups(batches):
             cell = b.column(0).to_numpy()
             at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
@@ -100,10 +159,12 @@ def compare(rows: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFra
             pairs, lo = np.concatenate([[0], np.cumsum(size * (size - 1) // 2)]), 0
             while lo < len(at):
                 hi = max(lo + 1, int(np.searchsorted(pairs, pairs[lo] + PAIRS, "right")) - 1)
-                yield from cells(b.slice(int(at[lo]), int(size[lo:hi].sum())), size[lo:hi])
+                cells(found, b.slice(int(at[lo]), int(size[lo:hi].sum())), size[lo:hi])
+                yield from found.batches(HELD)
                 lo = hi
+        yield from found.batches(0)
 
-    def cells(b, sizes):
+    def cells(into, b, sizes):
         col = {f: b.column(i) for i, f in enumerate(b.schema.names)}
         node, n, comp, side = (col[c].to_numpy() for c in ("node", "n", "component", "side"))
         number = np.repeat(np.arange(len(sizes)), sizes)
@@ -127,41 +188,45 @@ def compare(rows: DataFrame, allow: Allow, step: str, sweep: int = 0) -> DataFra
             found.append((i.astype(np.int32), j.astype(np.int32), (dist / (n[i] + n[j])).astype(np.float32)))
         i, j, near = (np.concatenate(c) for c in zip(*found, strict=True))
         few = ~large[i] | (step == "rest")
-        out = [(i[few], j[few], near[few], False)]
+        into.add(node[i[few]], node[j[few]], near[few])
         i, j, near = i[~few], j[~few], near[~few]
         if len(i):
             degree = np.bincount(i, minlength=len(b)) + np.bincount(j, minlength=len(b))
             x, y, near = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([near, near])
             # the nearest (of each other component in round 2), and in round 1 the best-connected
-            of = comp[y] if step == "best" else np.zeros(len(x), np.int8)
-            for rank in (near, near - degree[y]) if step == "near" else (near,):
-                o = np.lexsort((y, rank, of, x))
-                best = o[np.append(True, (x[o][1:] != x[o][:-1]) | (of[o][1:] != of[o][:-1]))]
-                out.append((x[best], y[best], rank[best], True))
-        for x, y, rank, big in out:
-            x, y = node[x], node[y]
-            o = np.lexsort((rank, y, x))
-            x, y, rank = x[o], y[o], rank[o].astype(np.float64)
-            once = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if len(x) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[once]), pa.array(y[once]), pa.array(rank[once]), pa.array(np.full(once.sum(), big))],
-                names=["x", "y", "rank", "large"])
+            of = comp[y] if step == "best" else np.zeros(len(x), np.int64)
+            into.add(node[x], node[y], near, of)
+            if step == "near":
+                into.add(node[x], node[y], near - degree[y], of + 1)
 
     return (
-        split.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
+        split.repartition(partitions(spark), "home").sortWithinPartitions("home", "cell").drop("home")
         .mapInArrow(tidy(run), "x long, y long, rank double, large boolean")
     )
 
 
+def _distinct_groups(live: DataFrame) -> DataFrame:
+    """(key, home, m) of one of the keys that the same nodes have: home is the
+    least node, m the number of rows if over BLOCK.  Groups are told by their
+    number of rows and 128 bits of sums of hashes."""
+    hashes = [F.xxhash64("node"), F.xxhash64("node", F.lit(1))]
+    sums = [F.sum(part).alias(f"h{i}{k}") for i, h in enumerate(hashes) for k, part in enumerate((F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF))))]
+    groups = live.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("home"), *sums)
+    same = groups.groupBy("m", "home", *[f"h{i}{k}" for i in range(2) for k in range(2)]).agg(F.min("key").alias("key"))
+    return same.select("key", "home", F.when(F.col("m") > BLOCK, F.col("m")).alias("m"))
+
+
 def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of the nodes with links; ``live``: (key, node) of keys
     that several nodes have, ``facts``: (node, n, sketch, wide), the sketch of one
     size and that of the node's own, ``links``: the pairs (x, y) of those given
     that are linked indeed."""
     wide = "wide" if "wide" in facts.columns else "sketch"
-    hot = materialize(live.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK))
-    sized = live.withColumn("m", F.lit(None).cast("long")) if hot.isEmpty() else salted_join(live, hot, "key")
-    rows = sized.join(facts.select("node", "n", "sketch").withColumn("component", F.col("node")), "node")
+    distinct = materialize(_distinct_groups(live))
+    hot = distinct.where("m is not null").select(F.col("key").alias("node"), F.ceil(F.col("m") / HOT).cast("int").alias("_parts"))
+    whole = hot.isEmpty()  # no group of several blocks: the first round sees every pair
+    live = materialize(split_join(live, distinct, "key", None if whole else materialize(hot)))
+    rows = live.join(facts.select("node", "n", "sketch").withColumn("component", F.col("node")), "node")
     done, labels, step, sweep = None, None, "near", 0
     either = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
     while True:
@@ -176,9 +241,9 @@ def connect(live: DataFrame, facts: DataFrame, allow: Allow, links: Callable[[Da
         if not pairs.isEmpty():
             done = pairs if done is None else done.union(pairs)
             labels = merge_components(labels, links(pairs))
-        if step == "rest" or made.isEmpty():
+        if step == "rest" or (whole or step == "best") and made.isEmpty():
             break
-        mine = live.withColumn("component", F.col("node")) if labels is None else live.join(labels, "node", "left").withColumn(
+        mine = live.drop("m").withColumn("component", F.col("node")) if labels is None else live.drop("m").join(labels, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
         still = materialize(
             mine.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("a"), F.max("component").alias("b"))

@@ -412,6 +412,45 @@ def test_linkage_of_apart_families(spark, monkeypatch):
     assert {i: labels.get(i, i) for i in range(len(sets))} == {i: first[f] for i, f in enumerate(of)}
 
 
+def test_linkage_of_many_common_keys(spark):
+    """The rows made are few however many keys the nodes share: equal groups count once, others meet in one task."""
+    sets, n_keys = near_copies(12, 5), 150
+    facts = []
+    from likeness.llm import ngram_join
+
+    for i, s in enumerate(sets):
+        facts.append((i, len(s), ngram_join._sketch(np.zeros(len(s), np.int64), s, 1).tobytes()))
+    facts = spark.createDataFrame(facts, "node long, n long, sketch binary")
+    live = [(k, i) for k in range(n_keys) for i in range(12)]  # the same nodes
+    live += [(n_keys + k, i) for k in range(n_keys) for i in range(12) if i == 0 or (i + k) % 11 or k % 3]  # some without one or two
+    rows, compare = [], linkage.compare
+
+    def counted(*args):
+        out = compare(*args)
+        rows.append(out.count())
+        return out
+
+    linkage.compare = counted
+    try:
+        labels = linkage.connect(
+            spark.createDataFrame(live, "key long, node long"), facts, lambda n, m, d: n == n, lambda pairs: pairs.where("x < 10 and y < 10")).collect()
+    finally:
+        linkage.compare = compare
+    assert {r.node: r.component for r in labels} == dict.fromkeys(range(10), 0)
+    assert max(rows) <= 8 * 66  # not some of each of 300 keys
+
+
+def test_linkage_of_a_lone_pair(spark, monkeypatch):
+    """Two linked nodes of a large group meet, even if the first round, in blocks, makes no row at all."""
+    monkeypatch.setattr(linkage, "BLOCK", 4)
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(1, 1 << 62, 30).astype(np.uint64)) for _ in range(160)]
+    sets[150] = sets[3].copy()
+    sets[150][:1] += np.uint64(1)
+    labels, _ = linked(spark, sets, [])
+    assert labels == {3: 3, 150: 3}
+
+
 def test_line_dedup_hot_key(monkeypatch):
     """A key of many lines is passed on in runs, whatever the order of its lines."""
     monkeypatch.setattr(line_module, "FLUSH", 50)
