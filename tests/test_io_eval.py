@@ -233,3 +233,21 @@ def test_dense_ids_many_partitions(spark):
     df = spark.createDataFrame([(v,) for v in vals], "user_id string")
     got = {r.user_id: r.idx for r in dense_ids(df, "user_id", partitions=7).collect()}
     assert got == {v: i for i, v in enumerate(sorted(set(vals)))}
+
+
+def test_pairs_are_made_once(spark, tmp_path):
+    """The sorted writers run what makes the pairs once, not again for the sort's ranges."""
+    from likeness.sinks import write_similarity_pairs
+
+    for exact_text in (False, True):
+        runs = tmp_path / f"runs{exact_text}"
+
+        def made(batches, runs=str(runs)):
+            with open(runs, "a") as f:
+                f.write("run\n")
+            yield from batches
+
+        pairs = spark.range(0, 500, 1, 4).selectExpr("id as id_1", "id + 1 as id_2", "0.5D as similarity").mapInPandas(
+            made, "id_1 long, id_2 long, similarity double")
+        write_similarity_pairs(pairs, str(tmp_path / f"pairs{exact_text}"), exact_text=exact_text)
+        assert runs.read_text().count("run") == 4
