@@ -1,11 +1,14 @@
 """Similarity operators: micro answers, brute force on driver fixtures, LSH properties."""
 
+import hashlib
 import itertools
+import random
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from likeness.functions.hashing import PRIME, HashFamily
 from likeness.operators.exact import exact_cosine_join, exact_jaccard_join
 from likeness.operators.lsh import (
     band_candidates, band_parameters, hyperplane_bands, lsh_cosine_join, lsh_jaccard_join, minhash_bands, minhash_signatures,
@@ -425,3 +428,20 @@ def test_collapsed_candidates_equal_plain(spark):
     vb = hyperplane_bands(T.event_vectors(spark, SF0001), 10, 4)
     assert sorted(map(tuple, band_candidates(vb, collapse=False).collect())) == \
         sorted(map(tuple, band_candidates(vb).collect()))
+
+
+def test_minhash_of_rows_that_stand_together(spark):
+    """Rows of an id that stand together are reduced where they are: one exchange, the same values; any number of hashes."""
+    rng = random.Random(4)
+    rows = [(i, f"w{rng.randrange(30)}") for i in range(12) for _ in range(i + 1)] + [(3, None), (20, None)]
+    sets = spark.createDataFrame(rows, "id long, element string")
+    for n in (6, 7, 100, 31):
+        found = minhash_signatures(sets, n, 5, together=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+        got = {(r.id, r.hash_idx): r.value for r in found.collect()}
+        assert got == {(r.id, r.hash_idx): r.value for r in minhash_signatures(sets, n, 5).collect()}
+        keys = {w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % PRIME for _, w in rows if w}
+        assert got == {
+            (i, k): min(((keys[w] * a + b) % PRIME for j, w in rows if j == i and w), default=None)
+            for i in {i for i, _ in rows} for k, (a, b) in enumerate(HashFamily(n, 5).params)}
