@@ -442,3 +442,29 @@ def test_pipeline(spark, stages):
     assert all(d.columns == docs.columns for d in (clean, exact, near, pure))
     assert len(ids(docs)) > len(ids(clean)) > len(ids(exact)) > len(ids(near)) >= len(ids(pure))
     assert ids(corpus_pipeline.run(spark, sf)) == ids(coded)
+
+
+def test_lattices_of_many_new_units_are_built_in_parts(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [3 * P.ADD // 2, *rng.integers(3, 9, 40_000).tolist()]  # one unit alone is longer than a part
+    points = rng.integers(0x61, 0x7B, sum(words)).astype(np.uint32)
+    size = np.array(words)
+    at = np.cumsum(size) - size
+    keys = P._unit_keys(P._Substrings(points), at, size)
+    taken, build = [], P.Lattices._add
+
+    def add(self, keys, points, cuts):
+        taken.append(len(points) - int(np.diff(cuts).max()))
+        build(self, keys, points, cuts)
+
+    monkeypatch.setattr(P.Lattices, "_add", add)
+    parts = P.Lattices(VOCABULARY)
+    unit = parts.units(keys, points, at, size)
+    assert len(taken) > 2 and max(taken) <= P.ADD
+    monkeypatch.setattr(P, "ADD", 1 << 40)
+    whole = P.Lattices(VOCABULARY)
+    same = whole.units(keys, points, at, size)
+    assert (parts.best_size[unit] == whole.best_size[same]).all()
+    for i in range(0, len(unit), 997):
+        a, b = (lat.ids[lat.best[lat.best_first[u]:][:lat.best_size[u]]] for lat, u in ((parts, unit[i]), (whole, same[i])))
+        assert (a == b).all()
