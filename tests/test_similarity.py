@@ -445,3 +445,60 @@ def test_minhash_of_rows_that_stand_together(spark):
         assert got == {
             (i, k): min(((keys[w] * a + b) % PRIME for j, w in rows if j == i and w), default=None)
             for i in {i for i, _ in rows} for k, (a, b) in enumerate(HashFamily(n, 5).params)}
+
+
+def _dense_vectors(spark):
+    rng = random.Random(3)
+    rows = [(f"v{i}", f"e{k}", rng.choice([-1.0, 1.0, 2.0, 3.0])) for i in range(40) for k in rng.sample(range(25), 12)]
+    rows += [("twin", e, 2 * v) for i, e, v in rows if i == "v7"] + [("zero", "e1", 0.0), ("lone", "other", 1.0)]
+    return spark.createDataFrame(rows, "id string, element string, value double"), rows
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_dense_cosine_by_blocks(spark, monkeypatch, block):
+    """Blocks of ids of any size, and columns and strips of any width, give every pair once."""
+    from likeness.functions.encoding import with_codes
+    from likeness.operators import blocks
+    from likeness.operators.verify import vector_norms
+    vecs, rows = _dense_vectors(spark)
+    monkeypatch.setattr(blocks, "STRIP", 3)
+    monkeypatch.setattr(blocks, "COLUMNS", 4)
+    coded = with_codes(vecs, "element").select("id", "code", "value")
+    got = [(r[0], r[1], r[2]) for r in blocks.dense_cosine(coded, vector_norms(coded), 0.3, block=block).collect()]
+    want = brute_cosine(rows, 0.3)
+    assert len(got) == len(want) and {(a, b): s for a, b, s in got} == pytest.approx(want)
+    probed = _d(blocks.dense_cosine(coded, vector_norms(coded), 0.3, probes="id like '%1'", block=block))
+    assert probed == pytest.approx({k: v for k, v in want.items() if k[0].endswith("1") or k[1].endswith("1")})
+
+
+@pytest.mark.parametrize("bands,rows,flips", [(50, 2, 0), (9, 8, 0), (7, 20, 12), (3, 1, 0)])
+def test_dense_candidates_equal_those_of_buckets(spark, bands, rows, flips):
+    """A pair is told by packed signs exactly if its ids share a bucket, without a row for each meeting."""
+    from likeness.operators.lsh import cosine_candidates, hyperplane_probes
+    vecs, _ = _dense_vectors(spark)
+    want = band_candidates(hyperplane_probes(vecs, bands, rows, flips, seed=5), collapse=False)
+    cand = cosine_candidates(vecs, bands, rows, seed=5, flips=flips)
+    got = [tuple(r) for r in cand.collect()]
+    assert len(got) == len(set(got)) > 0 and set(got) == {tuple(r) for r in want.collect()}
+    plan = cand._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id_1" not in plan and "Aggregate" not in plan
+
+
+def test_dense_joins_make_rows_of_results_only(spark, monkeypatch):
+    """Dense vectors are compared by blocks; where these are not used, results are the same."""
+    from likeness.operators import exact, lsh
+    vecs, rows = _dense_vectors(spark)
+    joins = [lambda: exact_cosine_join(vecs, 0.5), lambda: lsh_cosine_join(vecs, 0.5, 20, 3), lambda: lsh_cosine_join(vecs, 0.5, 10, 8, flips=4)]
+    dense = [j() for j in joins]
+    for d in dense:
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan and "id_1" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    found = [_d(d) for d in dense]
+    assert found[0] == pytest.approx(brute_cosine(rows, 0.5))
+    monkeypatch.setattr(exact, "DENSE_CODES", 0)
+    monkeypatch.setattr(lsh, "DENSE_CODES", 0)
+    for d, j in zip(found, joins, strict=True):
+        assert _d(j()) == pytest.approx(d)
+    monkeypatch.setattr(lsh, "DENSE_SHARE", 1 << 30)
+    for d, j in zip(found[1:], joins[1:], strict=True):
+        assert _d(j()) == pytest.approx(d)
